@@ -1 +1,11 @@
-"""Operators that prepare training text; nothing else in the library imports this folder."""
+"""Operators that prepare training text; nothing else in the library imports this folder.
+
+Functions of this folder travel to executors by value, so executors need only the public
+libraries that they use.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
