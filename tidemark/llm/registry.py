@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, near_dedup, packing, pii
+from tidemark.llm import exact_dedup, langid, mixing, near_dedup, packing, pii
 from tidemark.llm.shared import small_batches, table
 
 
@@ -32,6 +32,12 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
@@ -56,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_exact_dedup": op2_exact_dedup,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_mixing": op6_mixing,
+        "op7_language_id": op7_language_id,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_pii": op9_pii,
     }
