@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, langid, mixing, near_dedup, packing, pii
+from tidemark.llm import exact_dedup, langid, licenses, mixing, near_dedup, packing, pii
 from tidemark.llm.shared import small_batches, table
 
 
@@ -22,6 +22,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     pieces = packing.tokenised_pieces(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -60,6 +64,7 @@ FROM norm WINDOW w AS (PARTITION BY t)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_license_scan": op3_license_scan,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_mixing": op6_mixing,
         "op7_language_id": op7_language_id,
