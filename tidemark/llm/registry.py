@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, langid, licenses, mixing, near_dedup, packing, pii
+from tidemark.llm import exact_dedup, html_extract, langid, licenses, mixing, near_dedup, packing, pii
 from tidemark.llm.shared import small_batches, table
 
 
@@ -17,6 +17,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -63,6 +68,7 @@ FROM norm WINDOW w AS (PARTITION BY t)
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_html_extraction": op1_html_extraction,
         "op2_exact_dedup": op2_exact_dedup,
         "op3_license_scan": op3_license_scan,
         "op5_best_fit_packing": op5_best_fit_packing,
