@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, html_extract, langid, licenses, mixing, near_dedup, packing, pii
+from tidemark.llm import exact_dedup, html_extract, langid, licenses, lm_score, mixing, near_dedup, packing, pii, topk
 from tidemark.llm.shared import small_batches, table
 
 
@@ -31,6 +31,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     pieces = packing.tokenised_pieces(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -58,6 +62,13 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(table(spark, sf_dir, "documents"))).drop("score")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled as of good quality."""
+    small_batches(spark)
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_score.score(table(spark, sf_dir, "documents"), good)
+
+
 OP2_SQL = r"""
 WITH norm AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -71,13 +82,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_html_extraction": op1_html_extraction,
         "op2_exact_dedup": op2_exact_dedup,
         "op3_license_scan": op3_license_scan,
+        "op4_top_k_search": op4_top_k_search,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_mixing": op6_mixing,
         "op7_language_id": op7_language_id,
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_pii": op9_pii,
+        "op10_lm_scoring": op10_lm_scoring,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op6_mixing": mixing.SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op4_top_k_search": topk.SQL, "op6_mixing": mixing.SQL}
