@@ -141,3 +141,22 @@ def exact_groups(docs: DataFrame, fp_bits: int = 64) -> DataFrame:
         "n_bytes",
         F.size("fps").alias("n_chunks"),
     )
+
+
+def without_copies(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs``, all columns, one of each group of equal texts: that with the least doc_id.
+
+    Only ids of dropped rows are joined to ``docs``. Rows that repeat the doc_id that stays
+    are told apart by a shuffle of those rows alone.
+    """
+    scratch = Scratch(docs.sparkSession, "exact")
+    found = scratch.write(exact_groups(docs).select("doc_id", "kept", "text_sha256"), "found")
+    gone = scratch.write(found.where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    again = found.where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again = scratch.write(again.select("doc_id").distinct(), "again")
+    out = docs.join(gone, "doc_id", "left_anti")
+    if again.isEmpty():
+        return out.select(docs.columns)
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
+    once = out.join(again, "doc_id", "left_semi").withColumn("__text", F.sha2(text, 256)).dropDuplicates(["doc_id", "__text"])
+    return out.join(again, "doc_id", "left_anti").select(docs.columns).union(once.select(docs.columns))

@@ -21,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from tidemark.llm.shared import Scratch
 
@@ -140,23 +141,35 @@ def proportions(logs: np.ndarray, counts: np.ndarray, penalty: float) -> tuple[l
     return chosen, share
 
 
+def judge(text: str | None, langs: list[str], logs: np.ndarray, penalty: float) -> tuple[str, float, str]:
+    """Predicted language, its share, and all shares (name:share, largest first)."""
+    if not langs or text is None or not LETTER.search(text):
+        return "und", 0.0, ""
+    slots, counts = grams(text, len(logs))
+    chosen, share = proportions(logs[slots], counts, penalty)
+    ranked = sorted(zip(share.tolist(), [langs[k] for k in chosen], strict=True), key=lambda x: (-x[0], x[1]))
+    return ranked[0][1], min(1.0, ranked[0][0]), ",".join(f"{lang}:{s:.4f}" for s, lang in ranked)
+
+
 def identify(docs: DataFrame, model: Model, penalty: float = 4.0) -> DataFrame:
-    """doc_id, lang_pred, score and languages (name:share, largest first) of each row."""
+    """doc_id, held_out, lang_pred, score and languages of each row."""
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.logs))
 
-    def one(text: str | None, langs: list[str], logs: np.ndarray) -> tuple[str, float, str]:
-        if not langs or text is None or not LETTER.search(text):
-            return "und", 0.0, ""
-        slots, counts = grams(text, len(logs))
-        chosen, share = proportions(logs[slots], counts, penalty)
-        ranked = sorted(zip(share.tolist(), [langs[k] for k in chosen], strict=True), key=lambda x: (-x[0], x[1]))
-        return ranked[0][1], min(1.0, ranked[0][0]), ",".join(f"{lang}:{s:.4f}" for s, lang in ranked)
-
     def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        langs, logs = shared.value
         for batch in batches:
-            found = [one(t, langs, logs) for t in batch["text"]]
+            found = [judge(t, *shared.value, penalty) for t in batch["text"]]
             yield batch.drop(columns="text").assign(**{c: [x[k] for x in found] for k, c in enumerate(("lang_pred", "score", "languages"))})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
     return rows.mapInPandas(predict, "doc_id long, held_out boolean, lang_pred string, score double, languages string")
+
+
+def accepted(docs: DataFrame, model: Model, least_share: float = 0.3, penalty: float = 4.0) -> DataFrame:
+    """Rows of ``docs``, all columns, whose main language has at least ``least_share``; never ``und``."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.logs))
+
+    def keep(texts: pd.Series) -> pd.Series:
+        found = (judge(t, *shared.value, penalty) for t in texts)
+        return pd.Series([lang != "und" and share >= least_share for lang, share, _ in found], dtype=bool)
+
+    return docs.where(F.pandas_udf(keep, BooleanType())(F.col("text").cast("string")))

@@ -21,8 +21,12 @@ from tidemark.llm.shared import Scratch
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def source_key() -> Column:
-    return F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
+def source_key(source: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))
+
+
+def random_key(doc_id: Column) -> Column:
+    return F.md5(F.concat(doc_id.cast("long").cast("string"), F.lit(":mix")).cast("binary"))
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -30,9 +34,9 @@ def sized(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "source",
-        source_key().alias("skey"),
+        source_key(F.col("source")).alias("skey"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.md5(F.concat(F.col("doc_id").cast("string"), F.lit(":mix")).cast("binary")).alias("key"),
+        random_key(F.col("doc_id")).alias("key"),
     )
 
 
@@ -52,8 +56,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...], share: float, ceiling:
     return out.select("skey", "source_size", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, ceiling: float = 2.0) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken of each row of ``docs``."""
+def placed(docs: DataFrame, weights: tuple[int, ...], share: float, ceiling: float) -> DataFrame:
+    """Each row with its key, its source's epochs and rest, and the words of the source before it."""
     scratch = Scratch(docs.sparkSession, "mixing")
     made = scratch.write(sized(docs), "sized")
     sources = made.groupBy("skey").agg(F.min("source").alias("source"), F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
@@ -66,12 +70,32 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.
     before = F.sum("n").over(Window.partitionBy("skey").orderBy("range")) - F.col("n")
     before = scratch.write(sums.select("skey", "range", before.alias("before")), "before")
     running = F.sum("size").over(Window.partitionBy("skey", "range").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
-    placed = made.withColumn("at", running - F.col("size")).join(before, ["skey", "range"])
-    placed = placed.join(budgets, "skey")
+    out = made.withColumn("at", running - F.col("size")).join(before, ["skey", "range"]).join(budgets, "skey")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
-    rest = F.round(F.col("target") - epochs * F.col("source_size")).cast("long")
-    last = F.greatest(F.lit(0), F.least(F.col("size"), rest - F.col("at") - F.col("before")))
-    return placed.select("doc_id", "source", "size", "source_size", "target", (epochs * F.col("size") + last).cast("long").alias("taken"))
+    out = out.withColumn("start", F.col("at") + F.col("before")).withColumn("epochs", epochs)
+    return out.withColumn("rest", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, ceiling: float = 2.0) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken of each row of ``docs``."""
+    last = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("start")))
+    taken = (F.col("epochs") * F.col("size") + last).cast("long")
+    return placed(docs, weights, share, ceiling).select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, ceiling: float = 2.0) -> DataFrame:
+    """Rows of ``docs``, each as often as the mix takes it as a whole.
+
+    A source's last epoch goes up to one key, past which it would take less than half of a
+    document. So only a row for each source is joined to the documents, whose texts stay.
+    """
+    inside = F.col("start") + F.col("size") / 2 <= F.col("rest")
+    cuts = placed(docs, weights, share, ceiling).groupBy("skey").agg(F.max("epochs").alias("epochs"), F.max(F.when(inside, F.col("key"))).alias("upto"))
+    cuts = Scratch(docs.sparkSession, "mixing").write(cuts, "cuts")
+    both = docs.join(cuts, source_key(docs["source"]) == cuts["skey"])
+    copies = cuts["epochs"] + F.coalesce(random_key(docs["doc_id"]) <= cuts["upto"], F.lit(False)).cast("int")
+    out = both.where(copies > 0).select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("__copy"))
+    return out.drop("__copy")
 
 
 SQL = r"""

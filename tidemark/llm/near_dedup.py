@@ -268,3 +268,10 @@ class NearDuplicates:
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     return NearDuplicates(docs, words, percent).run()
+
+
+def without_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """Rows of ``docs``, all columns, one document of each component: that with the least doc_id."""
+    scratch = Scratch(docs.sparkSession, "near")
+    gone = scratch.write(near_duplicates(docs, words, percent).where(~F.col("kept")).select("doc_id").distinct(), "gone")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
