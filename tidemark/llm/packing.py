@@ -17,7 +17,9 @@ Null text counts as empty: one piece, the end id. Rows with equal doc_id are pac
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -33,35 +35,66 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 MOST_ENTRIES = 1_200_000
 
 
+# Characters on which normalising only lowers case; ASCII white space parts tokens.
+PLAIN = re.compile(r"[\t-\r\x20-\x7e\xa1-\xff]*\Z")
+LATIN = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff"
+NUMBER = r"0-9\xb2\xb3\xb9\xbc-\xbe"
+PRETOKEN = re.compile(rf"[{LATIN}]+|[{NUMBER}]|'(?:s|t|re|ve|m|ll|d)|[^\s{LATIN}{NUMBER}]+")
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable bytes for
+    themselves, the others, in order, for the characters from U+0100."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
+
+
+class Ids(dict):
+    """Ids (little-endian unsigned 32-bit) of single tokens of a text before merging."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self.merge = tokenizer.model.tokenize
+        letters = byte_letters()
+        self.letters = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x80, 0x100)}
+
+    def __missing__(self, token: str) -> bytes:
+        ids = [t.id for t in self.merge(token if token.isascii() else token.translate(self.letters))]
+        found = array("I", ids).tobytes()
+        if len(token) <= 64:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[token] = found
+        return found
+
+
 class WordTokenizer:
-    """Ids of texts for a vocabulary whose merges never cross ASCII white space.
+    """Ids of texts for the lower-casing word vocabulary.
 
-    Words are tokenised once and kept, up to a bound; a text's ids are its words' joined.
+    Its merges never cross the bounds of words, so for texts of plain Latin characters the
+    merges of a word are looked up once and kept, up to a bound. Other texts are parted at
+    ASCII white space, and words with other characters go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.known = Ids(self.tokenizer)
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.known.__getitem__, PRETOKEN.findall(text.lower())))
 
-    def _ids(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+    def _whole(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        known, out = self.known, []
-        for word in text.encode("utf-8", "surrogatepass").split():
-            found = known.get(word)
-            if found is None:
-                found = self._ids(word)
-                if len(word) <= 64:
-                    if len(known) >= CACHED_WORDS:
-                        known.clear()
-                    known[word] = found
-            out.append(found)
-        return b"".join(out)
+        if PLAIN.match(text) and "<|" not in text:
+            return self._plain(text)
+        parts = re.split(r"[\t-\r ]+", text.encode("utf-8", "replace").decode())
+        return b"".join(self._plain(w) if PLAIN.match(w) and "<|" not in w else self._whole(w) for w in parts if w)
 
 
 def tokenised_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capacity: int = 4096, with_ids: bool = False) -> DataFrame:
