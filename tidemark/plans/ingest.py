@@ -65,7 +65,9 @@ def ingest_table(spark: SparkSession, base: str, manifest_path: str, table: str,
     chosen = landing.select_batches(inventory, marks.effective_cursor(bookmarks, order), manifest)
     paths = chosen.join(inventory.withColumn("batch_ts", F.col("batch").try_cast("long")), ["table_name", "fingerprint", "batch_ts"]).join(order, ["table_name", "fingerprint"])
     picked = paths.select("place", "fingerprint", "batch_ts", F.regexp_extract("path", "^(.*)/[^/]+$", 1).alias("folder")).distinct().orderBy("place", "batch_ts").collect()
-    hwm = manifest.select("table_name", F.lit(None).cast("string").alias("fingerprint"), F.lit("hwm").alias("kind"), F.col("hwm").alias("value"))
+    # What was chosen is fixed here: files that land meanwhile belong to the next run.
+    chosen = spark.createDataFrame([(table, r["fingerprint"], r["batch_ts"]) for r in picked], "table_name string, fingerprint string, batch_ts long")
+    hwm = spark.createDataFrame([(table, None, "hwm", r["hwm"]) for r in manifest.select("hwm").collect()], "table_name string, fingerprint string, kind string, value string")
     if not picked:
         return marks.bookmark_max_merge(bookmarks, hwm)
     columns = ColumnExclusion(exclude)
