@@ -4,6 +4,8 @@ from pyspark.sql.types import StructType
 from tidemark.functions import scope
 from tidemark.operators.schema import align, mirror_evolution, plan_evolution, widest
 
+pytestmark = pytest.mark.usefixtures("spark")  # types are parsed by its session
+
 
 def schema(text: str) -> StructType:
     return StructType.fromDDL(text)
@@ -67,3 +69,15 @@ def test_exclude_tables_and_view(spark):
     assert scope.exclude_tables(df, "").count() == 3
     scope.restricted_view(spark.createDataFrame([(1, 2)], "x int, y int"), ["y"], "seen")
     assert spark.table("seen").columns == ["y"]
+
+
+def test_apply_changes(spark):
+    from tidemark.operators.schema import apply_changes
+
+    spark.sql("CREATE TABLE evolving (id long) USING parquet")
+    try:
+        changes, after = plan_evolution(spark.table("evolving").schema, schema("id long, note string"))
+        apply_changes(spark, "evolving", changes)
+        assert spark.table("evolving").schema.simpleString() == after.simpleString()
+    finally:
+        spark.sql("DROP TABLE evolving")

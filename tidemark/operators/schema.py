@@ -77,3 +77,15 @@ def widest(schemas: list[StructType]) -> StructType:
     for s in schemas[1:]:
         out = plan_evolution(out, s)[1]
     return out
+
+
+def apply_changes(spark, table: str, changes: list[Change]) -> None:
+    """Runs planned changes on a catalog table; widening needs a format that can change types.
+
+    Where none is at hand, read with the schema that ``plan_evolution`` returns instead.
+    """
+    quoted = ".".join(f"`{p}`" for p in table.split("."))
+    for c in changes:
+        name = "`" + c.column.replace("`", "``") + "`"
+        action = "ADD COLUMNS ({} {})" if c.kind == "ADD" else "ALTER COLUMN {} TYPE {}"
+        spark.sql(f"ALTER TABLE {quoted} {action.format(name, c.type.simpleString())}")
