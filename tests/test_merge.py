@@ -83,3 +83,16 @@ def test_erase_batches_and_watermark(spark, history):
 def test_empty_history(spark):
     h = spark.createDataFrame([], ROWS)
     assert merge.current_state(h).count() == 0 and merge.replay_current(h, ["fp"]).count() == 0
+
+
+def test_replay_in_one_pass_equals_steps(spark):
+    import random
+
+    rng = random.Random(3)
+    for _ in range(3):
+        rows = [(rng.randrange(40), f"v{n}", rng.choice([0, 1, 2, 4]) if rng.random() < 0.5 else 2, rng.choice([None, f"{n:x}", f"{n // 2:X}"]), rng.choice(["f1", "f2", "f3", "f4"]), T1) for n in range(300)]
+        h = spark.createDataFrame(rows, ROWS)
+        order = ["f3", "f1", "f2"]
+        steps = {(r["id"], r["seqval_hex"] and r["seqval_hex"].lower(), r["name"]) for r in merge.replay_steps(h, order).collect()}
+        once = {(r["id"], r["seqval_hex"] and r["seqval_hex"].lower(), r["name"]) for r in merge.replay_current(h, order).collect()}
+        assert steps == once
