@@ -9,8 +9,10 @@ with probability 3e-6. A pair is verified on signatures (a set pair at 0.8 falls
 No bucket emits all its pairs. First each member is paired with two leaders: the least
 member, and the one that shares most buckets with others. Confirmed links give components.
 What is left are pairs of one bucket in different components: there, members outside the
-bucket's largest component are compared with all others, in blocks, on signatures. As links
-inside a component do not change it, the components are those of all pairs in buckets.
+bucket's largest component are compared with all others, in blocks, on signatures, and
+each asks about the components that it resembles; askers and components' members then meet
+in cells, on full sets. As links inside a component do not change it, the components are
+those of all pairs in buckets.
 
 Null or empty texts have an empty set and no links. Rows that repeat a doc_id are one
 document for the links; each row is returned.
@@ -36,6 +38,7 @@ HASHES = BANDS * ROWS
 LEAST_SHARE = 0.68
 CACHED_WORDS = 300_000
 BLOCK = 512
+CELL = 1 << 20  # shingles on each side of a cell
 _rng = np.random.default_rng(20240307)
 MULT = (_rng.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)).astype(np.uint32)
 PLUS = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -149,9 +152,8 @@ class NearDuplicates:
         """doc_id, n_shingles, class_id, component_id, kept of each row."""
         self._classes()
         self._buckets()
-        label = None
-        for pairs in (self._led, self._closest, self._remaining):
-            label = self._merge(label, self._confirmed(pairs(label)))
+        label = self._merge(None, self._confirmed(self._led()))
+        label = self._merge(label, self._across(label))
         out = self.members.join(label, self.members["class_id"] == label["node"], "left")
         component = F.coalesce("component", "class_id")
         return out.select("doc_id", "n_shingles", "class_id", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
@@ -179,23 +181,25 @@ class NearDuplicates:
         leads = leads.select("key", "least", (-F.col("top.r")).alias("central"))
         self.leads = scratch.write(leads, "leads")
 
-    def _led(self, _label: DataFrame | None) -> DataFrame:
+    def _led(self) -> DataFrame:
         """Members beside their buckets' leaders."""
         both = self.placed.join(self.leads, "key").select("rep", F.explode(F.array("least", "central")).alias("lead"))
         return both.where("rep <> lead").select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct()
 
     def _open(self, label: DataFrame) -> DataFrame:
         """Members of buckets that hold several components; ``minor`` if outside the largest."""
-        scratch, k = self.scratch, self.rounds
+        scratch = self.scratch
         known = self.placed.where("size > 2").join(label.withColumnRenamed("node", "rep"), "rep", "left")
-        known = scratch.write(known.select("key", "rep", F.coalesce("component", "rep").alias("component")), f"known_{k}")
+        known = scratch.write(known.select("key", "rep", F.coalesce("component", "rep").alias("component")), "known")
         parts = known.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
         many = parts.groupBy("key").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component")).alias("top")).where("parts > 1")
-        many = scratch.write(many.select("key", "size", (F.col("size") - F.col("top.n")).alias("minors"), F.col("top.component").alias("main")), f"many_{k}")
+        many = scratch.write(many.select("key", "size", (F.col("size") - F.col("top.n")).alias("minors"), F.col("top.component").alias("main")), "many")
         return known.join(many, "key").withColumn("minor", F.col("component") != F.col("main"))
 
-    def _across(self, label: DataFrame, most: int | None) -> DataFrame:
-        """Pairs of one bucket in different components with similar signatures; ``most``: for each minor, only the closest."""
+    def _asked(self, label: DataFrame) -> DataFrame:
+        """(rep, other): members to hold against another component, with which they share a
+        bucket and a similar signature. All pairs of a bucket that two components share are
+        compared, in blocks; a member asks about a component once, however many are similar."""
         rows = self._open(label).join(self.reps.select("rep", "n", "sig"), "rep")
         down, over = (F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("size", "minors"))
         spot = F.xxhash64("rep")
@@ -206,53 +210,94 @@ class NearDuplicates:
 
         def compare(cell: pd.DataFrame) -> pd.DataFrame:
             q, p = cell[cell["asks"]], cell[~cell["asks"]]
-            found_a, found_b = [], []
+            who, what = [], []
             if len(q) and len(p):
                 x, y = (np.frombuffer(b"".join(s["sig"]), dtype=np.uint16).reshape(-1, HASHES) for s in (q, p))
-                ids, sizes, comps = p["rep"].to_numpy(), p["n"].to_numpy(), p["component"].to_numpy()
+                sizes, comps = p["n"].to_numpy(), p["component"].to_numpy()
                 for k, (rep, n, comp) in enumerate(zip(q["rep"], q["n"], q["component"], strict=True)):
                     fits = np.flatnonzero((comps != comp) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)))
-                    if len(fits):
-                        equal = (y[fits] == x[k]).sum(axis=1)
-                        near = equal >= LEAST_SHARE * HASHES
-                        fits, equal = fits[near], equal[near]
-                        if most:
-                            fits = fits[np.argsort(-equal, kind="stable")[:most]]
-                        found_a.extend([rep] * len(fits))
-                        found_b.extend(ids[fits].tolist())
-            return pd.DataFrame({"x": found_a, "y": found_b}, dtype="int64")
-
-        cells = held.union(asks).groupBy("key", "r", "c").applyInPandas(compare, "x long, y long")
-        return cells.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-
-    def _closest(self, label: DataFrame) -> DataFrame:
-        return self._across(label, 3)
-
-    def _remaining(self, label: DataFrame) -> DataFrame:
-        return self._across(label, None)
+                    near = (y[fits] == x[k]).sum(axis=1) >= LEAST_SHARE * HASHES
+                    others = np.unique(comps[fits[near]])
+                    who.extend([rep] * len(others))
+                    what.extend(others.tolist())
+            return pd.DataFrame({"rep": who, "other": what}, dtype="int64")
+
+        return held.union(asks).groupBy("key", "r", "c").applyInPandas(compare, "rep long, other long").distinct()
+
+    def _across(self, label: DataFrame) -> DataFrame:
+        """Links (u, v) of members to components that they asked about, confirmed on full sets.
+
+        A component's members and its askers are dealt to cells by how many shingles they
+        hold; each cell finds its shared shingles with one sorted list of its members'.
+        """
+        scratch, percent = self.scratch, self.percent
+        asked = scratch.write(self._asked(label), "asked")
+        sizes = self.reps.select("rep", "n")
+        comps = asked.select(F.col("other").alias("component")).distinct()
+        grouped = label.join(comps, "component").select("component", F.col("node").alias("rep"))
+        single = comps.join(label, "component", "left_anti").select("component", F.col("component").alias("rep"))
+        held = scratch.write(grouped.union(single).join(sizes, "rep").select("component", "rep", "n"), "held")
+        asks = scratch.write(asked.join(sizes, "rep").select(F.col("other").alias("component"), "rep", "n"), "asks")
+        blocks = lambda df, name: df.groupBy("component").agg(F.ceil(F.sum("n") / F.lit(CELL)).cast("int").alias(name))
+        grid = scratch.write(blocks(held, "down").join(blocks(asks, "over"), "component"), "grid")
+        spot = F.xxhash64("rep")
+        one = lambda n: F.pmod(spot, F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        a = held.join(grid, "component").select("component", "rep", F.lit(False).alias("asks"), one("down").alias("r"), every("over").alias("c"))
+        b = asks.join(grid, "component").select("component", "rep", F.lit(True).alias("asks"), every("down").alias("r"), one("over").alias("c"))
+        need = scratch.write(held.select("rep").union(asks.select("rep")).distinct().withColumnRenamed("rep", "doc_id"), "need_across")
+        sets = scratch.write(full_sets(self.docs.join(need, "doc_id", "left_semi"), self.words).withColumnRenamed("doc_id", "rep"), "sets_across")
+
+        def confirm(cell: pd.DataFrame) -> pd.DataFrame:
+            q, p = cell[cell["asks"]], cell[~cell["asks"]]
+            u, v = [], []
+            if len(q) and len(p):
+                parts = [np.frombuffer(h, dtype=np.uint64) for h in p["hashes"]]
+                n = np.array([len(x) for x in parts])
+                every = np.concatenate(parts)
+                order = np.argsort(every, kind="stable")
+                every, owner = every[order], np.repeat(np.arange(len(parts)), n)[order]
+                reps = p["rep"].to_numpy()
+                for rep, raw in zip(q["rep"], q["hashes"], strict=True):
+                    x = np.frombuffer(raw, dtype=np.uint64)
+                    lo, hi = np.searchsorted(every, x, "left"), np.searchsorted(every, x, "right")
+                    runs = hi - lo
+                    at = np.repeat(lo - np.concatenate(([0], np.cumsum(runs)[:-1])), runs) + np.arange(runs.sum())
+                    both = np.bincount(owner[at], minlength=len(parts))
+                    linked = np.flatnonzero(100 * both >= percent * (len(x) + n - both))
+                    if len(linked):
+                        u.append(rep)
+                        v.append(int(reps[linked[0]]))
+            return pd.DataFrame({"u": u, "v": v}, dtype="int64")
+
+        cells = a.union(b).join(sets, "rep").groupBy("component", "r", "c").applyInPandas(confirm, "u long, v long")
+        links = scratch.write(cells.distinct(), "links_across")
+        for name in ("known", "many", "asked", "held", "asks", "grid", "need_across", "sets_across"):
+            scratch.drop(name)
+        return links
 
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """Links (u, v) among ``pairs`` (a, b): similar signatures, then at least the percentage on full sets."""
-        scratch, k = self.scratch, self.rounds
-        pairs = scratch.write(pairs, f"pairs_{k}")
+        scratch = self.scratch
+        pairs = scratch.write(pairs, "pairs")
         side = lambda c: self.reps.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("sig").alias(f"s{c}"))
         near = pairs.join(side("a"), "a").join(side("b"), "b")
         near = near.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
-        near = scratch.write(near.where(equal_minima("sa", "sb") >= LEAST_SHARE * HASHES).select("a", "b"), f"near_{k}")
-        need = scratch.write(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"need_{k}")
-        sets = scratch.write(full_sets(self.docs.join(need, "doc_id", "left_semi"), self.words), f"sets_{k}")
+        near = scratch.write(near.where(equal_minima("sa", "sb") >= LEAST_SHARE * HASHES).select("a", "b"), "near")
+        need = scratch.write(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "need")
+        sets = scratch.write(full_sets(self.docs.join(need, "doc_id", "left_semi"), self.words), "sets")
         of = lambda c: sets.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("hashes").alias(f"h{c}"))
         sized = near.join(of("a"), "a").join(of("b"), "b").withColumn("both", shared_size("ha", "hb"))
         links = sized.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * self.percent)
-        return scratch.write(links.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), f"links_{k}")
+        return scratch.write(links.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "links")
 
     def _merge(self, label: DataFrame | None, links: DataFrame) -> DataFrame:
         """Labels (node, component) with ``links`` added, worked out on components as nodes."""
         scratch, k = self.scratch, self.rounds
         self.rounds += 1
-        for name in (f"pairs_{k}", f"near_{k}", f"need_{k}", f"sets_{k}"):
-            scratch.drop(name)
         if label is None:
+            for name in ("pairs", "near", "need", "sets"):
+                scratch.drop(name)
             return scratch.write(components(links, scratch), f"label_{k}")
         if links.isEmpty():
             return label
