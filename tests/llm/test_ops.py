@@ -55,9 +55,9 @@ OPERATORS = {
 @pytest.mark.parametrize("n", sorted(OPERATORS))
 def test_empty_and_odd_tables(spark, n):
     assert OPERATORS[n](docs_of(spark, [])).count() == 0
-    odd = spark.createDataFrame([(1, None, None, None, None), (2, "", None, "s", 0), (3, "A b " * 50_000, "en", "s", 1), (3, "A b " * 50_000, "en", "s", 1), (4, " \n\t", "x", None, 3)], DOCS)
+    odd = spark.createDataFrame([(1, None, None, None, None), (2, "", None, "s", 0), (3, "A b " * 50_000, "en", "s", 1), (3, "A b " * 50_000, "en", "s", 1), (4, " \n\t", "x", None, 3), (None, "no id", "en", "s", 5)], DOCS)
     extra = odd.withColumns({c: F.lit(1) for c in ("key", "size", "words", "rank", "node", "component", "kept", "target", "host", "skey")})
-    assert OPERATORS[n](extra).count() >= 5
+    assert OPERATORS[n](extra).count() >= 6
 
 
 # 1

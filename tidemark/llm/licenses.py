@@ -151,10 +151,10 @@ def scan(docs: DataFrame, threshold: float = 0.8, templates: dict[str, str] = TE
     scratch = Scratch(docs.sparkSession, "licenses")
     counts = document_counts(docs, templates)
     hits = similar_blocks(docs, prefix_index(counts, templates, threshold), counts)
-    marks = hits.groupBy("doc_id", "text_key").agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
+    marks = hits.groupBy(F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key")).agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
     marks = scratch.write(marks, "marks")
     base = scan_phrases(docs).withColumn("text_key", F.xxhash64("text")).drop("text")
-    out = base.join(marks, ["doc_id", "text_key"], "left")
+    out = base.join(marks, F.col("text_key").eqNullSafe(F.col("m_key")) & F.col("doc_id").eqNullSafe(F.col("m_id")), "left")
     labels = F.array_sort(F.array_union("base", F.coalesce("more", F.array().cast("array<string>"))))
     score = F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0)))
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base", ",").alias("base_labels"), F.array_join(labels, ",").alias("labels"), score.alias("score"))

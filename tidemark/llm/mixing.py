@@ -26,7 +26,7 @@ def source_key(source: Column) -> Column:
 
 
 def random_key(doc_id: Column) -> Column:
-    return F.md5(F.concat(doc_id.cast("long").cast("string"), F.lit(":mix")).cast("binary"))
+    return F.md5(F.concat(F.coalesce(doc_id.cast("long").cast("string"), F.lit("")), F.lit(":mix")).cast("binary"))
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -63,7 +63,7 @@ def placed(docs: DataFrame, weights: tuple[int, ...], share: float, ceiling: flo
     sources = made.groupBy("skey").agg(F.min("source").alias("source"), F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     sources = scratch.write(sources, "sources")
     rows = sources.agg(F.sum("rows").alias("n")).first()["n"] or 0
-    digits = max(2, (rows // 20_000).bit_length() // 4 + 1)  # of 16 ranges each
+    digits = max(2, (rows // 200_000).bit_length() // 4 + 1)  # of 16 ranges each
     budgets = scratch.write(targets(sources, weights, share, ceiling), "targets")
     made = made.withColumn("range", F.substring("key", 1, digits))
     sums = made.groupBy("skey", "range").agg(F.sum("size").alias("n"))
@@ -102,7 +102,7 @@ SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce('s' || source, 'n') AS skey,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5(doc_id::VARCHAR || ':mix') AS key
+         md5(coalesce(doc_id::VARCHAR, '') || ':mix') AS key
   FROM documents),
 sources AS (
   SELECT skey, min(source) AS source, sum(size)::BIGINT AS source_size FROM sized GROUP BY skey),

@@ -202,7 +202,7 @@ def pack(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     spark = pieces.sparkSession
     scratch = Scratch(spark, "packing")
     made = scratch.write(pieces, "pieces")
-    buckets = 1 << max(8, (made.count() // 20_000).bit_length())
+    buckets = 1 << max(8, (made.count() // 200_000).bit_length())
     made = made.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
     counts = scratch.write(made.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n")), "counts")
     histogram = {int(r["length"]): int(r["n"]) for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most capacity rows
