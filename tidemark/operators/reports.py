@@ -11,7 +11,7 @@ from tidemark.functions.keys import OK, PARTIAL
 def latest_run(recon: DataFrame, by_text: bool = False) -> DataFrame:
     """Rows of the run committed last; ``by_text``: of the run whose id sorts last."""
     last = recon.agg((F.max("run_id") if by_text else F.max(F.struct("committed_at", "run_id"))["run_id"]).alias("run_id"))
-    return recon.join(last, "run_id", "left_semi")  # one row on the right
+    return recon.where(F.col("run_id") == last.scalar())
 
 
 def recon_failures(recon: DataFrame, by_text: bool = False) -> DataFrame:
@@ -86,7 +86,10 @@ def job_timing(runs: DataFrame, percents: tuple[int, ...] = (50, 90, 99)) -> Dat
     upto = F.sum("n").over(Window.partitionBy("range").orderBy("seconds"))
     ranked = done.withColumn("upto", upto).join(before, "range").withColumn("upto", F.col("upto") + F.col("before"))
     total = done.agg(F.sum("n").alias("total"), F.min("seconds").alias("min_s"), F.max("seconds").alias("max_s"), F.sum(F.round(F.col("seconds") * 1000).cast("long") * F.col("n")).alias("total_ms"))
-    place = lambda p: F.least(F.col("total") - 1, F.floor(F.lit(p / 100) * F.col("total")).cast("long"))
-    at = [F.min(F.when(F.col("upto") > place(p), F.col("seconds"))).alias(f"p{p}_s") for p in percents]
-    quantiles = ranked.crossJoin(F.broadcast(total)).agg(*at)  # one row on the right
-    return states.crossJoin(total.drop("total")).crossJoin(quantiles)
+    n = total.select("total").scalar()
+    place = lambda p: F.least(n - 1, F.floor(F.lit(p / 100) * n).cast("long"))
+    names = [f"p{p}_s" for p in percents]
+    at = [F.min(F.when(F.col("upto") > place(p), F.col("seconds"))).alias(c) for p, c in zip(percents, names, strict=True)]
+    quantiles = ranked.agg(*at).select(F.struct(*names)).scalar()
+    totals = total.drop("total").select(F.struct("*")).scalar()
+    return states.select("*", totals.alias("t"), quantiles.alias("q")).select(*states.columns, "t.*", "q.*")

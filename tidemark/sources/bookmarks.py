@@ -52,9 +52,11 @@ def changed_tables(manifest: DataFrame, bookmarks: DataFrame, exclude: str = "")
 
 def launch_decision(manifest: DataFrame, bookmarks: DataFrame, exclude: str = "", medium: int = 100_000_000, large: int = 1_000_000_000) -> DataFrame:
     """RESET (no tables) if any source was reset, STOP if nothing changed, else START with a row per table."""
-    resets = detect_reset(exclude_tables(manifest, exclude), bookmarks).agg(F.count(F.lit(1)).alias("resets"))
+    resets = detect_reset(exclude_tables(manifest, exclude), bookmarks).select(F.lit(1).alias("reset"))
     tables = changed_tables(manifest, bookmarks, exclude).select("table_name", "ts", size_class(F.col("record_count"), medium, large).alias("size_class"))
-    n = tables.agg(F.count(F.lit(1)).alias("n"))
-    status = F.when(F.col("resets") > 0, "RESET").when(F.col("n") == 0, "STOP").otherwise("START")
-    head = resets.crossJoin(n).select(status.alias("status"))  # one row
-    return head.join(tables, F.col("status") == "START", "left").select("status", "table_name", "ts", "size_class")
+    facts = resets.union(tables.select(F.lit(0))).agg(F.sum("reset").alias("resets"))
+    status = F.when(F.col("resets") > 0, "RESET").when(F.col("resets").isNull(), "STOP").otherwise("START")
+    head = facts.select(status.alias("status"))  # one row
+    start = tables.where(head.scalar() == "START").select(F.lit("START").alias("status"), "*")
+    none = [F.lit(None).cast(t).alias(c) for c, t in tables.dtypes]
+    return start.union(head.where("status <> 'START'").select("status", *none))
