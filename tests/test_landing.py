@@ -9,7 +9,8 @@ from tidemark.operators import recon
 from tidemark.plans import ingest
 from tidemark.sources import bookmarks as marks
 from tidemark.sources import landing
-from tidemark.streaming.upsert import VersionedTable, start_upsert_stream, upsert_batch
+from tidemark.sources.state import StateTable
+from tidemark.streaming.upsert import start_upsert_stream, upsert_batch
 
 BATCH = "id long, name string, op int, seqval_hex string"
 BOOKS = "table_name string, fingerprint string, kind string, value string"
@@ -121,30 +122,48 @@ def test_ingest(spark, tmp_path):
     land(spark, base, 1710000001000, ONE, good)
     land(spark, base, 1710000002000, TWO, "{corrupt")
     manifest = put(tmp_path, {"t": entry(history={"f1": "1710000001000"})})
-    books, paths = spark.createDataFrame([], BOOKS), [str(tmp_path / x) for x in ("history", "current1", "recon")]
+    books, paths = spark.createDataFrame([], BOOKS), [str(tmp_path / x) for x in ("history", "state", "recon")]
+    table = StateTable(spark, paths[1])
     kept = ingest.ingest_table(spark, base, manifest, "t", books, *paths, "run1", datetime(2024, 4, 1))
-    assert {r["id"]: r["name"] for r in spark.read.parquet(paths[1]).collect()} == {101: "a2", 103: "c", 104: "d"}
+    assert {r["id"]: r["name"] for r in table.current().collect()} == {101: "a2", 103: "c", 104: "d"}
     assert spark.read.parquet(paths[0]).count() == 6
     audit = {r["tier"]: (r["status"], r["expected"], r["actual"], r["delta"]) for r in spark.read.parquet(paths[2]).collect()}
     assert audit == {"A": ("MISMATCH", 3, 6, 3), "B": ("MISMATCH", 3, 6, 3)}
     state = kept.select("table_name", "fingerprint", "kind", F.col("value").cast("string"))
     assert {(r["kind"], r["value"]) for r in state.collect()} == {("hwm", "1710000002000"), ("cursor", "1710000002000"), ("merge_watermark", "1710000002000")}
-    again = ingest.ingest_table(spark, base, manifest, "t", state, paths[0], str(tmp_path / "current2"), paths[2], "run2", datetime(2024, 4, 2))
-    assert again.count() == 3 and not (tmp_path / "current2").exists()
+    again = ingest.ingest_table(spark, base, manifest, "t", state, *paths, "run2", datetime(2024, 4, 2))
+    assert again.count() == 3 and table.version() == 1
     # a retry that lost its bookmarks appends nothing twice
-    ingest.ingest_table(spark, base, manifest, "t", books, paths[0], str(tmp_path / "current3"), paths[2], "run3", datetime(2024, 4, 3))
-    assert spark.read.parquet(paths[0]).count() == 6
+    ingest.ingest_table(spark, base, manifest, "t", books, *paths, "run3", datetime(2024, 4, 3))
+    assert spark.read.parquet(paths[0]).count() == 6 and table.current().count() == 3
     # a new fingerprint with a new column
     land(spark, base, 1710000003000, [(105, "e", 0, "00000007", 1.5)], None, BATCH + ", extra double", "f2")
     manifest = put(tmp_path, {"t": entry("1710000003000", history={"f1": "1710000001000", "f2": "1710000003000"})})
-    ingest.ingest_table(spark, base, manifest, "t", state, paths[0], str(tmp_path / "current4"), paths[2], "run4", datetime(2024, 4, 4))
-    assert {r["id"]: r["extra"] for r in spark.read.parquet(str(tmp_path / "current4")).collect()} == {101: None, 103: None, 104: None, 105: 1.5}
-    rows = ingest.recon_only(spark, "t", paths[0], str(tmp_path / "current4"), "run5", datetime(2024, 4, 5)).collect()
+    ingest.ingest_table(spark, base, manifest, "t", state, *paths, "run4", datetime(2024, 4, 4))
+    assert {r["id"]: r["extra"] for r in table.current().collect()} == {101: None, 103: None, 104: None, 105: 1.5}
+    rows = ingest.recon_only(spark, "t", paths[0], paths[1], "run5", datetime(2024, 4, 5)).collect()
     assert {r["status"] for r in rows} == {"OK"} and len(rows) == 4
     assert ingest.recon_only(spark, "t", paths[0], str(tmp_path / "none"), "run5", datetime(2024, 4, 5)).count() == 0
     assert landing.partition_stats(spark.read.parquet(paths[0])).count() == 2
-    ingest.export(spark.read.parquet(paths[1]), str(tmp_path / "csv"))
-    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 3
+    ingest.export(table.current(), str(tmp_path / "csv"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 4
+    ingest.write_current(table.current(), str(tmp_path / "whole"), buckets=2)
+    assert spark.read.parquet(str(tmp_path / "whole")).count() == 4
+
+
+def test_state_table(spark, tmp_path):
+    table = StateTable(spark, str(tmp_path / "s"), buckets=4)
+    assert table.read() is None and table.version() == 0
+    rows = [(k, "x", 0, f"{k:08x}") for k in range(40)]
+    assert table.upsert(spark.createDataFrame(rows, BATCH)) == 1
+    one = spark.createDataFrame([(7, "y", 2, "000000ff")], BATCH)
+    assert table.upsert(one) == 2 and table.upsert(one, 2) == 2
+    assert {r["name"] for r in table.current().where("id = 7").collect()} == {"y"} and table.current().count() == 40
+    assert len(list((tmp_path / "s" / "data").glob("bucket=*/v=2"))) == 1  # only the key's bucket was written
+    (tmp_path / "s" / "commits" / "2").unlink()  # as if the write had not ended
+    assert {r["name"] for r in table.current().where("id = 7").collect()} == {"x"}
+    table.upsert(one, 2)
+    assert table.vacuum() == 1 and table.current().count() == 40
 
 
 def test_metrics_rollup_from_files(spark, tmp_path):
@@ -166,8 +185,8 @@ def test_stream(spark, tmp_path):
     run()
     spark.createDataFrame(ONE, BATCH).write.parquet(str(base / "a"))
     run()
-    table = VersionedTable(spark, state)
-    alive = lambda: {r["id"]: r["name"] for r in table.read().where("op <> 1").collect()}
+    table = StateTable(spark, state)
+    alive = lambda: {r["id"]: r["name"] for r in table.current().collect()}
     assert alive() == {101: "a2", 103: "c", 104: "d"}
-    upsert_batch(table)(spark.createDataFrame(ONE, BATCH), table.versions()[-1] - 1)  # the last batch once more
+    upsert_batch(table)(spark.createDataFrame(ONE, BATCH), table.version() - 1)  # the last batch once more
     assert alive() == {101: "a2", 103: "c", 104: "d"}

@@ -124,8 +124,8 @@ def not_yet_landed(batches: DataFrame, history: DataFrame, on: tuple[str, ...] =
     return batches.join(history.select(*on).distinct(), list(on), "left_anti").select(batches.columns)
 
 
-def rows_to_merge(history: DataFrame, bookmarks: DataFrame) -> DataFrame:
+def rows_to_merge(history: DataFrame, bookmarks: DataFrame, column: str = "batch_ts") -> DataFrame:
     """History beyond each fingerprint's merge watermark; a crash after append leaves none behind."""
-    marks = bookmarks.where("kind = 'merge_watermark'").select("fingerprint", F.timestamp_millis("value").alias("__mark"))
-    out = history.join(marks, "fingerprint", "left").where(F.col("__mark").isNull() | (F.col("load_ts") > F.col("__mark")))
+    marks = bookmarks.where("kind = 'merge_watermark'").select("fingerprint", F.col("value").cast("long").alias("__mark"))
+    out = history.join(marks, "fingerprint", "left").where(F.col("__mark").isNull() | (F.col(column) > F.col("__mark")))
     return out.select(history.columns)

@@ -7,12 +7,14 @@ from datetime import datetime
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.keys import BOOKKEEPING
 from tidemark.functions.scope import ColumnExclusion
 from tidemark.operators import recon
-from tidemark.operators.merge import current_state, not_yet_landed
+from tidemark.operators.merge import not_yet_landed, rows_to_merge
 from tidemark.operators.schema import align, widest
 from tidemark.sources import bookmarks as marks
 from tidemark.sources import landing
+from tidemark.sources.state import StateTable
 
 BUCKETS = 64
 
@@ -22,7 +24,7 @@ def write_history(df: DataFrame, path: str) -> None:
 
 
 def write_current(df: DataFrame, path: str, keys: tuple[str, ...] = ("id",), buckets: int = BUCKETS) -> None:
-    """A new version of the current table, hash-distributed by key."""
+    """A whole current table, as a replay makes it, hash-distributed by key."""
     df.repartition(buckets, *keys).write.mode("errorifexists").parquet(path)
 
 
@@ -45,19 +47,21 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def recon_only(spark: SparkSession, table: str, history_path: str, current_path: str, run_id: str, at: datetime) -> DataFrame:
+def recon_only(spark: SparkSession, table: str, history_path: str, state_path: str, run_id: str, at: datetime) -> DataFrame:
     """Tier D of a stored pair of tables; no rows if either is absent."""
-    if not (_exists(spark, history_path) and _exists(spark, current_path)):
+    current = StateTable(spark, state_path).current()
+    if current is None or not _exists(spark, history_path):
         return spark.createDataFrame([], recon.RECON)
-    return recon.recon_rows(recon.tier_d(spark.read.parquet(history_path), spark.read.parquet(current_path), table), run_id, at)
+    return recon.recon_rows(recon.tier_d(spark.read.parquet(history_path), current, table), run_id, at)
 
 
-def ingest_table(spark: SparkSession, base: str, manifest_path: str, table: str, bookmarks: DataFrame, history_path: str, current_path: str, recon_path: str, run_id: str, load_ts: datetime, exclude: str = "") -> DataFrame:
-    """Runs a table's unread batches through history into a new current table at ``current_path``.
+def ingest_table(spark: SparkSession, base: str, manifest_path: str, table: str, bookmarks: DataFrame, history_path: str, state_path: str, recon_path: str, run_id: str, load_ts: datetime, exclude: str = "") -> DataFrame:
+    """Runs a table's unread batches through history into the state table at ``state_path``.
 
     Returns the bookmarks to keep. Only folder names, schemas and fingerprints reach the
     driver. A retry after a crash appends no batch twice: batches that history holds are
-    left out, and the current table is resolved from history, not from the new batches.
+    left out. What is merged are rows of history beyond the merge watermark, whichever run
+    appended them, and only the buckets of their keys are rewritten.
     """
     manifest = landing.read_manifest(spark, manifest_path).where(F.lower("table_name") == table.lower())
     order = landing.fingerprint_order(manifest)
@@ -91,7 +95,7 @@ def ingest_table(spark: SparkSession, base: str, manifest_path: str, table: str,
             audits.append((table, fp, seen.get["n"]))
     landed = spark.createDataFrame(audits, "table_name string, fingerprint string, n long").groupBy("table_name", "fingerprint").agg(F.sum("n").alias("landed"))
     history = spark.read.schema(align(spark.read.parquet(history_path), widest_history(target)).schema).parquet(history_path)
-    write_current(current_state(history).drop("batch_ts"), current_path)
+    StateTable(spark, state_path).upsert(rows_to_merge(history, bookmarks.where(F.lower("table_name") == table.lower())).drop(*BOOKKEEPING, "batch_ts"))
     reported = landing.read_batch_metrics(spark, base) if _metrics_there(spark, base) else spark.createDataFrame([], "table_name string, fingerprint string, batch_ts long, read long, written long, dropped long")
     rollup = landing.batch_metrics_rollup(chosen, reported)
     counts = history.groupBy().agg(F.count(F.lit(1)).alias("actual")).withColumn("table_name", F.lit(table))

@@ -6,37 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.operators.merge import newest
+from tidemark.sources.state import StateTable
 
 
-class VersionedTable:
-    """A table written as numbered versions; readers take the last that is whole."""
-
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def versions(self) -> list[int]:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/_SUCCESS")
-        found = p.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(p) or []
-        return sorted(int(f.getPath().getParent().getName().removeprefix("v=")) for f in found)
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        last = [v for v in self.versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.path}/v={last[-1]}") if last else None
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-
-
-def upsert_batch(state: VersionedTable, keys: tuple[str, ...] = ("id",)):
-    """A ``foreachBatch`` function. A batch that comes again rewrites its own version from the
-    one before, so it counts once; tombstones stay in the state, so late changes sort right."""
+def upsert_batch(state: StateTable):
+    """A ``foreachBatch`` function. A batch that comes again rewrites its own version, so it
+    counts once; only the buckets of its keys are read and written."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        old = state.read(before=batch_id + 1)
-        rows = batch if old is None else old.unionByName(batch, allowMissingColumns=True)
-        state.write(newest(rows, keys), batch_id + 1)
+        state.upsert(batch, batch_id + 1)
 
     return merge
 
@@ -44,5 +22,5 @@ def upsert_batch(state: VersionedTable, keys: tuple[str, ...] = ("id",)):
 def start_upsert_stream(spark: SparkSession, landing: str, schema: StructType, state_path: str, checkpoint: str, keys: tuple[str, ...] = ("id",), **trigger) -> StreamingQuery:
     """Reads parquet under ``landing`` with one widest schema; by default what is there, then stops."""
     stream = spark.readStream.schema(schema).parquet(landing)
-    merge = upsert_batch(VersionedTable(spark, state_path), keys)
+    merge = upsert_batch(StateTable(spark, state_path, keys))
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
