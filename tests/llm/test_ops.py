@@ -427,3 +427,21 @@ def test_lm_score(spark):
     for i in (3, 4, 41):
         pairs = lm_score.pairs_of(lm_score.numbers(texts[i], ids))
         assert got.loc[i, "score"] == pytest.approx(near[pairs].mean(dtype=float) - far[pairs].mean(dtype=float), abs=1e-9)
+
+
+def test_filter_of_ids_loses_none(spark, monkeypatch):
+    docs, ids = docs_of(spark, ["x"] * 3000), spark.range(0, 3000, 7).withColumnRenamed("id", "doc_id")
+    for most in (1 << 28, 1 << 10):  # the second is far too small: it lets more pass, and loses none
+        monkeypatch.setattr(lm_score, "MOST_BITS", most)
+        kept = {r["doc_id"] for r in lm_score.possibly(docs, ids).collect()}
+        assert kept >= set(range(0, 3000, 7)) and (most < 1 << 20 or len(kept) < 600)
+
+
+def test_lm_score_tells_held_out_quality(spark):
+    d = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    got = lm_score.score(docs, labels.where(~held & (F.col("quality") == 1)).select("doc_id")).join(labels.where(held), "doc_id").toPandas()
+    rank, good = (-got["score"]).rank(), got["quality"] == 1
+    n, m = int(good.sum()), int((~good).sum())
+    assert (rank[good].sum() - n * (n + 1) / 2) / (n * m) > 0.95

@@ -80,3 +80,19 @@ def test_run(spark):
 
     out = corpus_pipeline.run(spark, SF)
     assert out.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(out.columns)
+
+
+@pytest.mark.parametrize("k", range(len(corpus_pipeline.STAGES)))
+def test_odd_tables(spark, k):
+    from pyspark.sql import functions as F
+
+    stage = corpus_pipeline.STAGES[k][1]
+    rows = [(1, None, None, None, None), (2, "", "en", "s", 0), (3, "One two three. " * 400, "en", "s", 1), (3, "One two three. " * 400, "en", "s", 1), (None, "No id here", "en", None, 3)]
+    odd = spark.createDataFrame(rows, DOCS).withColumns({c: F.lit(1) for c in ("skey", "upto", "epochs", "kept", "node", "component", "n", "key", "target", "piece", "bucket")})
+    out = stage(spark, odd, "")
+    if k < len(corpus_pipeline.STAGES) - 1:
+        assert out.columns == odd.columns
+        assert 3 in {r["doc_id"] for r in out.collect()}
+    else:
+        assert out.count() == 5
+    assert stage(spark, odd.limit(0), "").count() == 0
