@@ -36,9 +36,9 @@ from tidemark.llm.shared import Scratch
 BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
 LEAST_SHARE = 0.68
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 BLOCK = 512
-CELL = 1 << 20  # shingles on each side of a cell
+CELL = 1 << 16  # shingles on each side of a cell
 _rng = np.random.default_rng(20240307)
 MULT = (_rng.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)).astype(np.uint32)
 PLUS = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
