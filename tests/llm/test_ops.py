@@ -6,6 +6,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -429,6 +430,31 @@ def test_lm_score(spark):
         assert got.loc[i, "score"] == pytest.approx(near[pairs].mean(dtype=float) - far[pairs].mean(dtype=float), abs=1e-9)
 
 
+def test_lm_score_models_every_word(spark):
+    rng = random.Random(11)
+    common = [f"c{k}" for k in range(970)]
+    topics = [[f"{t}{k:03}ing" for k in range(150)] for t in ("al", "be")]  # beyond the head, with the same endings
+    texts = {i: " ".join(rng.choices(common, k=200)) for i in range(200)}
+    texts |= {1000 + i: " ".join(w for _ in range(15) for w in (rng.choice(topics[i % 2]), rng.choice(topics[i % 2]), rng.choice(common))) for i in range(60)} | {2000: "x" * 100 + " al000ing", 2001: None}
+    rows = docs_of(spark, texts)
+    rows = rows.union(rows.where("doc_id = 1001"))  # counts twice
+    good = {i for i in texts if 1000 <= i < 1040 and i % 2 == 0}
+    got = lm_score.score(rows, rows.where(F.col("doc_id").isin(*good)).select("doc_id")).toPandas()
+    assert len(got) == len(texts) + 1
+    got = got.drop_duplicates().set_index("doc_id")
+    assert max(got.loc[1040:1059:2, "score"]) < min(got.loc[1041:1059:2, "score"])
+    seqs = {i: ["", *(t or "").split()] for i, t in texts.items()}
+    vocab, want = {w for s in seqs.values() for w in s[1:]}, {}
+    for name, ids in (("target_loss", good), ("background_loss", [*texts, 1001])):
+        pairs = [p for i in ids for p in itertools.pairwise(seqs[i])]
+        both, first, word = Counter(pairs), Counter(a for a, _ in pairs), Counter(b for _, b in pairs)
+        each = min(1, lm_score.PSEUDO / len(vocab))
+        loss = lambda a, b: -math.log((both[a, b] + 50 * (word[b] + each) / (len(pairs) + lm_score.PSEUDO)) / (first[a] + 50))  # noqa: E731, B023
+        want[name] = {i: sum(loss(*p) for p in itertools.pairwise(s)) / max(1, len(s) - 1) for i, s in seqs.items()}
+    for name, values in want.items():
+        assert got[name].to_dict() == pytest.approx(values, abs=1e-6)
+
+
 def test_filter_of_ids_loses_none(spark, monkeypatch):
     docs, ids = docs_of(spark, ["x"] * 3000), spark.range(0, 3000, 7).withColumnRenamed("id", "doc_id")
     for most in (1 << 28, 1 << 10):  # the second is far too small: it lets more pass, and loses none

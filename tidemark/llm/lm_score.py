@@ -1,48 +1,63 @@
 """Cross-entropy difference of documents under matched target and background bigram models.
 
-One vocabulary serves both models: the ``WORDS`` most frequent words of the whole corpus,
-and ``CLASSES`` classes of other words by their last two bytes. Counts of words and of word
-pairs are gathered from all documents, summed within tasks first. A pair's probability is
+One vocabulary serves both models: all words of the corpus, lower-cased. Counts of words and
+of word pairs are gathered from all documents; none is left out. A pair's probability is
 (count + weight * unigram) / (count of its first word + weight), with the same weight in
-both models; the target's model counts the documents it is given, the background's all.
+both models; unigrams have ``PSEUDO`` counts more, dealt evenly over the vocabulary, at most
+one to a word. The target's model counts the documents it is given, the background's all.
 A document's losses are means over its tokens, the first after a start mark, and its score
 is the target's loss less the background's: the lower, the more like the target.
 
+Pairs of the ``WORDS`` most frequent words, the head, are counted and looked up in arrays of
+SIZE squared entries. Every other token is a row with its neighbours, moved once by its word:
+there the counts of the word, of the pair that it ends and of the pair with a head word after
+it are taken by windows, and the losses go back summed by document. So both the rows and the
+counts grow with the corpus. No word beyond the head makes more than 1 / WORDS of the tokens,
+so no task gets more than that by one key. Such words go by 63 bits of a hash.
+
 The target's texts are found by a Bloom filter of its ids and a join of what passes, so
-other texts are not shuffled. The models have (WORDS + CLASSES + 1) squared entries, 4 bytes
-each, whatever the corpus; that and ``MOST_BITS`` bound what is collected and broadcast. Null and empty texts have no tokens and score 0.
-Rows that repeat a doc_id count each; a repeated target id counts once.
+other texts are not shuffled. The head's arrays and ``MOST_BITS`` bound what is collected and
+broadcast. Null and empty texts have no tokens and score 0. Rows that repeat a doc_id count
+each; a repeated target id counts once.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from tidemark.llm.shared import Scratch
 
-WORDS, CLASSES = 960, 63
-SIZE = WORDS + CLASSES + 1  # the last is the start mark
-START = SIZE - 1
+WORDS = 960
+OTHER, START = WORDS, WORDS + 1  # of any word beyond the head; the start mark
+SIZE = WORDS + 2
+PSEUDO = SIZE - 1
 FLUSH = 300_000
+LONGEST = 64
 PROBES, MOST_BITS = 4, 1 << 28
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+    """Words in bytes; of those longer than ``LONGEST``, a part and a hash."""
+    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return [w if len(w) <= LONGEST else w[: LONGEST - 16] + blake2b(w, digest_size=16).digest() for w in parts]
 
 
 class Ids(dict):
-    """Word numbers; other words give their class."""
+    """Numbers of the head's words; other words give a negative hash."""
 
     def __missing__(self, word: bytes) -> int:
-        return WORDS + (word[-1] * 31 + (word[-2] if len(word) > 1 else 7)) % CLASSES
+        key = int.from_bytes(blake2b(word, digest_size=8).digest()) >> 1
+        if len(self) < FLUSH:
+            self[word] = ~key
+        return ~key
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -50,7 +65,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         sums: Counter[bytes] = Counter()
         for batch in batches:
             for text in batch["text"]:
-                sums.update(w if len(w) <= 64 else w[:64] for w in words_of(text))
+                sums.update(words_of(text))
                 if len(sums) > FLUSH:
                     yield pd.DataFrame({"word": list(sums), "n": list(sums.values())})
                     sums.clear()
@@ -59,10 +74,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(docs: DataFrame) -> list[bytes]:
+def head(counts: DataFrame) -> list[bytes]:
     """The most frequent words; ties by bytes."""
-    rows = word_counts(docs).orderBy(F.desc("n"), "word").limit(WORDS).collect()
-    return [bytes(r["word"]) for r in rows]
+    return [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
+
+
+def vocabulary(docs: DataFrame) -> list[bytes]:
+    return head(word_counts(docs))
 
 
 def numbers(text: str | None, ids: Ids) -> np.ndarray:
@@ -71,6 +89,7 @@ def numbers(text: str | None, ids: Ids) -> np.ndarray:
 
 
 def pairs_of(seq: np.ndarray) -> np.ndarray:
+    seq = np.where(seq < 0, OTHER, seq)
     return np.concatenate(([START], seq[:-1])) * SIZE + seq if len(seq) else seq
 
 
@@ -124,26 +143,92 @@ def possibly(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.where(F.col("doc_id").isNotNull()).where(inside(*_spots(F.col("doc_id"), bits)))
 
 
-def losses(counts: np.ndarray, weight: float) -> np.ndarray:
+def singles(counts: np.ndarray, words: int) -> np.ndarray:
+    """Unigram probabilities of the head's words and of all others together, of ``words`` words."""
+    each = min(1.0, PSEUDO / max(words, 1))
+    found = counts.reshape(SIZE, SIZE).sum(axis=0) + each
+    found[OTHER] += PSEUDO - each * (WORDS + 1)
+    found[START] = 0
+    return found / found.sum()
+
+
+def losses(counts: np.ndarray, weight: float, words: int = PSEUDO) -> np.ndarray:
     """Minus log-probabilities [first word, word] from pair counts."""
     counts = counts.reshape(SIZE, SIZE)
-    words = counts.sum(axis=0) + 1.0
-    words[START] = 0
-    single = words / words.sum()
     total = counts.sum(axis=1, keepdims=True)
     with np.errstate(divide="ignore"):
-        return -np.log((counts + weight * single) / (total + weight)).astype(np.float32)
+        return -np.log((counts + weight * singles(counts, words)) / (total + weight)).astype(np.float32)
+
+
+def beyond_head(docs: DataFrame, vocab: list[bytes]) -> DataFrame:
+    """A row of each token beyond the head: word, the one before, the one after (``OTHER``
+    where that is beyond the head too, ``START`` at the end), and its document's ``row``."""
+
+    def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids = Ids((w, k) for k, w in enumerate(vocab))
+        for batch in batches:
+            parts, held = [], 0
+            for row, text in zip(batch["row"], batch["text"], strict=True):
+                seq = numbers(text, ids)
+                at = np.flatnonzero(seq < 0)
+                padded = np.concatenate(([START], seq, [START]))
+                parts.append((seq[at], padded[at], np.where(padded[at + 2] < 0, OTHER, padded[at + 2]), np.full(len(at), row, dtype=np.int64)))
+                held += len(at)
+                if held > FLUSH:
+                    yield pd.DataFrame(dict(zip(("word", "before", "after", "row"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
+                    parts, held = [], 0
+            if held:
+                yield pd.DataFrame(dict(zip(("word", "before", "after", "row"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
+
+    return docs.select("row", "text").mapInPandas(tokens, "word long, before long, after long, row long")
+
+
+def losses_beyond_head(docs: DataFrame, target: DataFrame, vocab: list[bytes], words: int, near: np.ndarray, far: np.ndarray, weight: float) -> DataFrame:
+    """Of each ``row``: how many pairs with a word beyond the head, and the sums of their losses
+    in both models, less the part of a first word in the head."""
+    each = min(1.0, PSEUDO / max(words, 1))
+    sides = {"near": (near, F.col("row").isNull()), "far": (far, F.col("row").isNotNull())}
+    rows = beyond_head(docs, vocab).union(beyond_head(target, vocab).withColumn("row", F.lit(None).cast("long"))).repartition("word")
+    for keys in (["word", "before"], ["word"], ["word", "after"]):
+        over = Window.partitionBy(*keys)
+        rows = rows.withColumns({f"{side}_{keys[-1]}": F.count_if(own).over(over) for side, (_, own) in sides.items()})
+        if keys == ["word"]:
+            rows = rows.withColumns({f"{side}_first": F.count_if(own & (F.col("after") != START)).over(over) for side, (_, own) in sides.items()})
+    single = {side: singles(counts, words) for side, (counts, _) in sides.items()}
+    heads = docs.sparkSession.createDataFrame([(k, *(float(single[side][k]) for side in sides)) for k in range(WORDS)], "after long, near_single double, far_single double")
+    rows = rows.where("row is not null").join(F.broadcast(heads), "after", "left")
+
+    def loss(side: str, total: float) -> Column:
+        own = F.col(f"{side}_before") + weight * (F.col(f"{side}_word") + each) / (total + PSEUDO)
+        first = F.when(F.col("after") != START, F.log(F.col(f"{side}_first") + weight)).otherwise(0.0)
+        after = F.when(F.col("after") < OTHER, F.log(F.col(f"{side}_after") + weight * F.col(f"{side}_single"))).otherwise(0.0)
+        return first - F.log(own) - after
+
+    return rows.groupBy("row").agg(
+        F.sum(F.when(F.col("after") < OTHER, 2).otherwise(1)).alias("pairs"),
+        *[F.sum(loss(side, float(counts.sum()))).alias(f"{side}_more") for side, (counts, _) in sides.items()],
+    )
 
 
 def score(docs: DataFrame, target_ids: DataFrame, weight: float = 50.0) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score of each row of ``docs``."""
     spark = docs.sparkSession
+    scratch = Scratch(spark, "lm")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ids = Scratch(spark, "lm").write(target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(), "targets")
-    vocab = vocabulary(docs)
+    docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))  # rows that share it are equal, and so are their losses
+    ids = scratch.write(target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(), "targets")
+    counts = scratch.write(word_counts(docs), "words")
+    vocab, words = head(counts), counts.count()
     target = possibly(docs, ids).join(ids.hint("merge"), "doc_id", "left_semi")
-    near, far = (losses(pair_counts(d, vocab), weight).ravel() for d in (target, docs))
-    shared = spark.sparkContext.broadcast((vocab, near, far))
+    near, far = (pair_counts(d, vocab) for d in (target, docs))
+    more = scratch.write(losses_beyond_head(docs, target, vocab, words, near, far, weight), "beyond")
+    tables = []
+    for sums in (near, far):
+        table, total = losses(sums, weight, words), sums.reshape(SIZE, SIZE).sum(axis=1)
+        table[:, OTHER] = np.log(total + weight)  # the rest of these pairs' losses is in ``more``
+        table[OTHER] = 0
+        tables.append(table.ravel())
+    shared = spark.sparkContext.broadcast((vocab, *tables))
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, near, far = shared.value
@@ -152,9 +237,14 @@ def score(docs: DataFrame, target_ids: DataFrame, weight: float = 50.0) -> DataF
             rows = []
             for text in batch["text"]:
                 pairs = pairs_of(numbers(text, own))
-                n = len(pairs)
-                rows.append((n, float(near[pairs].mean(dtype=float)) if n else 0.0, float(far[pairs].mean(dtype=float)) if n else 0.0))
-            n, a, b = (np.array(x) for x in zip(*rows, strict=True)) if rows else ([], np.empty(0), np.empty(0))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": n, "target_loss": a, "background_loss": b, "score": a - b})
-
-    return docs.mapInPandas(mark, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+                beyond = (pairs // SIZE == OTHER) | (pairs % SIZE == OTHER)
+                rows.append((len(pairs), int(beyond.sum()), float(near[pairs].sum(dtype=float)), float(far[pairs].sum(dtype=float))))
+            n, m, a, b = (np.array(x) for x in zip(*rows, strict=True)) if rows else ([], [], [], [])
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "row": batch["row"], "n_tokens": n, "beyond": m, "near": a, "far": b})
+
+    marked = docs.mapInPandas(mark, "doc_id long, row long, n_tokens long, beyond long, near double, far double")
+    joined = marked.join(more, "row", "left")
+    # ``more`` sums over equal rows: each has its share by the number of pairs.
+    whole = lambda side: F.when(F.col("n_tokens") > 0, (F.col(side) + F.coalesce(F.col(f"{side}_more") * F.col("beyond") / F.col("pairs"), F.lit(0.0))) / F.col("n_tokens")).otherwise(0.0)
+    out = joined.select("doc_id", "n_tokens", whole("near").alias("target_loss"), whole("far").alias("background_loss"))
+    return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
