@@ -160,6 +160,17 @@ def test_licenses(spark, real):
         assert tuple(r)[1:] == scan_by_hand(texts[r["doc_id"]])
 
 
+def test_wrapped_and_scattered_notices(spark):
+    mit, bsd, gpl, mpl = (next(t for t, own in licenses.TEMPLATES.items() if own == label and len(t.split()) > 8) for label in ("mit", "bsd", "gpl", "mpl-2"))
+    wrap = lambda t, n: "\n# ".join(" ".join(t.split()[k : k + n]) for k in range(0, len(t.split()), n))
+    texts = ["some words before\n" * 30 + wrap(t, n) + "\nand after" * 30 for t in (mit, bsd, gpl, mpl) for n in (3, 7)]
+    texts += [" ".join(f"{w} {'filler ' * 20}" for w in mit.split()), "\n".join(f"{w} {'filler ' * 20}" for w in mit.split())]  # scattered
+    texts += ["prose " * 3000 + mit + " prose" * 3000, "released under the GPL license", "released under\nthe MIT license", "released under the\nGPL license"]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scan(docs_of(spark, texts)).collect()}
+    assert [got[k] for k in range(8)] == [(x, 1.0) for x in ("mit", "bsd", "gpl", "mpl-2") for _ in range(2)]
+    assert [got[k] for k in range(8, 14)] == [("", 0.0), ("", 0.0), ("mit", 1.0), ("", 0.0), ("mit", 1.0), ("", 0.0)]
+
+
 def test_license_plan_is_native(spark):
     plan = licenses.scan(table(spark, SF, "documents"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)

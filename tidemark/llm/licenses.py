@@ -3,14 +3,18 @@ r"""License scan: phrases in place, and an exact set-similarity join with notice
 DataFrame functions only. Words are runs of digits, letters and characters beyond ASCII,
 with A-Z in lower case. ``PHRASES`` are found where their words stand consecutively.
 
-The join finds every text block (a line) that holds at least ``threshold`` of a template's
-distinct words. Only template words can count, so blocks are looked at through the
-templates' vocabulary, which is small and fixed; nothing is lost by it. Template words are
-ordered by how many documents of the corpus hold them, rarest first. A template with n
-words and needing k of them must share one of its first n - k + 1 words (its prefix) with
-a block. So:
-
-* a block without a prefix word is not a candidate (tested on the raw line);
+The join finds every text block that holds at least ``threshold`` of a template's distinct
+words, and all words that name its license (``NAMES``), so that another license's notice
+does not pass by common words. Blocks are lines of at most ``SPREAD`` times the template's
+words, whose names may stand on the next line; and, for templates that no line meets, all
+runs of that many words of the document, wherever its lines end. So a wrapped notice is
+found, and words scattered over a long line are not. Only template words can count, so
+blocks are looked at through the templates' vocabulary, which is small and fixed; nothing
+is lost by it. Template words are ordered by how many documents of the corpus hold them,
+rarest first. A template with n words and needing k of them must share one of its first
+n - k + 1 words (its prefix) with a block, and with the block's document. So:
+
+* a block without a prefix word is not a candidate (tested on the raw text);
 * length filter: a block with fewer than k template words is none either;
 * positional filter: with a first shared word at place i of the template and j of the
   block's ordered words, at most 1 + min(n - i - 1, m - j - 1) can be shared;
@@ -47,6 +51,10 @@ TEMPLATES = {
     "this source code form is subject to the terms of the mozilla public license v 2 0": "mpl-2",
 }
 
+# Words that name each license; a template's own are those that it holds.
+NAMES = {"mit": {"mit"}, "apache-2": {"apache", "2"}, "gpl-3": {"gnu", "3"}, "gpl": {"gnu"}, "cc-by-nc": {"cc", "by", "nc"}, "cc-by": {"creative", "commons", "attribution"}, "mpl-2": {"mozilla", "2"}}
+SPREAD = 2
+
 
 def worded(text: Column) -> Column:
     """The text's words, in their case, with one space between."""
@@ -115,34 +123,59 @@ def prefix_index(counts: dict[str, int], templates: dict[str, str], threshold: f
     for text, label in templates.items():
         words = sorted(set(text.split()), key=lambda w: (counts[w], w))
         need = math.ceil(threshold * len(words) - 1e-9)
-        out.append({"label": label, "words": words, "need": need, "prefix": words[: len(words) - need + 1]})
+        names = sorted(NAMES.get(label, set()).intersection(words))
+        out.append({"label": label, "words": words, "need": need, "prefix": words[: len(words) - need + 1], "names": names, "span": SPREAD * len(text.split())})
     return out
 
 
 def similar_blocks(docs: DataFrame, index: list[dict], counts: dict[str, int]) -> DataFrame:
-    """(doc_id, text_key, block, label, share) of each block that meets a template's threshold."""
+    """(doc_id, text_key, label, share) of each template that a line or a run of words meets."""
     order = sorted(counts, key=lambda w: (counts[w], w))
     prefix_words = sorted({w for t in index for w in t["prefix"]})
     some = r"(?i)(?<![0-9a-z\x{80}-\x{10FFFF}])(?:" + "|".join(map(re.escape, prefix_words)) + r")(?![0-9a-z\x{80}-\x{10FFFF}])"
-    blocks = docs.where(F.col("text").rlike(some)).select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(F.split("text", "\n", -1)).alias("block", "line"))
-    own = F.split(F.translate(worded(F.col("line")), UPPER, LOWER), " ")
-    blocks = blocks.where(F.col("line").rlike(some)).withColumn("words", F.array_intersect(F.array(*map(F.lit, order)), own))
-    blocks = blocks.where(F.size("words") >= min(t["need"] for t in index))
-    joined = blocks.withColumn("word", F.explode("words")).join(F.broadcast(_prefixes(docs.sparkSession, index)), "word")
-    place = F.array_position("words", F.col("word")) - 1
-    most = 1 + F.least(F.col("length") - F.col("place") - 1, F.size("words") - place - 1)
-    near = joined.where((F.size("words") >= F.col("need")) & (most >= F.col("need")))
-    near = near.withColumn("shared", F.size(F.array_intersect("words", "template"))).where("shared >= need")
-    return near.select("doc_id", "text_key", "block", "label", (F.col("shared") / F.col("length")).alias("share"))
+    split = lambda text: F.split(F.translate(worded(text), UPPER, LOWER), " ")
+    found = docs.where(F.col("text").rlike(some)).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+
+    def candidates(blocks: DataFrame) -> DataFrame:
+        """Blocks, with a column ``own`` of words, beside templates of whose words they hold enough."""
+        blocks = blocks.withColumn("words", F.array_intersect(F.array(*map(F.lit, order)), "own"))
+        blocks = blocks.where(F.size("words") >= min(t["need"] for t in index))
+        joined = blocks.withColumn("word", F.explode("words")).join(F.broadcast(_prefixes(docs.sparkSession, index)), "word")
+        place = F.array_position("words", F.col("word")) - 1
+        most = 1 + F.least(F.col("length") - F.col("place") - 1, F.size("words") - place - 1)
+        near = joined.where((F.size("words") >= F.col("need")) & (most >= F.col("need")))
+        return near.withColumn("shared", F.size(F.array_intersect("words", "template"))).where("shared >= need")
+
+    lines = found.withColumn("lines", F.split("text", "\n", -1)).select("doc_id", "text_key", F.posexplode("lines").alias("block", "line"), F.col("lines").alias("all"))
+    lines = lines.where(F.col("line").rlike(some)).select("doc_id", "text_key", split(F.col("line")).alias("own"), split(F.get("all", F.col("block") + 1)).alias("next"))
+    named = F.size(F.array_except("names", F.concat("own", "next"))) == 0
+    by_line = candidates(lines).where((F.size("own") <= F.col("span")) & named)
+
+    # A document and a template may meet by several prefix words; then one is enough.
+    runs = candidates(found.select("doc_id", "text_key", split(F.col("text")).alias("own")))
+    first = F.array_position(F.array_intersect("words", "template"), F.col("word")) == 1
+    runs = runs.where(first & (F.size(F.array_except("names", "words")) == 0))
+    # One expression, its hits bound by a lambda: as columns they would be computed anew for each hit.
+    hits = "filter(transform(own, (w, i) -> struct(w, i as at)), h -> array_contains(template, h.w))"
+    held = "transform(hs, (h, i) -> array_distinct(transform(filter(slice(hs, i + 1, span), g -> g.at < h.at + span), g -> g.w)))"
+    most = f"array_max(transform(flatten(transform(array({hits}), hs -> {held})), ws -> if(size(array_except(names, ws)) = 0, size(ws), 0)))"
+    runs = runs.withColumn("shared", F.expr(most)).where("shared >= need")
+
+    share = (F.col("shared") / F.col("length")).alias("share")
+    both = [df.select("doc_id", "text_key", "label", "template", F.lit(kind).alias("line"), share) for df, kind in ((by_line, True), (runs, False))]
+    best = [F.max(F.when(F.col("line") == kind, F.col("share"))) for kind in (True, False)]
+    return both[0].union(both[1]).groupBy("doc_id", "text_key", "label", "template").agg(F.coalesce(*best).alias("share")).drop("template")
 
 
 def _prefixes(spark: SparkSession, index: list[dict]) -> DataFrame:
     """A row for each prefix word of each template: as many as the templates' words at most."""
-    rows = [(w, place, t["label"], t["words"], len(t["words"]), t["need"]) for t in index for place, w in enumerate(t["prefix"])]
-    entry = lambda r: F.struct(
-        F.lit(r[0]).alias("word"), F.lit(r[1]).alias("place"), F.lit(r[2]).alias("label"), F.array(*map(F.lit, r[3])).alias("template"), F.lit(r[4]).alias("length"), F.lit(r[5]).alias("need")
-    )
-    return spark.range(1, numPartitions=1).select(F.explode(F.array(*map(entry, rows))).alias("e")).select("e.*")
+    rows = [(w, place, t) for t in index for place, w in enumerate(t["prefix"])]
+    strings = lambda ws: F.array(*map(F.lit, ws)).cast("array<string>")
+    entry = lambda w, place, t: F.struct(
+        F.lit(w).alias("word"), F.lit(place).alias("place"), F.lit(t["label"]).alias("label"), strings(t["words"]).alias("template"), F.lit(len(t["words"])).alias("length"),
+        F.lit(t["need"]).alias("need"), strings(t["names"]).alias("names"), F.lit(t["span"]).alias("span"),
+    )
+    return spark.range(1, numPartitions=1).select(F.explode(F.array(*(entry(*r) for r in rows))).alias("e")).select("e.*")
 
 
 def scan(docs: DataFrame, threshold: float = 0.8, templates: dict[str, str] = TEMPLATES) -> DataFrame:
