@@ -415,6 +415,18 @@ def test_pii_checks_and_context():
     assert pii.luhn("79927398713") and not pii.luhn("79927398710")
 
 
+def test_iban_before_other_words():
+    spaced, plain = "DE89 3704 0044 0532 0130 00", "DE89370400440532013000"
+    for text, want in (
+        (f"{spaced} BIC COBADEFFXXX", [spaced]),
+        (f"{plain} EUR 50", [plain]),
+        (f"to {spaced} I paid", [spaced]),
+        (f"AB12 {spaced} GB82 WEST 1234 5698 7654 32 OK", [spaced, "GB82 WEST 1234 5698 7654 32"]),
+        (f"NO93 8601 1117 947 NOK 5, {plain}x", ["NO93 8601 1117 947"]),
+    ):
+        assert [s for kind, _, _, s, _ in pii.spans(text) if kind == "iban"] == want
+
+
 # 10
 
 

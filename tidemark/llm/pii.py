@@ -22,7 +22,18 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=((?:[ ]?[A-Z0-9]){11,30}))")
+MORE_WORD = re.compile("[A-Za-z0-9]")
+# Lengths of each country's IBAN.
+LENGTHS = {
+    own: int(n)
+    for n, countries in (x.split(":") for x in (
+        "15:NO 16:BE 18:DK,FI,FO,GL,NL 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,XK 21:CH,HR,LI,LV 22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA "
+        "23:AE,GI,IL,IQ,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:PT,ST 26:IS,TR 27:FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HU,LB,PL,SV "
+        "29:BR,EG,PS,QA,UA 30:JO,KW,MU 31:MT,SC 32:LC"
+    ).split())
+    for own in countries.split(",")
+}
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 DIGIT = re.compile("[0-9]")
 BASE = ("email", "ip", "card", "phone")
@@ -68,6 +79,26 @@ def emails(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", at + 1)
 
 
+def ibans(text: str) -> Iterator[tuple[int, int]]:
+    """Codes of their country's length, or where that is unknown the longest that mod-97 confirms.
+
+    They end with a word. After a start that fails, the next one is tried.
+    """
+    free = 0
+    for m in IBAN.finditer(text):
+        start = m.start()
+        if start < free:
+            continue
+        for end in range(m.end(1), m.start(1), -1):
+            if text[end - 1] == " " or MORE_WORD.match(text, end):
+                continue
+            code = text[start:end].replace(" ", "")
+            if len(code) >= 15 and LENGTHS.get(code[:2], len(code)) == len(code) and mod97(code):
+                yield start, end
+                free = end
+                break
+
+
 def only_digits(s: str) -> str:
     return re.sub("[^0-9]", "", s)
 
@@ -90,9 +121,8 @@ def proposals(text: str) -> Iterator[tuple[str, int, int]]:
         for m in PHONE.finditer(text):
             if 10 <= len(only_digits(m.group())) <= 15:
                 yield "phone", *m.span()
-    for m in IBAN.finditer(text):
-        if mod97(m.group().replace(" ", "")):
-            yield "iban", *m.span()
+    for start, end in ibans(text):
+        yield "iban", start, end
     for m in SSN.finditer(text):
         if m.group()[:3] not in ("000", "666") and m.group()[0] != "9":
             yield "ssn", *m.span()
