@@ -87,6 +87,13 @@ def test_html_text(spark):
         assert all(r["n_chars"] == len(r["text"]) for r in got.values()) and len(got) == len(rows)
 
 
+def test_html_host_of_many_templates(spark):
+    names = ["abcdef"[k % 6] for k in range(60)]
+    rows = [(k, f"http://h.org/{k}", f"<html><body><p>Site of h, with all its news</p><div class='wrap{x}'><p>Unmarked line</p><div class='part{x}'><p>{LONG * 9}</p></div></div></body></html>") for k, x in enumerate(names)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert all(r["path"] == f">html>body>div.wrap{names[r['page_id']]}>div.part{names[r['page_id']]}" and r["text"] == (LONG * 9).strip() for r in got)
+
+
 def test_html_fixture(spark):
     """Pages of the fixture hold their article in one element."""
     import html

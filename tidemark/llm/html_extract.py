@@ -1,10 +1,11 @@
 """Main text of web pages by consensus paths of their hosts.
 
 First pass: in each page, every container (article, main, section, div, cell, body) is
-scored by the prose that it holds, and the best ones vote, with generalised paths of tags
-and classes (digits become #), for their host. Spark sums votes by host and path; the
-leading paths of a host win. Second pass: a page's text is taken again from the elements
-on the first winning path that it has; a page with none falls back on its own best one.
+scored by the prose that it holds, and the best one votes, with its generalised path of tags
+and classes (digits become #), for its host. Spark sums votes by host and path; all paths
+with a tenth of the leading one's votes and a hundredth of all win. Second pass: a page's text is taken again from
+the elements on the deepest winning path that hold most of its best container's score; a
+page with none falls back on its own best one.
 
 Winning paths are a few short strings per host. Their bytes are counted: up to
 ``BROADCAST_BYTES`` they are broadcast; beyond, they are joined to pages by host, where
@@ -27,7 +28,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import Scratch
 
 BROADCAST_BYTES = 32 << 20
-WINNERS = 3
 TOKEN = re.compile(r"<(?:!--.*?(?:-->|\Z)|[!?][^>]*+>|(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)>)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 # Roles of elements and of words in class and id.
@@ -148,12 +148,14 @@ class Page:
         return max(scores, key=lambda k: (scores[k], k), default=0)
 
     def text(self, paths: list[str]) -> tuple[str, str]:
-        """The text on the first of ``paths`` with any, else in the best container; and the path."""
-        for path in paths:
+        """The text on the deepest of ``paths`` that holds most of the page's prose, else in the
+        best container; and the path. Of equally deep ones, the first counts."""
+        scores = self.scores()
+        best = self.best(scores)
+        for path in sorted(paths, key=lambda p: -p.count(">")):
             roots = {k for k, p in enumerate(self.paths) if p == path}
-            if roots and (found := self._inside(roots)):
+            if 2 * sum(scores.get(k, 0.0) for k in roots) > scores.get(best, 0.0) and (found := self._inside(roots)):
                 return found, path
-        best = self.best(self.scores())
         return self._inside({best}), self.paths[best]
 
     def _inside(self, roots: set[int]) -> str:
@@ -164,14 +166,13 @@ class Page:
 
 
 def votes(source: str | None) -> list[tuple[str, float]]:
-    """The page's best containers' paths, with shares of one vote."""
+    """The path of the page's best container, with one vote."""
     if not source:
         return []
     page = Page(source)
     scores = page.scores()
-    top = sorted(scores, key=lambda k: (-scores[k], -k))[:WINNERS]
-    total = sum(scores[k] for k in top)
-    return [(page.paths[k], scores[k] / total) for k in top] if total > 0 else []
+    best = page.best(scores)
+    return [(page.paths[best], 1.0)] if scores.get(best, 0.0) > 0 else []
 
 
 def host():
@@ -191,9 +192,11 @@ def host_paths(pages: DataFrame, least_share: float = 0.1) -> DataFrame:
 
     cast = pages.select(host().alias("host"), F.col("html").cast("string").alias("html")).mapInPandas(count, "host string, path string, votes long")
     summed = cast.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    ranked = summed.withColumn("place", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path"))).where(f"place <= {WINNERS}")
+    ranked = summed.withColumn("place", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path")))
     most = F.max("votes").over(Window.partitionBy("host"))
-    return ranked.where("votes > 0").withColumn("most", most).where(F.col("votes") >= F.col("most") * least_share).select("host", "path", "place")
+    total = F.sum("votes").over(Window.partitionBy("host"))
+    ranked = ranked.where("votes > 0").withColumns({"most": most, "total": total}).where("votes * 100 >= total")  # at most 100 paths
+    return ranked.where(F.col("votes") >= F.col("most") * least_share).select("host", "path", "place")
 
 
 def extract(pages: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
