@@ -1,250 +1,248 @@
 """Cross-entropy difference of documents under matched target and background bigram models.
 
-One vocabulary serves both models: all words of the corpus, lower-cased. Counts of words and
-of word pairs are gathered from all documents; none is left out. A pair's probability is
-(count + weight * unigram) / (count of its first word + weight), with the same weight in
-both models; unigrams have ``PSEUDO`` counts more, dealt evenly over the vocabulary, at most
-one to a word. The target's model counts the documents it is given, the background's all.
-A document's losses are means over its tokens, the first after a start mark, and its score
-is the target's loss less the background's: the lower, the more like the target.
-
-Pairs of the ``WORDS`` most frequent words, the head, are counted and looked up in arrays of
-SIZE squared entries. Every other token is a row with its neighbours, moved once by its word:
-there the counts of the word, of the pair that it ends and of the pair with a head word after
-it are taken by windows, and the losses go back summed by document. So both the rows and the
-counts grow with the corpus. No word beyond the head makes more than 1 / WORDS of the tokens,
-so no task gets more than that by one key. Such words go by 63 bits of a hash.
-
-The target's texts are found by a Bloom filter of its ids and a join of what passes, so
-other texts are not shuffled. The head's arrays and ``MOST_BITS`` bound what is collected and
-broadcast. Null and empty texts have no tokens and score 0. Rows that repeat a doc_id count
-each; a repeated target id counts once.
+One vocabulary serves both models: all words of the corpus, with A-Z in lower case, parted by
+ASCII white space, whatever their length, and a mark that ends a document and stands before
+the next one's first word. Both models count every word and every pair of neighbours; the
+target's in the documents it is given, the background's in all. The form is the same and the
+smoothing fits each model's own size: with N tokens, V words and ``once`` pairs seen once,
+
+    p(w) = (count(w) + 1) / (N + V)
+    p(w | v) = (1 - a) * count(v, w) / count(v) + a * p(w),   a = (once + 1) / (N + 2)
+
+where ``a`` is the Good-Turing share of unseen pairs; after a word that a model never saw it
+is p(w). A document's losses are means over its words and its end, and its score is the
+target's loss less the background's: the lower, the more like the target.
+
+Nothing is left out, and no table of counts is collected or broadcast. Tasks turn texts into
+blocks of about ``TOKENS`` tokens: sequences of numbers in the block's own vocabulary. Each
+block asks for its distinct words and pairs once, as sorted 64-bit hashes with its own counts,
+so that a word of any frequency is one entry of a block. Groups of a range of hashes sum the
+counts and answer in the same order, and blocks look their tokens' losses up in the answers.
+So sequences move once, questions once and answers once, compressed: about three times the
+size of the table in all. There are tokens / ``ENTRIES`` groups, and so many questions for each
+block: with very many tokens, raise both constants so that a question keeps thousands of entries.
+
+Up to ``MOST_IDS`` target ids are broadcast; more are joined to the texts by doc_id. Null and
+empty texts have no tokens and score 0. Rows that repeat a doc_id count each, and all are of
+the target if the id is; a repeated target id counts once, and a null one never.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
-from hashlib import blake2b
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import xxhash
+import zstandard
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
 
 from tidemark.llm.shared import Scratch
 
-WORDS = 960
-OTHER, START = WORDS, WORDS + 1  # of any word beyond the head; the start mark
-SIZE = WORDS + 2
-PSEUDO = SIZE - 1
-FLUSH = 300_000
-LONGEST = 64
-PROBES, MOST_BITS = 4, 1 << 28
+TOKENS = 1_000_000
+ENTRIES = 2_000_000
+LEAST_GROUPS = 64
+MOST_DOCS = 100_000
+MOST_IDS = 2_000_000
+MARK = 0  # the number of the mark between documents, in every block
+SEQUENCES = "block long, tokens long, near_tokens long, ids binary, hashes binary, seq binary"
 
 
 def words_of(text: str | None) -> list[bytes]:
-    """Words in bytes; of those longer than ``LONGEST``, a part and a hash."""
-    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    return [w if len(w) <= LONGEST else w[: LONGEST - 16] + blake2b(w, digest_size=16).digest() for w in parts]
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
-class Ids(dict):
-    """Numbers of the head's words; other words give a negative hash."""
+def packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of one length, their bytes by significance, compressed."""
+    planes = (np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() for a in arrays)
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(planes))
 
-    def __missing__(self, word: bytes) -> int:
-        key = int.from_bytes(blake2b(word, digest_size=8).digest()) >> 1
-        if len(self) < FLUSH:
-            self[word] = ~key
-        return ~key
+
+def unpacked(raw: bytes, *kinds: str) -> list[np.ndarray]:
+    data, widths = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), dtype=np.uint8), [np.dtype(k).itemsize for k in kinds]
+    n, out, at = len(data) // sum(widths), [], 0
+    for kind, width in zip(kinds, widths, strict=True):
+        out.append(np.ascontiguousarray(data[at : at + n * width].reshape(width, n).T).view(kind).ravel())
+        at += n * width
+    return out
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: Counter[bytes] = Counter()
+class Numbers(dict):
+    """Words by order of first use, from 1."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self) + 1
+        return n
+
+
+class Block:
+    """Documents as one sequence of word numbers, each followed by the mark."""
+
+    def __init__(self):
+        self.numbers, self.parts, self.tokens = Numbers(), [], 0
+        self.ids: list[tuple[int, bool, int, bool]] = []  # doc_id, null, words, of the target
+
+    def add(self, doc_id: str | None, text: str | None, near: bool) -> None:
+        words = words_of(text)
+        self.ids.append((int(doc_id or 0), doc_id is None, len(words), near))
+        if words:
+            own = np.empty(len(words) + 1, dtype=np.uint32)
+            own[:-1] = np.fromiter(map(self.numbers.__getitem__, words), dtype=np.uint32, count=len(words))
+            own[-1] = MARK
+            self.parts.append(own)
+            self.tokens += len(own)
+
+    def full(self) -> bool:
+        return self.tokens >= TOKENS or len(self.ids) >= MOST_DOCS
+
+    def frame(self) -> pd.DataFrame:
+        """Its row: the most frequent words get the smallest numbers, which compress best."""
+        seq = np.concatenate(self.parts) if self.parts else np.empty(0, dtype=np.uint32)
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, [b"", *self.numbers]), dtype=np.uint64, count=len(self.numbers) + 1)
+        order = np.argsort(-np.bincount(seq, minlength=len(hashes))[1:], kind="stable") + 1
+        moved = np.zeros(len(hashes), dtype=np.uint32)
+        moved[order] = np.arange(1, len(hashes), dtype=np.uint32)
+        ids, null, n, near = (np.array(x, dtype=kind) for x, kind in zip(zip(*self.ids, strict=True), ("i8", "u1", "u4", "u1"), strict=True))
+        row = (uuid4().int >> 65, len(seq), int(((n + 1) * near * (n > 0)).sum()), packed(ids, null, n, near), packed(hashes[np.concatenate(([MARK], order))]), packed(moved[seq]))
+        return pd.DataFrame([row], columns=[c.split()[0] for c in SEQUENCES.split(", ")])
+
+
+def sequences(docs: DataFrame) -> DataFrame:
+    """Blocks of the rows (doc_id, text, near)."""
+
+    def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block = Block()
         for batch in batches:
-            for text in batch["text"]:
-                sums.update(words_of(text))
-                if len(sums) > FLUSH:
-                    yield pd.DataFrame({"word": list(sums), "n": list(sums.values())})
-                    sums.clear()
-        yield pd.DataFrame({"word": list(sums), "n": list(sums.values())})
+            for doc_id, text, near in zip(batch["doc_id"], batch["text"], batch["near"], strict=True):
+                block.add(doc_id, text, near)
+                if block.full():
+                    yield block.frame()
+                    block = Block()
+        if block.ids:
+            yield block.frame()
 
-    return docs.select("text").mapInPandas(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text", "near").mapInPandas(make, SEQUENCES)  # as a string, ids beside nulls stay exact
 
 
-def head(counts: DataFrame) -> list[bytes]:
-    """The most frequent words; ties by bytes."""
-    return [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
+def mixed(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of pairs of hashes."""
+    out = first * np.uint64(0x9E3779B97F4A7C15)
+    out ^= out >> np.uint64(32)
+    out = (out + second) * np.uint64(0xD6E8FEB86659FD93)
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    return out ^ out >> np.uint64(32)
 
 
-def vocabulary(docs: DataFrame) -> list[bytes]:
-    return head(word_counts(docs))
+class Grams:
+    """Distinct words and pairs of a block: first words, in order of number, then pairs."""
 
+    def __init__(self, hashes: np.ndarray, seq: np.ndarray):
+        words = len(hashes)
+        before = np.empty(len(seq), dtype=np.int64)
+        before[:1], before[1:] = MARK, seq[:-1]
+        self.pairs, self.which = np.unique(before * words + seq, return_inverse=True)
+        self.first, self.second = self.pairs // words, self.pairs % words
+        one = np.uint64(1)
+        self.keys = np.concatenate((hashes & ~one, mixed(hashes[self.first], hashes[self.second]) | one))  # the last bit marks pairs
+        self.order = np.argsort(self.keys)
 
-def numbers(text: str | None, ids: Ids) -> np.ndarray:
-    parts = words_of(text)
-    return np.fromiter(map(ids.__getitem__, parts), dtype=np.int64, count=len(parts))
+    def counts(self, seq: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """How often each stands at the tokens ``some``."""
+        words = len(self.keys) - len(self.pairs)
+        return np.concatenate((np.bincount(seq[some], minlength=words), np.bincount(self.which[some], minlength=len(self.pairs))))
 
 
-def pairs_of(seq: np.ndarray) -> np.ndarray:
-    seq = np.where(seq < 0, OTHER, seq)
-    return np.concatenate(([START], seq[:-1])) * SIZE + seq if len(seq) else seq
+def document_rows(raw: bytes) -> tuple[np.ndarray, ...]:
+    return tuple(unpacked(raw, "i8", "u1", "u4", "u1"))
 
 
-def pair_counts(docs: DataFrame, vocab: list[bytes]) -> np.ndarray:
-    """How often each pair of numbers stands in all of ``docs``."""
+def group_bounds(keys: np.ndarray, groups: int) -> np.ndarray:
+    """Where each group's keys begin among the sorted ``keys``; and the end."""
+    group = (keys >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)
+    return np.searchsorted(group, np.arange(groups + 1, dtype=np.uint64))
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = Ids((w, k) for k, w in enumerate(vocab))
-        sums = np.zeros(SIZE * SIZE, dtype=np.int64)
-        for batch in batches:
-            seqs = [pairs_of(numbers(t, ids)) for t in batch["text"]]
-            if seqs:
-                found, n = np.unique(np.concatenate(seqs), return_counts=True)
-                sums[found] += n
-        some = np.flatnonzero(sums)
-        for at in range(0, len(some), 100_000):
-            part = some[at : at + 100_000]
-            yield pd.DataFrame({"pair": part.astype(np.int32), "n": sums[part]})
-
-    made = docs.select("text").mapInPandas(count, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-    got, sums = made.toArrow(), np.zeros(SIZE * SIZE)  # at most SIZE * SIZE rows
-    sums[got["pair"].to_numpy()] = got["n"].to_numpy()
-    return sums
-
-
-def _spots(doc_id: Column, bits: int) -> list[Column]:
-    a, b = (F.pmod(F.xxhash64(doc_id, F.lit(seed)), F.lit(bits)) for seed in (1, 2))
-    return [F.pmod(a + b * k, F.lit(bits)) for k in range(PROBES)]
-
-
-def possibly(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose id may be among ``ids``: all that are, and few others.
-
-    A Bloom filter of 16 bits for each id, at most ``MOST_BITS``, beyond which more others pass.
-    """
-    bits = 1 << min(MOST_BITS.bit_length() - 1, max(16, (16 * ids.count()).bit_length()))
-    set_bits = ids.select(F.explode(F.array(*_spots(F.col("doc_id"), bits))).alias("at"))
-    words = set_bits.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("mask"))
-    got, table = words.toArrow(), np.zeros(bits // 64, dtype=np.int64)  # at most MOST_BITS / 64 rows
-    table[got["word"].to_numpy()] = got["mask"].to_numpy()
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-
-    @F.pandas_udf(BooleanType())
-    def inside(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series) -> pd.Series:
-        found = np.ones(len(a), dtype=bool)
-        for spots in (a, b, c, d):
-            at = spots.to_numpy(np.int64)
-            found &= (shared.value[at >> 6] >> (at & 63)) & 1 == 1
-        return pd.Series(found)
-
-    return docs.where(F.col("doc_id").isNotNull()).where(inside(*_spots(F.col("doc_id"), bits)))
-
-
-def singles(counts: np.ndarray, words: int) -> np.ndarray:
-    """Unigram probabilities of the head's words and of all others together, of ``words`` words."""
-    each = min(1.0, PSEUDO / max(words, 1))
-    found = counts.reshape(SIZE, SIZE).sum(axis=0) + each
-    found[OTHER] += PSEUDO - each * (WORDS + 1)
-    found[START] = 0
-    return found / found.sum()
-
-
-def losses(counts: np.ndarray, weight: float, words: int = PSEUDO) -> np.ndarray:
-    """Minus log-probabilities [first word, word] from pair counts."""
-    counts = counts.reshape(SIZE, SIZE)
-    total = counts.sum(axis=1, keepdims=True)
-    with np.errstate(divide="ignore"):
-        return -np.log((counts + weight * singles(counts, words)) / (total + weight)).astype(np.float32)
-
-
-def beyond_head(docs: DataFrame, vocab: list[bytes]) -> DataFrame:
-    """A row of each token beyond the head: word, the one before, the one after (``OTHER``
-    where that is beyond the head too, ``START`` at the end), and its document's ``row``."""
-
-    def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = Ids((w, k) for k, w in enumerate(vocab))
+
+def questions(blocks: DataFrame, groups: int) -> DataFrame:
+    """(part, block, entries): each block's hashes and counts, by ranges of hashes."""
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parts, held = [], 0
-            for row, text in zip(batch["row"], batch["text"], strict=True):
-                seq = numbers(text, ids)
-                at = np.flatnonzero(seq < 0)
-                padded = np.concatenate(([START], seq, [START]))
-                parts.append((seq[at], padded[at], np.where(padded[at + 2] < 0, OTHER, padded[at + 2]), np.full(len(at), row, dtype=np.int64)))
-                held += len(at)
-                if held > FLUSH:
-                    yield pd.DataFrame(dict(zip(("word", "before", "after", "row"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
-                    parts, held = [], 0
-            if held:
-                yield pd.DataFrame(dict(zip(("word", "before", "after", "row"), map(np.concatenate, zip(*parts, strict=True)), strict=True)))
-
-    return docs.select("row", "text").mapInPandas(tokens, "word long, before long, after long, row long")
-
-
-def losses_beyond_head(docs: DataFrame, target: DataFrame, vocab: list[bytes], words: int, near: np.ndarray, far: np.ndarray, weight: float) -> DataFrame:
-    """Of each ``row``: how many pairs with a word beyond the head, and the sums of their losses
-    in both models, less the part of a first word in the head."""
-    each = min(1.0, PSEUDO / max(words, 1))
-    sides = {"near": (near, F.col("row").isNull()), "far": (far, F.col("row").isNotNull())}
-    rows = beyond_head(docs, vocab).union(beyond_head(target, vocab).withColumn("row", F.lit(None).cast("long"))).repartition("word")
-    for keys in (["word", "before"], ["word"], ["word", "after"]):
-        over = Window.partitionBy(*keys)
-        rows = rows.withColumns({f"{side}_{keys[-1]}": F.count_if(own).over(over) for side, (_, own) in sides.items()})
-        if keys == ["word"]:
-            rows = rows.withColumns({f"{side}_first": F.count_if(own & (F.col("after") != START)).over(over) for side, (_, own) in sides.items()})
-    single = {side: singles(counts, words) for side, (counts, _) in sides.items()}
-    heads = docs.sparkSession.createDataFrame([(k, *(float(single[side][k]) for side in sides)) for k in range(WORDS)], "after long, near_single double, far_single double")
-    rows = rows.where("row is not null").join(F.broadcast(heads), "after", "left")
-
-    def loss(side: str, total: float) -> Column:
-        own = F.col(f"{side}_before") + weight * (F.col(f"{side}_word") + each) / (total + PSEUDO)
-        first = F.when(F.col("after") != START, F.log(F.col(f"{side}_first") + weight)).otherwise(0.0)
-        after = F.when(F.col("after") < OTHER, F.log(F.col(f"{side}_after") + weight * F.col(f"{side}_single"))).otherwise(0.0)
-        return first - F.log(own) - after
-
-    return rows.groupBy("row").agg(
-        F.sum(F.when(F.col("after") < OTHER, 2).otherwise(1)).alias("pairs"),
-        *[F.sum(loss(side, float(counts.sum()))).alias(f"{side}_more") for side, (counts, _) in sides.items()],
-    )
-
-
-def score(docs: DataFrame, target_ids: DataFrame, weight: float = 50.0) -> DataFrame:
+            for block, ids, hashes, seq in zip(batch["block"], batch["ids"], batch["hashes"], batch["seq"], strict=True):
+                hashes, seq = unpacked(hashes, "u8")[0], unpacked(seq, "u4")[0]
+                if not len(seq):
+                    continue
+                _, _, n, near = document_rows(ids)
+                grams = Grams(hashes, seq)
+                keys = grams.keys[grams.order]
+                far = grams.counts(seq, np.ones(len(seq), dtype=bool))[grams.order]
+                own = grams.counts(seq, np.repeat(near == 1, np.where(n > 0, n + 1, 0)))[grams.order]
+                ends = group_bounds(keys, groups)
+                rows = [(part, block, packed(np.diff(keys[a:b], prepend=np.uint64(0)), own[a:b], far[a:b])) for part, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if a < b]
+                yield pd.DataFrame(rows, columns=["part", "block", "entries"])
+
+    return blocks.select("block", "ids", "hashes", "seq").mapInPandas(ask, "part int, block long, entries binary")
+
+
+def answers(asked: DataFrame) -> DataFrame:
+    """(part, block, counts): what both models counted of each entry, in the order asked; and on
+    one row of each part how many words it has, and pairs that each model saw once."""
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        keys, near, far = zip(*(unpacked(raw, "u8", "i8", "i8") for raw in group["entries"]), strict=True)
+        sizes = [len(x) for x in keys]
+        known, which = np.unique(np.concatenate([np.cumsum(x, dtype=np.uint64) for x in keys]), return_inverse=True)
+        sums = [np.bincount(which, weights=np.concatenate(x), minlength=len(known)).astype(np.int64) for x in (near, far)]  # exact below 2**53
+        pair = known & np.uint64(1) == 1
+        out = group[["part", "block"]].assign(counts=[packed(*(s[w] for s in sums)) for w in np.split(which, np.cumsum(sizes)[:-1])], words=0, near_once=0, far_once=0)
+        out.iloc[0, 3:] = [int((~pair).sum()), *(int((pair & (s == 1)).sum()) for s in sums)]
+        return out
+
+    return asked.groupBy("part").applyInPandas(add, "part int, block long, counts binary, words long, near_once long, far_once long")
+
+
+def pair_losses(both: np.ndarray, first: np.ndarray, word: np.ndarray, total: int, words: int, once: int) -> np.ndarray:
+    """Minus log-probabilities of pairs, from counts of the pair, its first and its second word."""
+    unseen = (once + 1) / (total + 2)
+    single = (word + 1) / (total + words)
+    return -np.log(np.where(first > 0, (1 - unseen) * both / np.maximum(first, 1) + unseen * single, single))
+
+
+def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss, score of each row of ``docs``."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "lm")
+    scratch = Scratch(docs.sparkSession, "lm")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    docs = docs.withColumn("row", F.xxhash64("doc_id", "text"))  # rows that share it are equal, and so are their losses
-    ids = scratch.write(target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct(), "targets")
-    counts = scratch.write(word_counts(docs), "words")
-    vocab, words = head(counts), counts.count()
-    target = possibly(docs, ids).join(ids.hint("merge"), "doc_id", "left_semi")
-    near, far = (pair_counts(d, vocab) for d in (target, docs))
-    more = scratch.write(losses_beyond_head(docs, target, vocab, words, near, far, weight), "beyond")
-    tables = []
-    for sums in (near, far):
-        table, total = losses(sums, weight, words), sums.reshape(SIZE, SIZE).sum(axis=1)
-        table[:, OTHER] = np.log(total + weight)  # the rest of these pairs' losses is in ``more``
-        table[OTHER] = 0
-        tables.append(table.ravel())
-    shared = spark.sparkContext.broadcast((vocab, *tables))
-
-    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, near, far = shared.value
-        own = Ids((w, k) for k, w in enumerate(words))
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                pairs = pairs_of(numbers(text, own))
-                beyond = (pairs // SIZE == OTHER) | (pairs % SIZE == OTHER)
-                rows.append((len(pairs), int(beyond.sum()), float(near[pairs].sum(dtype=float)), float(far[pairs].sum(dtype=float))))
-            n, m, a, b = (np.array(x) for x in zip(*rows, strict=True)) if rows else ([], [], [], [])
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "row": batch["row"], "n_tokens": n, "beyond": m, "near": a, "far": b})
-
-    marked = docs.mapInPandas(mark, "doc_id long, row long, n_tokens long, beyond long, near double, far double")
-    joined = marked.join(more, "row", "left")
-    # ``more`` sums over equal rows: each has its share by the number of pairs.
-    whole = lambda side: F.when(F.col("n_tokens") > 0, (F.col(side) + F.coalesce(F.col(f"{side}_more") * F.col("beyond") / F.col("pairs"), F.lit(0.0))) / F.col("n_tokens")).otherwise(0.0)
-    out = joined.select("doc_id", "n_tokens", whole("near").alias("target_loss"), whole("far").alias("background_loss"))
-    return out.withColumn("score", F.col("target_loss") - F.col("background_loss"))
+    ids = scratch.write(target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct().withColumn("near", F.lit(True)), "targets")
+    ids = F.broadcast(ids) if ids.count() <= MOST_IDS else ids
+    marked = docs.join(ids, "doc_id", "left").withColumn("near", F.coalesce("near", F.lit(False)))
+    blocks = scratch.write(sequences(marked), "blocks")
+    total = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "near_tokens")]).first()
+    groups = max(LEAST_GROUPS, -(-total["tokens"] // ENTRIES))
+    told = scratch.write(answers(questions(blocks, groups)), "answers")
+    known = told.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "near_once", "far_once")]).first()
+    models = ((total["near_tokens"], known["words"], known["near_once"]), (total["tokens"], known["words"], known["far_once"]))
+
+    def judge(own: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for ids, hashes, seq in zip(own["ids"], own["hashes"], own["seq"], strict=True):
+            ids, null, n, _ = document_rows(ids)
+            sums = np.zeros((2, len(n)))
+            if n.any():
+                seq = unpacked(seq, "u4")[0]
+                grams = Grams(unpacked(hashes, "u8")[0], seq)
+                told = [unpacked(raw, "i8", "i8") for raw in replies.sort_values("part")["counts"]]
+                starts = np.concatenate(([0], np.cumsum(n[n > 0].astype(np.int64) + 1)[:-1]))
+                for k, model in enumerate(models):
+                    counts = np.empty(len(grams.keys), dtype=np.int64)
+                    counts[grams.order] = np.concatenate([x[k] for x in told])
+                    of = counts[: len(counts) - len(grams.pairs)]
+                    each = pair_losses(counts[len(of) :], of[grams.first], of[grams.second], *model)
+                    sums[k, n > 0] = np.add.reduceat(each[grams.which], starts)
+            near, far = sums / (n + 1)
+            found.append(pd.DataFrame({"doc_id": pd.arrays.IntegerArray(ids.copy(), null == 1), "n_tokens": n.astype(np.int64), "target_loss": near, "background_loss": far, "score": near - far}))
+        return pd.concat(found) if found else pd.DataFrame(columns=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    both = blocks.select("block", "ids", "hashes", "seq").groupBy("block").cogroup(told.select("block", "part", "counts").groupBy("block"))
+    return both.applyInPandas(judge, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
