@@ -136,6 +136,34 @@ def test_without_copies(spark):
     assert out.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+ODD_IDS = [(1, "copy"), (2, "copy"), (2, "unique text b"), (None, "copy"), (None, "alone"), (None, " "), (None, "\n"), (5, "alone  c"), (5, "alone c"), (6, None), (6, ""), (3, "alone c"), (7, "x")]
+
+
+def test_repeated_and_null_ids_lose_no_text(spark):
+    """Rows that share an id, or have none, are told apart by their text."""
+    rows = [(i, t, "en", "s", 1) for i, t in ODD_IDS]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    norm = [SPACES.sub(" ", t or "") for _, t in ODD_IDS]
+    least = {t: min((i for (i, _), n in zip(ODD_IDS, norm) if n == t and i is not None), default=None) for t in norm}
+    want = sorted(((i, least[t], norm.count(t), i == least[t]) for (i, _), t in zip(ODD_IDS, norm)), key=repr)
+    assert sorted((tuple(r)[:4] for r in exact_dedup.exact_groups(docs).collect()), key=repr) == want
+    kept = exact_dedup.without_copies(docs).collect()
+    assert sorted(SPACES.sub(" ", r["text"] or "") for r in kept) == sorted(set(norm))
+    assert all(r["doc_id"] == least[SPACES.sub(" ", r["text"] or "")] for r in kept)
+
+
+def test_near_repeated_and_null_ids_lose_no_text(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(4, long), (2, long + " x"), (2, "another text of its own"), (None, long + " y"), (None, "no id but text"), (None, "no id but text"), (7, "no id but text"), (None, "alone with no id"), (8, None), (8, ""), (9, "twice the same"), (9, "twice the same")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    got = near_dedup.near_duplicates(docs, 2).collect()
+    want = [(4, 59, 2, False), (2, 60, 2, True), (2, 4, 2, True), (None, 60, 2, False), (None, 3, 7, False), (None, 3, 7, False), (7, 3, 7, True), (None, 3, None, True), (8, 0, 8, True), (8, 0, 8, True), (9, 2, 9, True), (9, 2, 9, True)]
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in got), key=repr) == sorted(want, key=repr)
+    kept = near_dedup.without_near_copies(docs, 2)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr) == sorted([(2, long + " x"), (2, rows[2][1]), (7, rows[6][1]), (None, rows[7][1]), (8, None), (8, ""), (9, rows[10][1])], key=repr)
+    assert kept.columns == docs.columns
+
+
 # 3
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -186,25 +214,48 @@ def test_license_plan_is_native(spark):
 # 4
 
 
-def test_top_k(spark):
+def top_k_by_hand(rows, k, every=20):
+    """``rows`` (vec_id, integers) in any order; ids may repeat."""
+    out = {}
+    for q in {i for i, _ in rows if i % every == 0}:
+        x = min(v for i, v in rows if i == q)
+        out[q] = [(i, -s) for s, i in sorted((-sum(a * b for a, b in zip(x, v)), i) for i, v in rows if i != q)[:k]]
+    return out
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_top_k(spark, monkeypatch, small):
+    """Ties, repeated ids, odd vectors and huge components; in one cell and in many."""
+    if small:
+        for name, n in (("BLOCK_BYTES", 400), ("GROUP_BYTES", 300), ("SHARD_BYTES", 4000)):
+            monkeypatch.setattr(topk, name, n)
     rng = np.random.default_rng(3)
     vectors = [rng.integers(-3, 4, 6).tolist() for _ in range(300)]
     vectors[40:80] = [vectors[40]] * 40
-    rows = [(i, [float(x) / 64 for x in v]) for i, v in enumerate(vectors)] + [(1000, None), (1020, [1.0, None]), (1040, [float("nan")]), (None, [1.0]), (1060, [1e9])]
-    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=7)
-    got = {k: [(r["vec_id"], r["score"]) for r in g] for k, g in itertools.groupby(got.orderBy("query_id", "rank").collect(), key=lambda r: r["query_id"])}
-    known = {i: v for i, v in enumerate(vectors)} | {1060: [64_000_000_000]}
-    for q in (i for i in known if i % 20 == 0):
-        scores = sorted((-sum(a * b for a, b in zip(known[q], v)), i) for i, v in known.items() if i != q)
-        assert got[q] == [(i, -s) for s, i in scores[:7]]
-    assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    known = [(i, v) for i, v in enumerate(vectors)] + [(20, [1, 1]), (20, vectors[20]), (20, [3]), (7, vectors[7]), (7, [2, 0, 1]), (1060, [64_000_000_000]), (1080, []), (-20, [1] * 9), (1 << 60, [-2])]
+    rows = [(i, [float(x) / 64 for x in v]) for i, v in known] + [(1000, None), (1020, [1.0, None]), (1040, [float("nan")]), (1100, [float("inf")]), (None, [1.0])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3), k=7).orderBy("query_id", "rank").collect()
+    assert all([r["rank"] for r in g] == list(range(1, 8)) for _, g in itertools.groupby(got, key=lambda r: r["query_id"]) for g in [list(g)])
+    assert {q: [(r["vec_id"], r["score"]) for r in g] for q, g in itertools.groupby(got, key=lambda r: r["query_id"])} == top_k_by_hand(known, 7)
+
+
+def test_top_k_odd_tables(spark):
+    schema = "vec_id long, embedding array<float>, block int, n int, s int, g int, least int, x string"
+    odd = lambda rows: topk.top_k(spark.createDataFrame([(*r, 1, 1, 1, 1, 1, "x") for r in rows], schema))
+    assert odd([]).count() == 0 and odd([(20, [1.0])]).count() == 0 and odd([(20, [1.0]), (20, [1.0])]).count() == 0
+    assert [tuple(r) for r in odd([(20, []), (1, []), (2, [])]).orderBy("rank").collect()] == [(20, 1, 1, 0), (20, 2, 2, 0)]
+    assert odd([(20, None), (1, [1.0])]).count() == 0
 
 
 def test_top_k_blocks_are_skipped():
-    asked = pd.DataFrame([{"dim": 1, "ids": np.array([0]).tobytes(), "rows": np.array([[1]]).tobytes()}])
-    block = lambda v, i: {"dim": 1, "ids": np.array([i]).tobytes(), "rows": np.array([[v]]).tobytes(), "high": np.array([v]).tobytes(), "low": np.array([v]).tobytes()}
+    least = topk.NO_LEAST
+    asked = pd.DataFrame([{"query_id": 0, "x": np.array([1]), "least": least}])
+    block = lambda v, i: {"n": 1, "dim": 1, "ids": np.array([i]).tobytes(), "rows": np.array([[v]]).tobytes(), "high": np.array([v]).tobytes(), "low": np.array([v]).tobytes()}
     held = pd.DataFrame([block(1, 5), block(9, 6), block(9, 4)])
-    assert topk.search_cell(asked, held, 1, 20).values.tolist() == [[0, 4, 9]]
+    assert topk.search_cell(asked, held, 1).values.tolist() == [[0, 4, 9]]
+    held.loc[0, "rows"] = b"not read"[:8]  # its bound is below the first score
+    assert topk.search_cell(asked, held, 1).values.tolist() == [[0, 4, 9]]
+    assert topk.search_cell(asked.assign(least=10), held, 1).empty
 
 
 # 5
@@ -275,6 +326,12 @@ def test_mix(spark):
     first = got.groupby(got["source"].fillna("~"))[["source_size", "target"]].first()
     assert (sums["size"] == first["source_size"]).all() and ((sums["taken"] - first["target"]).abs() <= 1).all()
     assert abs(first["target"].sum() - 1.5 * got["size"].sum()) < 1e-6 and (first["target"] <= 2 * first["source_size"] + 1e-9).all()
+    odd = [(i, "w " * n + x, "en", "s", 0) for i, n, x in [(1, 3, ""), (2, 50, "x"), (2, 5, "y"), (2, 5, "z"), (None, 9, "a"), (None, 2, "b"), (None, None, "")] for n in [n or 0]]
+    odd += [(None, f"w {k} w", "en", "t", 0) for k in range(300)]
+    takes = [sorted(map(tuple, mixing.mix(spark.createDataFrame(odd, DOCS).orderBy(F.rand(k)).repartition(k)).collect()), key=repr) for k in (1, 3, 5)]
+    assert takes[0] == takes[1] == takes[2]
+    clump = mixing.mixed_documents(spark.createDataFrame(odd, DOCS)).where("source = 't'").count()
+    assert abs(clump - takes[0][-1][4] / 3) < 2  # rows without id are dealt one by one
     whole = mixing.mixed_documents(spark.createDataFrame(rows, DOCS)).toPandas()
     words = whole["text"].fillna("").map(lambda t: len(t.split())).groupby(whole["source"].fillna("~")).sum()
     assert ((words - first["target"]).abs() <= 30).all() and whole.columns.tolist() == ["doc_id", "text", "lang", "source", "n_chars"]
@@ -301,16 +358,66 @@ def test_language(spark):
     odd = langid.identify(docs_of(spark, [None, "", "123 !!", both]), model).orderBy("doc_id").toPandas()
     assert odd["lang_pred"].tolist()[:3] == ["und"] * 3 and odd["score"].tolist()[:3] == [0.0] * 3
     assert {x.split(":")[0] for x in odd["languages"][3].split(",")} >= {"en", "de"}
+    none = langid.identify(docs_of(spark, ["² ½ ①", "Ⅷ 5", "_", "日本"]), model).orderBy("doc_id").toPandas()
+    assert none["lang_pred"].tolist()[:3] == ["und"] * 3 and none["lang_pred"][3] != "und"
     kept = langid.accepted(docs_of(spark, [None, "", "123 !!", both]), model)
     assert [r["doc_id"] for r in kept.collect()] == [3]
 
 
-def test_long_text_has_the_same_grams(monkeypatch):
-    text = "Über the river " * 900
-    slots, counts = langid.grams(text, 1 << 12)
-    monkeypatch.setattr(langid, "SEGMENT", 1 << 9)
-    again, more = langid.grams(text, 1 << 12)
-    assert set(slots) <= set(again) and abs(int(more.sum()) - int(counts.sum())) < 0.05 * counts.sum()
+def test_grams_of_long_and_short_texts(monkeypatch):
+    """Slots by plain slicing; in segments, counts are those of the whole text."""
+    text, dim = "Über the río, 12 x " * 300 + "end", 1 << 12
+    folded = b" " + b" ".join(re.findall(b"[a-z\x80-\xff]+", text.lower().encode())) + b" "
+    want = Counter()
+    for n in (2, 3, 4):
+        for k in range(len(folded) - n + 1):
+            h = folded[k]
+            for size, c in enumerate(folded[k + 1 : k + n], 2):
+                h = (h * 0x01000193 ^ (c + size)) & 0xFFFFFFFF
+            want[((h * 0x9E3779B1) & 0xFFFFFFFF) >> (33 - dim.bit_length())] += 1
+    for segment in (1 << 20, 1 << 9, 7, len(folded), len(folded) - 1):
+        monkeypatch.setattr(langid, "SEGMENT", segment)
+        assert dict(zip(*(x.tolist() for x in langid.grams(text, dim)))) == want
+
+
+def mixture_by_hand(logs, counts, langs, steps=4000):
+    share = [1 / len(langs)] * len(langs)
+    for _ in range(steps):
+        new = [0.0] * len(langs)
+        for row, c in zip(logs, counts):
+            p = [s * math.exp(row[k]) for s, k in zip(share, langs)]
+            new = [a + c * x / sum(p) for a, x in zip(new, p)]
+        share = [x / sum(counts) for x in new]
+    return sum(c * math.log(sum(s * math.exp(row[k]) for s, k in zip(share, langs))) for row, c in zip(logs, counts)), share
+
+
+def test_mixture_and_choice_of_languages():
+    """EM against plain loops; the greedy choice by penalised likelihood against all sets."""
+    rng = np.random.default_rng(12)
+    for seed in range(6):
+        model = np.log(rng.dirichlet(np.full(30, 0.3), size=4).T + 1e-4)
+        true = rng.dirichlet(np.ones(4)) if seed % 2 else np.eye(4)[seed // 2]
+        counts = rng.multinomial(400, (np.exp(model) @ true) / (np.exp(model) @ true).sum()).astype(float)
+        value, share = langid.mixture(model, counts, [0, 2, 3])
+        want, parts = mixture_by_hand(model.tolist(), counts.tolist(), [0, 2, 3])
+        assert value == pytest.approx(want, abs=0.05) and np.allclose(share, parts, atol=5e-3)
+        langs, share = langid.proportions(model, counts, 4.0)
+        cost = 4.0 * math.log(counts.sum() + 1)
+        values = {s: 2 * langid.mixture(model, counts, list(s))[0] - cost * len(s) for n in range(1, 5) for s in itertools.combinations(range(4), n)}
+        assert values[tuple(sorted(langs))] == pytest.approx(max(values.values()), abs=1e-3) and share.sum() == pytest.approx(1)
+
+
+def test_model_by_plain_counting(spark):
+    rows = [(k, t, lang, "s", 0) for k, (t, lang) in enumerate([("ab ab", "x"), ("abc", "y"), ("b", "x"), (None, "x"), ("abc", None)] * 4)]
+    model = langid.train(spark.createDataFrame(rows, DOCS))
+    assert model.langs == ["x", "y"] and np.allclose(np.exp(model.logs.astype(float)).sum(axis=0), 1, atol=1e-4)
+    sums = np.full((langid.DIM, 2), 0.5)
+    for i, t, lang, *_ in rows:
+        if t and lang and zlib.crc32(str(i).encode()) % 4 != 2:
+            slots, n = langid.grams(t, langid.DIM)
+            sums[slots, ["x", "y"].index(lang)] += n
+    assert np.allclose(model.logs, np.log(sums / sums.sum(axis=0)), atol=1e-5)
+    assert langid.train(spark.createDataFrame([], DOCS)).langs == []
 
 
 # 8
@@ -416,9 +523,10 @@ def test_pii(spark, real):
         assert set(filter(None, base.split(","))) <= set(r["spans"].split(","))
 
 
-def test_pii_checks_and_context():
+def test_pii_checks_and_context(spark):
     found = pii.spans("iban GB82 WEST 1234 5698 7654 32, GB83 WEST 1234 5698 7654 32; ssn 123-45-6789 or far " + "x" * 50 + " 123-45-6789")
     assert [(k, round(s, 1)) for k, *_, s in found] == [("iban", 1.0), ("ssn", 0.6)]
+    assert [r["scores"] for r in pii.digest(pii.find_pii(docs_of(spark, ["mail a@b.cd, " + "x" * 50 + " 1.2.3.4", None]))).orderBy("doc_id").collect()] == ["1.00,0.70", ""]
     assert pii.luhn("79927398713") and not pii.luhn("79927398710")
 
 
@@ -437,60 +545,46 @@ def test_iban_before_other_words():
 # 10
 
 
-def test_lm_score(spark):
-    rng = random.Random(10)
-    good, bad = "the cat sat on a mat and it was warm".split(), "zq xk vj qz kx jv wq".split()
-    texts = {i: " ".join(rng.choices(good if i % 2 else bad, k=60)) for i in range(60)} | {100: None, 101: ""}
-    rows = docs_of(spark, texts)
-    got = lm_score.score(rows, rows.where("doc_id % 2 = 1 and doc_id < 40").select("doc_id")).toPandas().set_index("doc_id")
-    assert got.loc[[100, 101], "score"].tolist() == [0.0, 0.0] and got.loc[41, "n_tokens"] == 60
-    assert max(got.loc[41:59:2, "score"]) < min(got.loc[40:58:2, "score"])
-    vocab = lm_score.vocabulary(rows)
-    ids = lm_score.Ids((w, k) for k, w in enumerate(vocab))
-    sums = np.zeros((2, lm_score.SIZE**2))
-    for i, t in texts.items():
-        pairs = lm_score.pairs_of(lm_score.numbers(t, ids))
-        np.add.at(sums[1], pairs, 1)
-        if i % 2 and i < 40:
-            np.add.at(sums[0], pairs, 1)
-    near, far = (lm_score.losses(s, 50.0).ravel() for s in sums)
-    assert np.allclose(np.exp(-near.reshape(lm_score.SIZE, -1).astype(float)).sum(axis=1), 1, atol=1e-4)
-    for i in (3, 4, 41):
-        pairs = lm_score.pairs_of(lm_score.numbers(texts[i], ids))
-        assert got.loc[i, "score"] == pytest.approx(near[pairs].mean(dtype=float) - far[pairs].mean(dtype=float), abs=1e-9)
-
-
-def test_lm_score_models_every_word(spark):
-    rng = random.Random(11)
-    common = [f"c{k}" for k in range(970)]
-    topics = [[f"{t}{k:03}ing" for k in range(150)] for t in ("al", "be")]  # beyond the head, with the same endings
-    texts = {i: " ".join(rng.choices(common, k=200)) for i in range(200)}
-    texts |= {1000 + i: " ".join(w for _ in range(15) for w in (rng.choice(topics[i % 2]), rng.choice(topics[i % 2]), rng.choice(common))) for i in range(60)} | {2000: "x" * 100 + " al000ing", 2001: None}
-    rows = docs_of(spark, texts)
-    rows = rows.union(rows.where("doc_id = 1001"))  # counts twice
-    good = {i for i in texts if 1000 <= i < 1040 and i % 2 == 0}
-    got = lm_score.score(rows, rows.where(F.col("doc_id").isin(*good)).select("doc_id")).toPandas()
-    assert len(got) == len(texts) + 1
-    got = got.drop_duplicates().set_index("doc_id")
-    assert max(got.loc[1040:1059:2, "score"]) < min(got.loc[1041:1059:2, "score"])
-    seqs = {i: ["", *(t or "").split()] for i, t in texts.items()}
-    vocab, want = {w for s in seqs.values() for w in s[1:]}, {}
-    for name, ids in (("target_loss", good), ("background_loss", [*texts, 1001])):
-        pairs = [p for i in ids for p in itertools.pairwise(seqs[i])]
+def lm_by_hand(rows, target):
+    """Losses of both models by plain counting; ``rows`` are (doc_id, text)."""
+    seqs = [[None, *low(t or "").encode().split(), None] for _, t in rows]
+    vocab, out = {w for s in seqs if len(s) > 2 for w in s}, []
+    for own in ([s for (i, _), s in zip(rows, seqs) if i in target], seqs):
+        pairs = [p for s in own if len(s) > 2 for p in itertools.pairwise(s)]
         both, first, word = Counter(pairs), Counter(a for a, _ in pairs), Counter(b for _, b in pairs)
-        each = min(1, lm_score.PSEUDO / len(vocab))
-        loss = lambda a, b: -math.log((both[a, b] + 50 * (word[b] + each) / (len(pairs) + lm_score.PSEUDO)) / (first[a] + 50))  # noqa: E731, B023
-        want[name] = {i: sum(loss(*p) for p in itertools.pairwise(s)) / max(1, len(s) - 1) for i, s in seqs.items()}
-    for name, values in want.items():
-        assert got[name].to_dict() == pytest.approx(values, abs=1e-6)
-
-
-def test_filter_of_ids_loses_none(spark, monkeypatch):
-    docs, ids = docs_of(spark, ["x"] * 3000), spark.range(0, 3000, 7).withColumnRenamed("id", "doc_id")
-    for most in (1 << 28, 1 << 10):  # the second is far too small: it lets more pass, and loses none
-        monkeypatch.setattr(lm_score, "MOST_BITS", most)
-        kept = {r["doc_id"] for r in lm_score.possibly(docs, ids).collect()}
-        assert kept >= set(range(0, 3000, 7)) and (most < 1 << 20 or len(kept) < 600)
+        rest = (sum(n == 1 for n in both.values()) + 1) / (len(pairs) + 2)
+        single = lambda w: (word[w] + 1) / (len(pairs) + len(vocab))  # noqa: E731, B023
+        p = lambda a, b: (1 - rest) * both[a, b] / first[a] + rest * single(b) if first[a] else single(b)  # noqa: E731, B023
+        assert not vocab or all(abs(sum(p(a, b) for b in vocab) - 1) < 1e-9 for a in [None, *sorted(vocab - {None})[:5]])
+        out.append([sum(-math.log(p(a, b)) for a, b in itertools.pairwise(s)) / (len(s) - 1) if len(s) > 2 else 0.0 for s in seqs])
+    return [(i, len(s) - 2, near, far, near - far) for (i, _), s, near, far in zip(rows, seqs, *out)]
+
+
+@pytest.mark.parametrize(("tokens", "groups", "most_ids"), [(2_000_000, 64, 2_000_000), (300, 5, 0)])
+def test_lm_score(spark, monkeypatch, tokens, groups, most_ids):
+    """All rows against plain counting, in one block and in many, with ids broadcast and joined."""
+    monkeypatch.setattr(lm_score, "TOKENS", tokens)
+    monkeypatch.setattr(lm_score, "LEAST_GROUPS", groups)
+    monkeypatch.setattr(lm_score, "MOST_IDS", most_ids)
+    rng = random.Random(11)
+    common, topics = [f"c{k}" for k in range(970)], [[f"{t}{k:03}ing" for k in range(150)] for t in ("al", "be")]
+    rows = [(i, " ".join(rng.choices(common, k=40))) for i in range(100)]
+    rows += [(1000 + i, " ".join(w for _ in range(15) for w in (*rng.choices(topics[i % 2], k=2), rng.choice(common)))) for i in range(60)]
+    rows += [(1000, rows[100][1]), (2000, "x" * 100 + " al000ing"), (2001, None), (2002, " \n"), (None, "no id É é"), ((1 << 60) + 1, "X" * 100 + " C1 c1"), (3, "other text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    good = {i for i, _ in rows if i and 1000 <= i < 1040 and i % 2 == 0} | {2001}
+    target = spark.createDataFrame([(i,) for i in [*good, 1000, None, 77777]], "doc_id long")
+    got = sorted((tuple(r) for r in lm_score.score(docs, target).collect()), key=repr)
+    want = sorted(lm_by_hand(rows, good), key=repr)
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert np.allclose([r[2:] for r in got], [r[2:] for r in want], atol=1e-9)
+    held = {r[0]: r[4] for r in got if r[0] and 1040 <= r[0] < 1060}
+    assert max(s for i, s in held.items() if i % 2 == 0) < min(s for i, s in held.items() if i % 2)
+
+
+def test_lm_score_without_target(spark):
+    got = lm_score.score(docs_of(spark, ["a b a", None]), spark.createDataFrame([], "doc_id long")).orderBy("doc_id").collect()
+    assert got[0]["target_loss"] == pytest.approx(math.log(3)) and got[1]["score"] == 0.0
 
 
 def test_lm_score_tells_held_out_quality(spark):

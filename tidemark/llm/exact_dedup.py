@@ -7,8 +7,10 @@ stands for chunks with different SHA-256 bits, each gets a number of its own, an
 identifier is (fingerprint, number). Documents are equal if their identifier lists are.
 Only recipes are shuffled, about 24 bytes for each 2 KiB of text; texts never move.
 
-Null text counts as empty. Rows that repeat a doc_id with the same text are copies in one
-group (all report the same keep_id, and ``kept`` is true for each row with that doc_id).
+Null text counts as empty. A null doc_id comes after all others: such a row stays only in a
+group without ids, whose keep_id is null. Rows that repeat a doc_id count each; with unlike
+texts they are in groups of their own, and with the same text all of them report ``kept``
+where that doc_id is the one that stays. ``without_copies`` leaves one row of each group.
 """
 
 from __future__ import annotations
@@ -19,16 +21,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import Scratch
+from tidemark.llm.shared import Scratch, parted
 
 SPACES = b" \t\n\x0b\x0c\r"
 WINDOW = 32
 SEGMENT = 1 << 20
 GEAR = np.random.default_rng(20240229).integers(0, 1 << 32, 256, dtype=np.uint32)
-RECIPE = "doc_id long, text_sha256 string, n_bytes long, fps array<long>, his array<long>, los array<long>"
+RECIPE = "doc_id string, text_sha256 string, n_bytes long, fps array<long>, his array<long>, los array<long>"
 
 
 def normalise(text: str | None) -> bytes:
@@ -92,7 +94,8 @@ def recipes(docs: DataFrame, fp_bits: int = 64) -> DataFrame:
                 rows.append((doc_id, hashlib.sha256(data).hexdigest(), len(data), *recipe(data, fp_bits)))
             yield pd.DataFrame(rows, columns=["doc_id", "text_sha256", "n_bytes", "fps", "his", "los"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(make, RECIPE)
+    texts = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.mapInPandas(make, RECIPE).withColumn("doc_id", F.col("doc_id").cast("long"))  # as strings, ids beside nulls stay exact
 
 
 def verified(made: DataFrame, scratch: Scratch) -> DataFrame:
@@ -108,20 +111,18 @@ def verified(made: DataFrame, scratch: Scratch) -> DataFrame:
     none = F.array().cast("array<int>")
     if shared.isEmpty():
         return made.withColumn("nos", none)
-    from pyspark.sql import Window
-
     numbers = (
         chunks.join(shared, "fps", "left_semi")
         .distinct()
         .withColumn("no", F.row_number().over(Window.partitionBy("fps").orderBy("his", "los")) - 1)
     )
     numbers = scratch.write(numbers.where("no > 0"), "numbers")
-    placed = made.select("doc_id", "text_sha256", F.posexplode(F.arrays_zip("fps", "his", "los")).alias("pos", "c"))
-    placed = placed.select("doc_id", "text_sha256", "pos", "c.fps", "c.his", "c.los").join(numbers, ["fps", "his", "los"])
-    renamed = placed.groupBy("doc_id", "text_sha256").agg(F.map_from_entries(F.collect_set(F.struct("pos", "no"))).alias("at"))
+    placed = made.select("text_sha256", F.posexplode(F.arrays_zip("fps", "his", "los")).alias("pos", "c"))
+    placed = placed.select("text_sha256", "pos", "c.fps", "c.his", "c.los").join(numbers, ["fps", "his", "los"])
+    renamed = placed.groupBy("text_sha256").agg(F.map_from_entries(F.collect_set(F.struct("pos", "no"))).alias("at"))
     renamed = scratch.write(renamed, "renamed")
     nos = F.when(F.col("at").isNotNull(), F.transform("fps", lambda x, i: F.coalesce(F.element_at("at", i), F.lit(0)))).otherwise(none)
-    return made.join(renamed, ["doc_id", "text_sha256"], "left").withColumn("nos", nos).drop("at")
+    return made.join(renamed, "text_sha256", "left").withColumn("nos", nos).drop("at")
 
 
 def exact_groups(docs: DataFrame, fp_bits: int = 64) -> DataFrame:
@@ -132,11 +133,12 @@ def exact_groups(docs: DataFrame, fp_bits: int = 64) -> DataFrame:
     same = ["n_bytes", "fps", "nos"]
     groups = lists.groupBy(*same).agg(F.min("doc_id").alias("keep"), F.count(F.lit(1)).alias("size")).where("size > 1")
     groups = scratch.write(groups, "groups")  # joined as a table, so that a hot group's rows can be split
+    keep = F.when(F.col("size").isNull(), F.col("doc_id")).otherwise(F.col("keep"))
     return lists.join(groups, same, "left").select(
         "doc_id",
-        F.coalesce("keep", "doc_id").alias("keep_id"),
+        keep.alias("keep_id"),
         F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
-        F.coalesce(F.col("keep") == F.col("doc_id"), F.lit(True)).alias("kept"),
+        keep.eqNullSafe(F.col("doc_id")).alias("kept"),
         "text_sha256",
         "n_bytes",
         F.size("fps").alias("n_chunks"),
@@ -146,17 +148,17 @@ def exact_groups(docs: DataFrame, fp_bits: int = 64) -> DataFrame:
 def without_copies(docs: DataFrame) -> DataFrame:
     """Rows of ``docs``, all columns, one of each group of equal texts: that with the least doc_id.
 
-    Only ids of dropped rows are joined to ``docs``. Rows that repeat the doc_id that stays
-    are told apart by a shuffle of those rows alone.
+    Only ids of dropped rows are joined to ``docs``. Rows whose doc_id is null or repeats go by
+    id and text.
     """
     scratch = Scratch(docs.sparkSession, "exact")
     found = scratch.write(exact_groups(docs).select("doc_id", "kept", "text_sha256"), "found")
-    gone = scratch.write(found.where(~F.col("kept")).select("doc_id").distinct(), "gone")
-    again = found.where("kept").groupBy("doc_id", "text_sha256").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    again = scratch.write(again.select("doc_id").distinct(), "again")
-    out = docs.join(gone, "doc_id", "left_anti")
-    if again.isEmpty():
-        return out.select(docs.columns)
+    plain, rest = parted(docs, scratch)
+    out = plain.join(found.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    if rest is None:
+        return out
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")
-    once = out.join(again, "doc_id", "left_semi").withColumn("__text", F.sha2(text, 256)).dropDuplicates(["doc_id", "__text"])
-    return out.join(again, "doc_id", "left_anti").select(docs.columns).union(once.select(docs.columns))
+    stays = found.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__hash"))
+    rest = rest.withColumn("__text", F.sha2(text, 256))
+    once = rest.join(stays, (F.col("__text") == F.col("__hash")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").dropDuplicates(["__text"])
+    return out.union(once.select(docs.columns))

@@ -1,15 +1,20 @@
 """Language identification as a mixture of languages, by expectation-maximisation.
 
 Training counts byte n-grams (hashed into ``DIM`` slots for n of 2 to 4, words padded by a
-space) of every training text by language, in tasks, and sums them by key. The model holds
-smoothed log-likelihoods: languages x DIM x 4 bytes, at most ``MODEL_BYTES``; with more
-languages DIM is halved until it fits, so what is broadcast has a bound.
-
-A document's n-grams are a mixture: EM estimates the proportions of languages. The set of
-languages is chosen by penalised likelihood: starting from the best single language, a
-further one is added while twice the gain exceeds log(n-grams) times ``penalty``. The
-prediction is the language with the largest proportion, and the score that proportion.
+space) of every training text by language, in tasks, and sums them by key. Each language's
+smoothed log-likelihoods are worked out in one group of DIM sums; the driver only puts these
+rows side by side, languages x DIM x 4 bytes, and broadcasts them. ``MODEL_BYTES`` bounds that:
+more than 512 languages raise an error.
+
+A document's n-grams are a mixture: EM estimates the proportions of languages, until none
+moves by more than ``TOLERANCE``. The set of languages is chosen by penalised likelihood:
+starting from the best single language, a further one is added while twice the gain exceeds
+log(n-grams) times ``penalty``. The prediction is the language with the largest proportion,
+and the score that proportion; the first by name of equal ones.
+
 A null text, or one without a letter, is ``und`` with score 0, as is any if nothing was learnt.
+Rows are judged one by one, whatever their ids: repeated rows each count in training and get
+the same result, and rows with a null doc_id are not held out.
 """
 
 from __future__ import annotations
@@ -27,25 +32,32 @@ from tidemark.llm.shared import Scratch
 
 DIM = 1 << 15
 MODEL_BYTES = 64 << 20
-LETTER = re.compile(r"[^\W\d_]")
+PLAIN_LETTER = re.compile("[A-Za-z]")
 # Lower-case letters and bytes beyond ASCII stay; all else is a space.
 FOLD = bytes(b if b >= 128 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 SIZES = (2, 3, 4)
 SEGMENT = 1 << 20
+TOLERANCE = 1e-5
+
+
+def has_letter(text: str) -> bool:
+    return bool(PLAIN_LETTER.search(text)) or any(map(str.isalpha, text))
 
 
 def grams(text: str, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of the text's n-grams, and how often each occurs."""
+    """Slots of the text's n-grams, and how often each occurs. Long texts are counted in
+    segments of starts, each with the bytes that its last n-grams reach."""
     folded = b" ".join(text.lower().encode("utf-8", "surrogatepass").translate(FOLD).split())
-    total = np.zeros(dim, dtype=np.int64) if len(folded) > SEGMENT else None
+    padded = np.frombuffer(b" " + folded + b" ", dtype=np.uint8)
+    total = np.zeros(dim, dtype=np.int64) if len(padded) > SEGMENT else None
     found = []
-    for at in range(0, max(1, len(folded)), SEGMENT):
-        x = np.frombuffer(b" " + folded[at : at + SEGMENT + max(SIZES) - 1] + b" ", dtype=np.uint8).astype(np.uint32)
+    for at in range(0, len(padded), SEGMENT):
+        x = padded[at : at + SEGMENT + max(SIZES) - 1].astype(np.uint32)
         h = x
         for n in range(2, max(SIZES) + 1):
             h = h[:-1] * np.uint32(0x01000193) ^ (x[n - 1 :] + np.uint32(n))
             if n in SIZES:
-                found.append((h * np.uint32(0x9E3779B1)) >> np.uint32(33 - dim.bit_length()))
+                found.append((h[:SEGMENT] * np.uint32(0x9E3779B1)) >> np.uint32(33 - dim.bit_length()))
         if total is not None:
             total += np.bincount(np.concatenate(found), minlength=dim)
             found = []
@@ -92,32 +104,30 @@ class Model:
 
 
 def train(docs: DataFrame, smoothing: float = 0.5) -> Model:
-    rows = labelled(docs)
+    def logs(sums: pd.DataFrame) -> pd.DataFrame:
+        counts = np.full(DIM, smoothing)
+        counts[sums["slot"].to_numpy()] += sums["n"].to_numpy()
+        return pd.DataFrame([(sums["lang"].iloc[0], np.log(counts / counts.sum()).astype(np.float32).tobytes())], columns=["lang", "logs"])
+
     scratch = Scratch(docs.sparkSession, "langid")
-    langs = scratch.write(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "langs")
-    n, dim = langs.count(), DIM
-    while dim > 1 << 8 and n * dim * 4 > MODEL_BYTES:
-        dim //= 2
-    if n * dim * 4 > MODEL_BYTES:
-        raise ValueError(f"{n} languages do not fit a model of {MODEL_BYTES} bytes")
-    names = sorted(r["lang"] for r in langs.select("lang").collect())  # at most MODEL_BYTES / 1024
-    counts = np.full((dim, len(names)), smoothing)
-    if names:
-        got = gram_counts(rows, dim).toPandas()  # at most languages x dim rows
-        at = {lang: k for k, lang in enumerate(names)}
-        counts[got["slot"].to_numpy(), got["lang"].map(at).to_numpy()] += got["n"].to_numpy()
-    return Model(names, np.log(counts / counts.sum(axis=0)).astype(np.float32))
-
-
-def mixture(logs: np.ndarray, counts: np.ndarray, langs: list[int], steps: int = 12) -> tuple[float, np.ndarray]:
+    made = scratch.write(gram_counts(labelled(docs), DIM).groupBy("lang").applyInPandas(logs, "lang string, logs binary"), "logs")
+    most = MODEL_BYTES // (4 * DIM)
+    if made.count() > most:
+        raise ValueError(f"there are more than {most} languages")
+    rows = sorted((r["lang"], r["logs"]) for r in made.collect())  # at most MODEL_BYTES
+    return Model([lang for lang, _ in rows], np.array([np.frombuffer(x, dtype=np.float32) for _, x in rows]).reshape(-1, DIM).T.copy())
+
+
+def mixture(logs: np.ndarray, counts: np.ndarray, langs: list[int]) -> tuple[float, np.ndarray]:
     """Log-likelihood and proportions of ``langs`` for n-grams with likelihoods ``logs``."""
     own = logs[:, langs]
     top = own.max(axis=1, keepdims=True)
     p = np.exp(own - top)
-    share, total = np.full(len(langs), 1 / len(langs)), counts.sum()
-    for _ in range(steps if len(langs) > 1 else 0):
+    share, total, moved = np.full(len(langs), 1 / len(langs)), counts.sum(), len(langs) > 1
+    while moved:
         r = p * share
-        share = ((counts / r.sum(axis=1)) @ r) / total
+        new = ((counts / r.sum(axis=1)) @ r) / total
+        share, moved = new, np.abs(new - share).max() > TOLERANCE
     return float(counts @ (np.log(p @ share) + top[:, 0])), share
 
 
@@ -143,7 +153,7 @@ def proportions(logs: np.ndarray, counts: np.ndarray, penalty: float) -> tuple[l
 
 def judge(text: str | None, langs: list[str], logs: np.ndarray, penalty: float) -> tuple[str, float, str]:
     """Predicted language, its share, and all shares (name:share, largest first)."""
-    if not langs or text is None or not LETTER.search(text):
+    if not langs or text is None or not has_letter(text):
         return "und", 0.0, ""
     slots, counts = grams(text, len(logs))
     chosen, share = proportions(logs[slots], counts, penalty)
@@ -160,8 +170,9 @@ def identify(docs: DataFrame, model: Model, penalty: float = 4.0) -> DataFrame:
             found = [judge(t, *shared.value, penalty) for t in batch["text"]]
             yield batch.drop(columns="text").assign(**{c: [x[k] for x in found] for k, c in enumerate(("lang_pred", "score", "languages"))})
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(predict, "doc_id long, held_out boolean, lang_pred string, score double, languages string")
+    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), held_out().alias("held_out"), F.col("text").cast("string").alias("text"))
+    out = rows.mapInPandas(predict, "doc_id string, held_out boolean, lang_pred string, score double, languages string")
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))  # as strings, ids beside nulls stay exact
 
 
 def accepted(docs: DataFrame, model: Model, least_share: float = 0.3, penalty: float = 4.0) -> DataFrame:

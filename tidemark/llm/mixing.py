@@ -1,13 +1,14 @@
 """Mixing sources to target weights with DataFrame functions only.
 
-Each document gets a hash-random key. Keys order the documents of a source; the leading
+Each document gets a hash-random key of its id and text. Keys order the documents of a source; the leading
 hex digits deal them into ranges, so that a source with a third of all rows is spread over
 hundreds of ranges. Sums per range give distributed prefix sums of sizes, and a document
 is taken as far as the source's budget reaches past the sum before it. A budget above the
 source's size takes whole epochs first.
 
 Null text has size 0; a null source is a source of its own, last in order. Rows that
-repeat a doc_id count each. The number of sources is that of a catalogue: the weights of
+repeat a doc_id, or have none, count each; only rows equal in id and text share a key, so the
+order is the same in every run, up to rows that are alike. The number of sources is that of a catalogue: the weights of
 sources are worked out in one small sorted table.
 """
 
@@ -25,8 +26,9 @@ def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("s"), source), F.lit("n"))
 
 
-def random_key(doc_id: Column) -> Column:
-    return F.md5(F.concat(F.coalesce(doc_id.cast("long").cast("string"), F.lit("")), F.lit(":mix")).cast("binary"))
+def random_key(doc_id: Column, text: Column) -> Column:
+    own = F.md5(F.coalesce(text, F.lit("")))
+    return F.md5(F.concat(F.coalesce(doc_id.cast("long").cast("string"), F.lit("")), F.lit(":"), own, F.lit(":mix")).cast("binary"))
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -36,7 +38,7 @@ def sized(docs: DataFrame) -> DataFrame:
         "source",
         source_key(F.col("source")).alias("skey"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        random_key(F.col("doc_id")).alias("key"),
+        random_key(F.col("doc_id"), F.col("text")).alias("key"),
     )
 
 
@@ -69,7 +71,7 @@ def placed(docs: DataFrame, weights: tuple[int, ...], share: float, ceiling: flo
     sums = made.groupBy("skey", "range").agg(F.sum("size").alias("n"))
     before = F.sum("n").over(Window.partitionBy("skey").orderBy("range")) - F.col("n")
     before = scratch.write(sums.select("skey", "range", before.alias("before")), "before")
-    running = F.sum("size").over(Window.partitionBy("skey", "range").orderBy("key", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    running = F.sum("size").over(Window.partitionBy("skey", "range").orderBy("key").rowsBetween(Window.unboundedPreceding, 0))
     out = made.withColumn("at", running - F.col("size")).join(before, ["skey", "range"]).join(budgets, "skey")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     out = out.withColumn("start", F.col("at") + F.col("before")).withColumn("epochs", epochs)
@@ -93,7 +95,7 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share
     cuts = placed(docs, weights, share, ceiling).groupBy("skey").agg(F.max("epochs").alias("epochs"), F.max(F.when(inside, F.col("key"))).alias("upto"))
     cuts = Scratch(docs.sparkSession, "mixing").write(cuts, "cuts")
     both = docs.join(cuts, source_key(docs["source"]) == cuts["skey"])
-    copies = cuts["epochs"] + F.coalesce(random_key(docs["doc_id"]) <= cuts["upto"], F.lit(False)).cast("int")
+    copies = cuts["epochs"] + F.coalesce(random_key(docs["doc_id"], docs["text"]) <= cuts["upto"], F.lit(False)).cast("int")
     out = both.where(copies > 0).select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), copies.cast("int"))).alias("__copy"))
     return out.drop("__copy")
 
@@ -102,7 +104,7 @@ SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce('s' || source, 'n') AS skey,
          coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         md5(coalesce(doc_id::VARCHAR, '') || ':mix') AS key
+         md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, '')) || ':mix') AS key
   FROM documents),
 sources AS (
   SELECT skey, min(source) AS source, sum(size)::BIGINT AS source_size FROM sized GROUP BY skey),
@@ -118,7 +120,7 @@ budgets AS (
   FROM levels),
 placed AS (
   SELECT s.*, b.source_size, b.target,
-         sum(size) OVER (PARTITION BY s.skey ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) - size AS sofar
+         sum(size) OVER (PARTITION BY s.skey ORDER BY key ROWS UNBOUNDED PRECEDING) - size AS sofar
   FROM sized s JOIN budgets b USING (skey)),
 cut AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs FROM placed)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import Scratch
 
 CACHED_WORDS = 400_000
-PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+PIECES = "doc_id string, piece int, start long, length long, ids_crc32 long"
 MOST_ENTRIES = 1_200_000
 
 
@@ -113,8 +113,8 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capa
                     rows.append((doc_id, k, at // 4, len(part) // 4, zlib.crc32(part), part)[: 6 if with_ids else 5])
             yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: 6 if with_ids else 5])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInPandas(cut, PIECES + ", ids binary" * with_ids)
+    texts = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.mapInPandas(cut, PIECES + ", ids binary" * with_ids).withColumn("doc_id", F.col("doc_id").cast("long"))  # as strings, ids beside nulls stay exact
 
 
 def plan(counts: dict[int, int], capacity: int = 4096) -> tuple[np.ndarray, dict[str, int]]:

@@ -3,8 +3,9 @@
 Kinds with a contract (``BASE``): email, ip, card (Luhn), phone. Kinds of the method's own
 (``MORE``): iban (mod-97) and ssn, which count only with a score of ``least`` or more.
 Each span has its kind, start and end in code points (end exclusive), text and score.
-Null text counts as empty. One pass over the rows, without a shuffle; every pattern takes
-time in proportion to the text.
+Null text counts as empty. Spans are in order of start, then of kind as listed; kinds may
+overlap. Rows are scanned one by one: those that repeat a doc_id, or have none, each get a
+result. One pass, without a shuffle; every pattern takes time in proportion to the text.
 """
 
 from __future__ import annotations
@@ -149,7 +150,8 @@ def find_pii(docs: DataFrame, least: float = 0.5) -> DataFrame:
             found = [[dict(zip(("kind", "start", "end", "text", "score"), s, strict=True)) for s in spans(t, least)] for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "pii": found})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(scan, f"doc_id long, pii {SPAN}")
+    texts = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return texts.mapInPandas(scan, f"doc_id string, pii {SPAN}").withColumn("doc_id", F.col("doc_id").cast("long"))  # as strings, ids beside nulls stay exact
 
 
 def of_kind(kind: str):
@@ -157,7 +159,7 @@ def of_kind(kind: str):
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts by base kind, the hash of the base spans, and all spans as text."""
+    """Counts by base kind, the hash of the base spans, all spans as text, and their scores."""
     joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     base = F.filter("pii", lambda s: s["kind"].isin(*BASE))
     return found.select(
@@ -165,5 +167,5 @@ def digest(found: DataFrame) -> DataFrame:
         *[F.size(F.filter("pii", of_kind(k))).cast("long").alias(f"n_{k}") for k in BASE],
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("pii")).alias("spans"),
-        F.coalesce(F.array_max(F.transform("pii", lambda s: s["score"])), F.lit(0.0)).alias("score"),
+        F.array_join(F.transform("pii", lambda s: F.format_number(s["score"], 2)), ",").alias("scores"),
     )

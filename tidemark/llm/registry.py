@@ -59,7 +59,7 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    return pii.digest(pii.find_pii(table(spark, sf_dir, "documents"))).drop("score")
+    return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
 
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP2_SQL = r"""
 WITH norm AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-       doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+       doc_id IS NOT DISTINCT FROM min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
 FROM norm WINDOW w AS (PARTITION BY t)
 """
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -12,9 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset, one in the warehouse."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset, one in the warehouse, which
+    on a cluster must not be a folder of one machine."""
     found = spark.conf.get("spark.checkpoint.dir", "")
-    return found or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+    if found:
+        return found
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse + "/_shared"
 
 
 class Scratch:
@@ -44,3 +51,14 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows:
         spark.conf.set(key, str(rows))
+
+
+def parted(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ``docs`` whose doc_id is theirs alone; and the rest, with ``__key``, a hash of id
+    and text, or None if there is no rest. Only ids are read to tell, unless there is one."""
+    again = scratch.write(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("doc_id is null or n > 1").select("doc_id"), "again")
+    if again.isEmpty():
+        return docs, None
+    known = again.where("doc_id is not null")
+    rest = docs.where("doc_id is null").union(docs.join(known, "doc_id", "left_semi").select(docs.columns))
+    return docs.where("doc_id is not null").join(known, "doc_id", "left_anti").select(docs.columns), rest.withColumn("__key", F.xxhash64(F.lit("row"), "doc_id", "text"))

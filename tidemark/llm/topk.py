@@ -1,18 +1,21 @@
 """Exact top-k inner-product search by blocks of rows.
 
 Components are quantised to floor(scale * x). Rows in order of vec_id make document-range
-blocks of at most ``BLOCK`` rows: a forward index (ids and integer components) and, for
+blocks of at most ``BLOCK_BYTES``: a forward index (ids and integer components) and, for
 each component, its largest and least value. A query's bound for a block is the sum over
 components of the larger of q * max and q * min. Within a cell, a query group and a shard of
 blocks, every query takes blocks in order of its bounds, scores them through their forward
 index, and stops when the next bound is below its kth score so far (an equal bound is still
-scored, as ties go to smaller ids). The cells' lists are then merged by query.
-
-Blocks are copied to each query group and groups to each shard, so a task holds at most
-``GROUP`` queries (rounded up by a block) and ``SHARD`` blocks. Vectors that are null or hold
-null or non-finite components, and rows without id, take no part. Missing components of
-shorter vectors count as 0. Rows with the query's own vec_id are its own. Scores are exact
-while they fit 64 bits.
+scored, as ties go to smaller ids). Each group searches one shard first; the kth scores found
+there are where its queries start in all other shards, so these emit only what may still win.
+The cells' lists are then merged by query.
+
+Blocks are copied to each query group and groups to each shard, so a task holds at most some
+``GROUP_BYTES`` of queries and ``SHARD_BYTES`` of blocks. Vectors that are null or hold null or
+non-finite components, and rows without id, take no part; an empty vector does, and scores 0.
+Missing components of shorter vectors count as 0. Ids may repeat: each row is a candidate, but
+rows with the query's own vec_id are its own, and of several such rows the one with the least
+components asks. Scores are exact while they fit 64 bits.
 """
 
 from __future__ import annotations
@@ -26,8 +29,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import Scratch
 
-BLOCK, GROUP, SHARD = 1024, 2048, 64
-BLOCKS = "block long, n int, dim int, queries int, ids binary, rows binary, high binary, low binary"
+BLOCK_BYTES, GROUP_BYTES, SHARD_BYTES = 1 << 19, 1 << 23, 1 << 25
+NO_LEAST = -(1 << 63)
+BLOCKS = "block long, n int, dim int, bytes long, ids binary, rows binary, high binary, low binary"
 
 
 def quantised(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
@@ -36,58 +40,55 @@ def quantised(vectors: DataFrame, scale: float = 64.0) -> DataFrame:
     return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & finite).select(F.col("vec_id").cast("long").alias("vec_id"), whole.alias("x"))
 
 
-def blocks(rows: DataFrame, every: int) -> DataFrame:
+def matrix(xs: list, dim: int) -> np.ndarray:
+    """The vectors as rows of integers, filled up with 0."""
+    out = np.zeros((len(xs), dim), dtype=np.int64)
+    for k, x in enumerate(xs):
+        out[k, : len(x)] = x
+    return out
+
+
+def blocks(rows: DataFrame) -> DataFrame:
     """Forward blocks of rows in order of vec_id."""
 
     def pack(ids: list[int], xs: list) -> dict:
-        dim = max(map(len, xs))
-        m = np.zeros((len(xs), dim), dtype=np.int64)
-        for k, x in enumerate(xs):
-            m[k, : len(x)] = x
-        ids = np.array(ids, dtype=np.int64)
-        return {"block": int(ids[0]), "n": len(ids), "dim": dim, "queries": int((ids % every == 0).sum()), "ids": ids.tobytes(), "rows": m.tobytes(), "high": m.max(axis=0).tobytes(), "low": m.min(axis=0).tobytes()}
+        m = matrix(xs, max(map(len, xs)))
+        return {"block": int(ids[0]), "n": len(ids), "dim": m.shape[1], "bytes": m.nbytes, "ids": np.array(ids, dtype=np.int64).tobytes(), "rows": m.tobytes(), "high": m.max(axis=0).tobytes(), "low": m.min(axis=0).tobytes()}
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, xs = [], []
+        ids, xs, held = [], [], 0
         for batch in batches:
-            ids.extend(batch["vec_id"].tolist())
-            xs.extend(batch["x"])
-            while len(ids) >= BLOCK:
-                yield pd.DataFrame([pack(ids[:BLOCK], xs[:BLOCK])])
-                ids, xs = ids[BLOCK:], xs[BLOCK:]
+            for vec_id, x in zip(batch["vec_id"], batch["x"], strict=True):
+                ids.append(vec_id)
+                xs.append(x)
+                held += 8 * len(x) + 8
+                if held >= BLOCK_BYTES:
+                    yield pd.DataFrame([pack(ids, xs)])
+                    ids, xs, held = [], [], 0
         if ids:
             yield pd.DataFrame([pack(ids, xs)])
 
     return rows.repartitionByRange("vec_id").sortWithinPartitions("vec_id").mapInPandas(make, BLOCKS)
 
 
-def _stack(frame: pd.DataFrame, column: str, dim: int) -> np.ndarray:
-    """The column's matrices one below another, with ``dim`` columns."""
-    parts = []
-    for raw, own in zip(frame[column], frame["dim"], strict=True):
-        m = np.frombuffer(raw, dtype=np.int64).reshape(-1, own)
-        parts.append(np.pad(m, ((0, 0), (0, dim - own))))
-    return np.concatenate(parts)
-
-
-def search_cell(asked: pd.DataFrame, held: pd.DataFrame, k: int, every: int) -> pd.DataFrame:
-    """The k best rows of ``held`` for each query in ``asked``: query_id, vec_id, score."""
+def search_cell(asked: pd.DataFrame, held: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k best rows of ``held`` for each query in ``asked`` (query_id, x, least), of those
+    that score its ``least`` or more: query_id, vec_id, score."""
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     if len(asked) and len(held):
-        dim = max(int(asked["dim"].max()), int(held["dim"].max()))
-        ids = np.concatenate([np.frombuffer(x, dtype=np.int64) for x in asked["ids"]])
-        own = ids % every == 0
-        q, ids = _stack(asked, "rows", dim)[own], ids[own]
-        mats = [_stack(held.iloc[j : j + 1], "rows", dim) for j in range(len(held))]
+        dim = max(int(held["dim"].max()), max(map(len, asked["x"])))
+        ids, q = asked["query_id"].to_numpy(np.int64), matrix(asked["x"].tolist(), dim)
+        wide = lambda raw, n, own: np.pad(np.frombuffer(raw, dtype=np.int64).reshape(n, own), ((0, 0), (0, dim - own)))
+        mats = [wide(raw, n, own) for raw, n, own in zip(held["rows"], held["n"], held["dim"], strict=True)]
         names = [np.frombuffer(x, dtype=np.int64) for x in held["ids"]]
-        high, low = _stack(held, "high", dim), _stack(held, "low", dim)
+        high, low = (np.concatenate([wide(raw, 1, own) for raw, own in zip(held[c], held["dim"], strict=True)]) for c in ("high", "low"))
         most = max(1, int(np.abs(q).max(initial=0))) * max(1, int(np.abs(high).max(initial=0)), int(np.abs(low).max(initial=0))) * max(1, dim)
         if most < 1 << 52:  # then floating-point products and sums of these integers are exact
             q, high, low, mats = q.astype(float), high.astype(float), low.astype(float), [m.astype(float) for m in mats]
         bound = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
         order = np.argsort(-bound, axis=1, kind="stable")
-        floor = -np.inf if q.dtype == float else np.iinfo(np.int64).min
-        kth, best = np.full(len(q), floor, dtype=q.dtype), [(np.empty(0, dtype=q.dtype), np.empty(0, dtype=np.int64)) for _ in q]
+        kth = asked["least"].to_numpy(np.int64).astype(q.dtype)
+        best = [(np.empty(0, dtype=q.dtype), np.empty(0, dtype=np.int64)) for _ in q]
         live = np.arange(len(q))
         for turn in range(len(held)):
             live = live[bound[live, order[live, turn]] >= kth[live]]
@@ -112,18 +113,32 @@ def search_cell(asked: pd.DataFrame, held: pd.DataFrame, k: int, every: int) ->
 
 
 def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0) -> DataFrame:
-    """query_id, rank, vec_id, score: for each row whose id ``every`` divides, its k best others."""
+    """query_id, rank, vec_id, score: for each id that ``every`` divides, its k best other rows."""
     scratch = Scratch(vectors.sparkSession, "topk")
-    made = scratch.write(blocks(quantised(vectors, scale), every), "blocks")
-    found = made.agg(F.count(F.lit(1)).alias("blocks"), F.sum("queries").alias("queries")).first()
-    groups, shards = max(1, -(-(found["queries"] or 0) // GROUP)), max(1, -(-found["blocks"] // SHARD))
-    spot = F.xxhash64("block")
-    asked = made.where("queries > 0").withColumn("g", F.pmod(spot, F.lit(groups)).cast("int")).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    held = made.withColumn("s", F.pmod(spot, F.lit(shards)).cast("int")).withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    cells = asked.groupBy("g", "s").cogroup(held.groupBy("g", "s"))
-    lists = cells.applyInPandas(lambda a, h: search_cell(a, h, k, every), "query_id long, vec_id long, score long")
+    rows = quantised(vectors, scale)
+    queries = rows.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("x").alias("x"))
+    queries = scratch.write(queries, "queries")
+    made = scratch.write(blocks(rows), "blocks")
+    asked_bytes = queries.agg(F.sum(F.size("x") * 8 + 8).alias("n")).first()["n"] or 0
+    held_bytes = made.agg(F.sum("bytes").alias("n")).first()["n"] or 0
+    groups, shards = max(1, -(-asked_bytes // GROUP_BYTES)), max(1, -(-held_bytes // SHARD_BYTES))
+    queries = queries.withColumn("g", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
+    dealt = made.withColumn("s", F.pmod(F.xxhash64("block"), F.lit(shards)).cast("int"))
+    every_shard = F.sequence(F.lit(0), F.lit(shards - 1))
+    first = F.pmod(F.col("g"), F.lit(shards))
+
+    def lists(asked: DataFrame, held: DataFrame) -> DataFrame:
+        cells = asked.groupBy("g", "s").cogroup(held.groupBy("g", "s"))
+        return cells.applyInPandas(lambda a, h: search_cell(a, h, k), "query_id long, vec_id long, score long")
+
+    held = dealt.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    found = scratch.write(lists(queries.withColumns({"least": F.lit(NO_LEAST), "s": first}), held.where(first == F.col("s"))), "first")
+    if shards > 1:
+        floors = found.groupBy("query_id").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).drop("n")
+        asked = queries.join(floors, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(NO_LEAST))).withColumn("s", F.explode(every_shard)).where(first != F.col("s"))
+        found = found.union(lists(asked, held.where(first != F.col("s"))))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return lists.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 SQL = """
@@ -131,9 +146,10 @@ WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS x FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT vec_id, min(x) AS x FROM v WHERE vec_id % 20 = 0 GROUP BY vec_id),
 s AS (
   SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+  FROM q JOIN v c ON q.vec_id <> c.vec_id),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20
 """
