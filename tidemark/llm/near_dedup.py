@@ -3,19 +3,24 @@
 A document's set is its distinct word shingles, as 64-bit hashes. Documents with equal sets
 form a class, and one representative of each goes on. ``BANDS`` bands of ``ROWS`` minima
 deal representatives into buckets: two sets with Jaccard similarity 0.8 miss every bucket
-with probability 3e-6. A pair is verified on signatures (a set pair at 0.8 falls below
-``LEAST_SHARE`` with probability 1e-5) and sizes, and then confirmed on the full sets.
+with probability 5.2e-6. A pair is verified on signatures (a set pair at 0.8 falls below
+``LEAST_SHARE`` with probability 1e-5) and sizes, and then confirmed on the full sets. So a
+pair at 0.8 is found with probability 0.99998, and more similar ones are missed less often.
 
 No bucket emits all its pairs. First each member is paired with two leaders: the least
 member, and the one that shares most buckets with others. Confirmed links give components.
 What is left are pairs of one bucket in different components: there, members outside the
 bucket's largest component are compared with all others, in blocks, on signatures, and
-each asks about the components that it resembles; askers and components' members then meet
-in cells, on full sets. As links inside a component do not change it, the components are
-those of all pairs in buckets.
-
-Null or empty texts have an empty set and no links. Rows that repeat a doc_id are one
-document for the links; each row is returned.
+each asks about the components that it resembles. It is first held against the most similar
+member of each, which settles most. The askers that are left and the components' members
+then meet in cells of a bounded number of rows and shingles, on full sets. As links inside a
+component do not change it, the components are those of all pairs in buckets.
+
+Null or empty texts have an empty set and no links. Rows that repeat a doc_id with the same
+text are one document; with unlike texts, or without a doc_id, they are documents of their
+own, told apart by a hash of id and text. A component's id is its least doc_id, null if it has
+none, and ``kept`` is true where that is the row's doc_id (null beside null). Each row is
+returned; ``without_near_copies`` leaves one row of each component.
 """
 
 from __future__ import annotations
@@ -31,14 +36,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import Scratch
+from tidemark.llm.shared import Scratch, parted
 
 BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
 LEAST_SHARE = 0.68
 CACHED_WORDS = 200_000
 BLOCK = 512
-CELL = 1 << 16  # shingles on each side of a cell
+CELL, CELL_ROWS = 1 << 16, 64  # shingles and rows on each side of a cell
 _rng = np.random.default_rng(20240307)
 MULT = (_rng.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1)).astype(np.uint32)
 PLUS = _rng.integers(0, 1 << 32, HASHES, dtype=np.uint32)
@@ -140,7 +145,7 @@ def full_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 class NearDuplicates:
-    """One run over ``docs``; its steps share tables of the shared folder."""
+    """One run over ``docs`` (doc_id, text), whose ids are distinct; its steps share tables of the shared folder."""
 
     def __init__(self, docs: DataFrame, words: int = 5, percent: int = 80):
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -149,14 +154,15 @@ class NearDuplicates:
         self.rounds = 0
 
     def run(self) -> DataFrame:
-        """doc_id, n_shingles, class_id, component_id, kept of each row."""
+        """doc_id, n_shingles, class_id, component_id of each row."""
         self._classes()
         self._buckets()
         label = self._merge(None, self._confirmed(self._led()))
-        label = self._merge(label, self._across(label))
+        asked = self.scratch.write(self._asked(label), "asked")
+        label = self._merge(label, self._confirmed(asked.select(F.least("rep", "mate").alias("a"), F.greatest("rep", "mate").alias("b")).distinct()))
+        label = self._merge(label, self._across(label, self._left_over(label, asked)))
         out = self.members.join(label, self.members["class_id"] == label["node"], "left")
-        component = F.coalesce("component", "class_id")
-        return out.select("doc_id", "n_shingles", "class_id", component.alias("component_id"), (component == F.col("doc_id")).alias("kept"))
+        return out.select("doc_id", "n_shingles", "class_id", F.coalesce("component", "class_id").alias("component_id"))
 
     def _classes(self) -> None:
         scratch = self.scratch
@@ -197,9 +203,10 @@ class NearDuplicates:
         return known.join(many, "key").withColumn("minor", F.col("component") != F.col("main"))
 
     def _asked(self, label: DataFrame) -> DataFrame:
-        """(rep, other): members to hold against another component, with which they share a
-        bucket and a similar signature. All pairs of a bucket that two components share are
-        compared, in blocks; a member asks about a component once, however many are similar."""
+        """(rep, other, mate): members to hold against another component, with which they share
+        a bucket and a similar signature, most similar to that of ``mate``. All pairs of a bucket
+        that two components share are compared, in blocks; a member asks about a component once,
+        however many are similar."""
         rows = self._open(label).join(self.reps.select("rep", "n", "sig"), "rep")
         down, over = (F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("size", "minors"))
         spot = F.xxhash64("rep")
@@ -210,35 +217,50 @@ class NearDuplicates:
 
         def compare(cell: pd.DataFrame) -> pd.DataFrame:
             q, p = cell[cell["asks"]], cell[~cell["asks"]]
-            who, what = [], []
+            who, what, mates, shares = [], [], [], []
             if len(q) and len(p):
                 x, y = (np.frombuffer(b"".join(s["sig"]), dtype=np.uint16).reshape(-1, HASHES) for s in (q, p))
-                sizes, comps = p["n"].to_numpy(), p["component"].to_numpy()
+                sizes, comps, reps = (p[c].to_numpy() for c in ("n", "component", "rep"))
                 for k, (rep, n, comp) in enumerate(zip(q["rep"], q["n"], q["component"], strict=True)):
                     fits = np.flatnonzero((comps != comp) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)))
-                    near = (y[fits] == x[k]).sum(axis=1) >= LEAST_SHARE * HASHES
-                    others = np.unique(comps[fits[near]])
+                    share = (y[fits] == x[k]).sum(axis=1)
+                    fits, share = fits[share >= LEAST_SHARE * HASHES], share[share >= LEAST_SHARE * HASHES]
+                    order = np.lexsort((reps[fits], -share))
+                    others, first = np.unique(comps[fits[order]], return_index=True)
                     who.extend([rep] * len(others))
                     what.extend(others.tolist())
-            return pd.DataFrame({"rep": who, "other": what}, dtype="int64")
+                    mates.extend(reps[fits[order[first]]].tolist())
+                    shares.extend(share[order[first]].tolist())
+            return pd.DataFrame({"rep": who, "other": what, "mate": mates, "share": shares}, dtype="int64")
+
+        found = held.union(asks).groupBy("key", "r", "c").applyInPandas(compare, "rep long, other long, mate long, share long")
+        return found.groupBy("rep", "other").agg(F.max_by("mate", F.struct("share", "mate")).alias("mate"))
 
-        return held.union(asks).groupBy("key", "r", "c").applyInPandas(compare, "rep long, other long").distinct()
+    def _left_over(self, label: DataFrame, asked: DataFrame) -> DataFrame:
+        """(rep, other) of ``asked`` that still are in different components, as these are now."""
+        now = lambda c: label.select(F.col("node").alias(c), F.col("component").alias(f"now_{c}"))
+        both = asked.select("rep", "other").join(now("rep"), "rep", "left").join(now("other"), "other", "left")
+        other = F.coalesce("now_other", "other")
+        return both.where(other != F.coalesce("now_rep", "rep")).select("rep", other.alias("other")).distinct()
 
-    def _across(self, label: DataFrame) -> DataFrame:
+    def _across(self, label: DataFrame, asked: DataFrame) -> DataFrame:
         """Links (u, v) of members to components that they asked about, confirmed on full sets.
 
-        A component's members and its askers are dealt to cells by how many shingles they
-        hold; each cell finds its shared shingles with one sorted list of its members'.
+        A component's members and its askers are dealt to cells by how many rows and shingles
+        they are; each cell finds its shared shingles with one sorted list of its members'.
         """
         scratch, percent = self.scratch, self.percent
-        asked = scratch.write(self._asked(label), "asked")
+        asked = scratch.write(asked, "left_over")
+        if asked.isEmpty():
+            return asked.select(F.col("rep").alias("u"), F.col("other").alias("v"))
         sizes = self.reps.select("rep", "n")
         comps = asked.select(F.col("other").alias("component")).distinct()
         grouped = label.join(comps, "component").select("component", F.col("node").alias("rep"))
         single = comps.join(label, "component", "left_anti").select("component", F.col("component").alias("rep"))
         held = scratch.write(grouped.union(single).join(sizes, "rep").select("component", "rep", "n"), "held")
         asks = scratch.write(asked.join(sizes, "rep").select(F.col("other").alias("component"), "rep", "n"), "asks")
-        blocks = lambda df, name: df.groupBy("component").agg(F.ceil(F.sum("n") / F.lit(CELL)).cast("int").alias(name))
+        most = lambda: F.greatest(F.ceil(F.sum("n") / F.lit(CELL)), F.ceil(F.count(F.lit(1)) / F.lit(CELL_ROWS))).cast("int")
+        blocks = lambda df, name: df.groupBy("component").agg(most().alias(name))
         grid = scratch.write(blocks(held, "down").join(blocks(asks, "over"), "component"), "grid")
         spot = F.xxhash64("rep")
         one = lambda n: F.pmod(spot, F.col(n)).cast("int")
@@ -272,32 +294,33 @@ class NearDuplicates:
 
         cells = a.union(b).join(sets, "rep").groupBy("component", "r", "c").applyInPandas(confirm, "u long, v long")
         links = scratch.write(cells.distinct(), "links_across")
-        for name in ("known", "many", "asked", "held", "asks", "grid", "need_across", "sets_across"):
+        for name in ("left_over", "held", "asks", "grid", "need_across", "sets_across"):
             scratch.drop(name)
         return links
 
     def _confirmed(self, pairs: DataFrame) -> DataFrame:
         """Links (u, v) among ``pairs`` (a, b): similar signatures, then at least the percentage on full sets."""
-        scratch = self.scratch
-        pairs = scratch.write(pairs, "pairs")
+        scratch, k = self.scratch, self.rounds
+        pairs = scratch.write(pairs, f"pairs_{k}")
         side = lambda c: self.reps.select(F.col("rep").alias(c), F.col("n").alias(f"n{c}"), F.col("sig").alias(f"s{c}"))
         near = pairs.join(side("a"), "a").join(side("b"), "b")
         near = near.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
-        near = scratch.write(near.where(equal_minima("sa", "sb") >= LEAST_SHARE * HASHES).select("a", "b"), "near")
-        need = scratch.write(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "need")
-        sets = scratch.write(full_sets(self.docs.join(need, "doc_id", "left_semi"), self.words), "sets")
+        near = scratch.write(near.where(equal_minima("sa", "sb") >= LEAST_SHARE * HASHES).select("a", "b"), f"near_{k}")
+        need = scratch.write(near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"need_{k}")
+        sets = scratch.write(full_sets(self.docs.join(need, "doc_id", "left_semi"), self.words), f"sets_{k}")
         of = lambda c: sets.select(F.col("doc_id").alias(c), F.col("n").alias(f"n{c}"), F.col("hashes").alias(f"h{c}"))
         sized = near.join(of("a"), "a").join(of("b"), "b").withColumn("both", shared_size("ha", "hb"))
         links = sized.where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * self.percent)
-        return scratch.write(links.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "links")
+        links = scratch.write(links.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), f"links_{k}")
+        for name in ("pairs", "near", "need", "sets"):
+            scratch.drop(f"{name}_{k}")
+        return links
 
     def _merge(self, label: DataFrame | None, links: DataFrame) -> DataFrame:
         """Labels (node, component) with ``links`` added, worked out on components as nodes."""
         scratch, k = self.scratch, self.rounds
         self.rounds += 1
         if label is None:
-            for name in ("pairs", "near", "need", "sets"):
-                scratch.drop(name)
             return scratch.write(components(links, scratch), f"label_{k}")
         if links.isEmpty():
             return label
@@ -311,12 +334,37 @@ class NearDuplicates:
         return scratch.write(was.union(fresh), f"label_{k}")
 
 
+def _grouped(plain: DataFrame, rest: DataFrame | None, words: int, percent: int) -> DataFrame:
+    """doc_id, n_shingles, class_id, component_id, kept of each row; its ``node``, which is the
+    doc_id or the key, and whether that is the one of its component that ``stays``."""
+    scratch = Scratch(plain.sparkSession, "near")
+    text = F.col("text").cast("string").alias("text")
+    own = plain.select(F.col("doc_id").cast("long").alias("doc_id"), text)
+    if rest is None:
+        kept = F.col("component_id") == F.col("doc_id")
+        return NearDuplicates(own, words, percent).run().withColumns({"kept": kept, "node": F.col("doc_id"), "stays": kept})
+    keyed = scratch.write(rest.select(F.col("__key").alias("node"), F.col("doc_id").cast("long").alias("id"), F.lit(True).alias("by_key")), "keyed")
+    found = NearDuplicates(own.union(rest.select("__key", text).dropDuplicates(["__key"])), words, percent).run()
+    every = found.withColumnsRenamed({"doc_id": "node", "component_id": "label"}).join(keyed, "node", "left")
+    every = scratch.write(every.withColumn("doc_id", F.when(F.col("by_key"), F.col("id")).otherwise(F.col("node"))).drop("id", "by_key"), "every")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node"))
+    least = scratch.write(every.groupBy("label").agg(F.min("doc_id").alias("component_id"), first.getField("node").alias("first")), "least")
+    return every.join(least, "label").withColumns({"kept": F.col("doc_id").eqNullSafe(F.col("component_id")), "stays": F.col("node") == F.col("first")})
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    return NearDuplicates(docs, words, percent).run()
+    """doc_id, n_shingles, class_id, component_id, kept of each row of ``docs``."""
+    found = _grouped(*parted(docs, Scratch(docs.sparkSession, "near")), words, percent)
+    return found.select("doc_id", "n_shingles", "class_id", "component_id", "kept")
 
 
 def without_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Rows of ``docs``, all columns, one document of each component: that with the least doc_id."""
+    """Rows of ``docs``, all columns, one row of each component: that with the least doc_id."""
     scratch = Scratch(docs.sparkSession, "near")
-    gone = scratch.write(near_duplicates(docs, words, percent).where(~F.col("kept")).select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    plain, rest = parted(docs, scratch)
+    found = scratch.write(_grouped(plain, rest, words, percent).select("node", "stays"), "stays")
+    out = plain.join(found.where(~F.col("stays")).select(F.col("node").alias("doc_id")), "doc_id", "left_anti").select(docs.columns)
+    if rest is None:
+        return out
+    stays = found.where("stays").select(F.col("node").alias("__key")).distinct()
+    return out.union(rest.join(stays, "__key", "left_semi").dropDuplicates(["__key"]).select(docs.columns))
