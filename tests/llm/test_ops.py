@@ -105,6 +105,60 @@ def test_html_fixture(spark):
         assert got[page["page_id"]] == "\n".join(p for p in parts if p)
 
 
+@pytest.mark.parametrize("name", "main-menu main-nav post-footer entry-footer content-sidebar story-related topbar replies related-posts sidebar-left mainNav cookie_notice ad-slot".split())
+def test_html_names_beside_the_text(name):
+    page = lambda mark: html_extract.Page(f"<body><div class='content'><p>{LONG * 3}</p><div {mark}><p>{LONG}beside</p></div><p>End</p></div></body>").text([])[0]
+    assert "beside" not in page(f"class='{name}'") and "beside" not in page(f"id={name}") and page(f"class='x {name}'").endswith("End")
+
+
+@pytest.mark.parametrize("name", "content post-header nav-content has-sidebar content-sidebar-wrap main entry-content articleBody page-wrap adder".split())
+def test_html_names_of_the_text(name):
+    assert "inside" in html_extract.Page(f"<body><div class='{name}'><p>{LONG * 3}inside</p></div></body>").text([])[0]
+
+
+def test_html_elements():
+    text = lambda inner, out="": html_extract.Page(f"<html><body><header>Site</header><div role='navigation'>Way</div>{out}<article>{inner}</article></body></html>").text([])[0]
+    s = LONG.strip()
+    assert text(f"<header><h1>Title</h1></header><p>{LONG}</p><footer>Share</footer>") == f"Title\n{s}"
+    assert text(f"<p>{LONG}<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>tex</annotation></math> end</p>") == f"{s} x=2 end"
+    assert text(f"<p>{LONG}<svg><text>no</text></svg><noscript>no</noscript><textarea>no</textarea></p><!-- no --><ul><li>one<li class=ad>two<li>three</ul>") == f"{s}\none\nthree"
+    assert text(f"{LONG}<table><tr><th>a<td>b<tr><td>c<td>d<table><tr><td>e</table>f</table>g") == "\n".join([s, *"abcdefg"])
+    assert text(f"<p title='a > b'>{LONG}</p><p hidden>no</p><p aria-hidden=true>no</p><p style='display: none'>no</p>5 < 6 &amp; 7<br>&#x41;&copy &nbsp; z") == f"{s}\n5 < 6 & 7 A© z"
+    assert text(f"<p>{LONG}", out="<div><p>" + LONG * 9 + "</p></div>") == (LONG * 9).strip()
+
+
+@pytest.mark.parametrize("html", ["<a " * 300_000, "<svg>" * 300_000, "<div class=x>t " * 100_000, "<a href=\"" * 300_000, "<table>" + "<tr><td>cell " * 100_000, "<div>" * 50_000 + "</x>" * 300_000, "<!--" * 10**6, "< " * 300_000, "<table><td><table>" + "<div>" * 50_000 + "<td>" * 50_000 + "<tr>" * 50_000, "<a b='" + '"' * 10**6])
+def test_broken_html_takes_linear_time(html):
+    import time
+
+    t = time.process_time()
+    html_extract.Page(html).text([html_extract.votes(html)[0][0] if html_extract.votes(html) else ">div"])
+    assert time.process_time() - t < 60  # quadratic work would take hours
+
+
+def test_html_votes_by_hand(spark):
+    """Winning paths of hosts against plain counting of each page's best container."""
+    rng = random.Random(13)
+    rows = []
+    for k in range(300):
+        h, kind = rng.choice(["a.org", "b.org", "c.org"]), rng.choice("pppqqrs")
+        rows.append((k, f"https://{h}/{k}", f"<body><div class='{kind} n{k}'><p>{LONG * rng.randint(1, 5)}</p></div><section><p>{LONG * rng.randint(0, 3)}</p></section></body>"))
+    rows += [(1, "https://a.org/0", "<body><table>"), (2, None, "<p>" + LONG)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    counted = Counter()
+    for _, url, html in rows:
+        parts = {m[1]: len(m[2].strip()) for m in re.finditer(r"<(div class='[^']*'|section)><p>([^<]*)", html)}
+        best = max(reversed(parts), key=parts.get, default=None)  # of equal ones the later
+        if best and url:
+            classes = re.sub("[0-9]+", "#", best[11:-1]).split() if best != "section" else []
+            counted[re.split("/+", url)[1], ">body>" + best.split()[0] + "".join(f".{c}" for c in sorted(classes))] += 1
+    for share in (0.1, 0.5):
+        most = {h: max(n for (g, _), n in counted.items() if g == h) for h, _ in counted}
+        all_ = {h: sum(n for (g, _), n in counted.items() if g == h) for h, _ in counted}
+        want = {x for x, n in counted.items() if n >= share * most[x[0]] and 100 * n >= all_[x[0]]}
+        assert {(r["host"], r["path"]) for r in html_extract.host_paths(pages, share).collect() if r["host"]} == want
+
+
 # 2
 
 
@@ -289,6 +343,42 @@ def test_dominance_fixes_pairs():
     assert figures == {"sequences": 6, "fixed": 6, "least": 6}
 
 
+def least_bins(lengths, capacity):
+    """The least number of bins, by trying every place for each piece, largest first."""
+    best, order = len(lengths), sorted(lengths, reverse=True)
+
+    def go(k, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if k == len(order):
+            best = len(rooms)
+            return
+        for room in {r for r in rooms if r >= order[k]}:
+            i = rooms.index(room)
+            go(k + 1, [*rooms[:i], room - order[k], *rooms[i + 1 :]])
+        go(k + 1, [*rooms, capacity - order[k]])
+
+    go(0, [])
+    return best
+
+
+def test_reduction_keeps_the_optimum():
+    rng = random.Random(14)
+    sizes = Counter()
+    for _ in range(1500):
+        capacity, low = rng.choice([(10, 1), (20, 3), (30, 5), (40, 9)])
+        lengths = [rng.randint(low, capacity) if rng.random() < 0.4 else rng.randint(low, capacity // 2) for _ in range(rng.randint(1, 8))]
+        left = np.bincount(lengths, minlength=capacity + 1)
+        fixed = list(packing.reduction(left, capacity))
+        rest = np.repeat(np.arange(capacity + 1), left).tolist()
+        assert sorted([x for pieces, n in fixed for x in pieces * n] + rest) == sorted(lengths)
+        assert all(sum(pieces) <= capacity for pieces, _ in fixed)
+        assert sum(n for _, n in fixed) + least_bins(rest, capacity) == least_bins(lengths, capacity)
+        sizes.update(len(pieces) for pieces, _ in fixed)
+    assert sizes[1] and sizes[2] and sizes[3] > 20
+
+
 def test_tokens_and_packing(spark):
     from tokenizers import Tokenizer
 

@@ -4,15 +4,17 @@ Tasks tokenise whole texts and cut only documents longer than ``capacity`` token
 instance is then the histogram of piece lengths, at most ``capacity`` numbers whatever the
 input, so the driver plans on counts: the reduction fixes sets that dominate every
 alternative (a piece that nothing fits beside; a pair that fills a sequence; a piece with
-room for one more, with the largest that fits), and best-fit in decreasing order packs the
-rest, all bins of one state at once. Spark ranks the pieces of each length, by hash buckets
+room for one more, with the largest that fits; one with room for two more, with the largest
+that fits and the largest beside that, if no other two are together more), and best-fit in
+decreasing order packs the rest, all bins of one state at once. Spark ranks the pieces of each length, by hash buckets
 so that a common length is spread, and tasks look their place up in the plan.
 
 A length makes at most two new groups of bins, and the lengths in one bin sum to at most
 ``capacity``; so a plan of capacity 4096 has fewer than 1.2 million entries for any input
-and may be broadcast.
+and may be broadcast; larger capacities may raise an error.
 
-Null text counts as empty: one piece, the end id. Rows with equal doc_id are packed each.
+Null text counts as empty: one piece, the end id. Rows with equal or null doc_id are packed
+each; pieces of one length change places at will, as none fits better than another.
 """
 
 from __future__ import annotations
@@ -117,6 +119,49 @@ def tokenised_pieces(docs: DataFrame, tokenizer_path: str, end_id: int = 1, capa
     return texts.mapInPandas(cut, PIECES + ", ids binary" * with_ids).withColumn("doc_id", F.col("doc_id").cast("long"))  # as strings, ids beside nulls stay exact
 
 
+def partners(left: np.ndarray, j: int, capacity: int) -> tuple[int, ...] | None:
+    """Pieces that make with one of length ``j`` a set that dominates every other; None if that
+    isn't known. Whatever else may stand beside ``j`` fits, piece by piece, in place of these."""
+    room = capacity - j
+    others = left[: room + 1].copy()
+    others[j : j + 1] -= 1  # the piece itself, where its like would fit
+    sizes = np.flatnonzero(others > 0)
+    if not len(sizes):
+        return ()
+    large = int(sizes[-1])
+    least = np.repeat(sizes[:3], np.minimum(others[sizes[:3]], 3))[:3].cumsum()  # of one, two and three more
+    if large == room or len(least) < 2 or least[1] > room:
+        return (large,)
+    if len(least) == 3 and least[2] <= room:
+        return None
+    others[large] -= 1
+    beside = np.flatnonzero(others[: room - large + 1] > 0)
+    others[large] += 1
+    second = int(beside[-1]) if len(beside) else 0
+    lower = sizes[(sizes > second) & (2 * sizes <= room)]
+    upper = sizes[np.searchsorted(sizes, room - lower, side="right") - 1]
+    more = (lower + upper > large) & ((upper != lower) | (others[lower] > 1))
+    return None if more.any() else (large, second) if second else (large,)
+
+
+def reduction(left: np.ndarray, capacity: int) -> Iterator[tuple[tuple[int, ...], int]]:
+    """Sets that dominate, largest piece first, and how often each; they are taken out of ``left``.
+
+    A fixed set leaves a smaller instance, in which more may dominate.
+    """
+    changed = True
+    while changed:
+        changed = False
+        for j in np.flatnonzero(left)[::-1].tolist():
+            while left[j] and (found := partners(left, j, capacity)) is not None:
+                each = {x: (j, *found).count(x) for x in (j, *found)}
+                bins = min(int(left[x]) // n for x, n in each.items())
+                for x, n in each.items():
+                    left[x] -= n * bins
+                yield (j, *found), bins
+                changed = True
+
+
 def plan(counts: dict[int, int], capacity: int = 4096) -> tuple[np.ndarray, dict[str, int]]:
     """Entries (length, first rank, first sequence, offset, copies in a bin), and figures.
 
@@ -131,31 +176,14 @@ def plan(counts: dict[int, int], capacity: int = 4096) -> tuple[np.ndarray, dict
     def put(length: int, bins: int, first: int, offset: int, copies: int = 1) -> None:
         entries.append((length, int(given[length]), first, offset, copies))
         given[length] += bins * copies
-        left[length] -= bins * copies
 
-    changed = True
-    while changed:  # a fixed set leaves a smaller instance, in which more may dominate
-        changed = False
-        for j in np.flatnonzero(left)[::-1].tolist():
-            while left[j]:
-                room = capacity - j
-                left[j] -= 1
-                others = np.flatnonzero(left[: room + 1])
-                left[j] += 1
-                if not len(others):
-                    partner, bins = 0, int(left[j])
-                else:
-                    s = int(others[0])
-                    second = s if left[s] - (s == j) > 1 else int(others[1]) if len(others) > 1 else capacity
-                    partner = int(others[-1])
-                    if partner != room and s + second <= room:
-                        break
-                    bins = int(left[j] // 2 if partner == j else min(left[j], left[partner]))
-                put(j, bins, sequences, 0, 2 if partner == j else 1)
-                if partner and partner != j:
-                    put(partner, bins, sequences, j)
-                sequences += bins
-                changed = True
+    for pieces, bins in reduction(left, capacity):
+        at = 0
+        for length in dict.fromkeys(pieces):
+            copies = pieces.count(length)
+            put(length, bins, sequences, at, copies)
+            at += copies * length
+        sequences += bins
     fixed = sequences
 
     rooms: list[int] = []  # of the open bins, ascending
@@ -183,11 +211,13 @@ def plan(counts: dict[int, int], capacity: int = 4096) -> tuple[np.ndarray, dict
             full = min(bins, int(left[length]) // copies)
             if full:
                 put(length, full, first, capacity - room, copies)
+                left[length] -= full * copies
                 open_bins(room - copies * length, first, full)
             if full < bins:
                 rest = int(left[length]) if left[length] < copies else 0
                 if rest:
                     put(length, 1, first + full, capacity - room, rest)
+                    left[length] -= rest
                     open_bins(room - rest * length, first + full, 1)
                 open_bins(room, first + full + bool(rest), bins - full - bool(rest))
     if len(entries) > MOST_ENTRIES:
