@@ -1,5 +1,9 @@
+import itertools
 import json
+import random
+import re
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +13,7 @@ from tidemark.operators import recon
 from tidemark.plans import ingest
 from tidemark.sources import bookmarks as marks
 from tidemark.sources import landing
+from tidemark.sources.shared import Plan, exists
 from tidemark.sources.state import StateTable
 from tidemark.streaming.upsert import start_upsert_stream, upsert_batch
 
@@ -45,31 +50,45 @@ def test_bad_manifest_raises(spark, tmp_path, content):
         landing.read_manifest(spark, put(tmp_path, content)).collect()
 
 
-@pytest.mark.parametrize(
-    ("folders", "cursor", "upper", "expected"),
-    [
-        (["100", "200", "300", "400"], None, "300", [100, 200, 300]),
-        (["100", "200", "300", "400", "500"], "200", "400", [300, 400]),
-        (["100", "200", "300"], "300", "300", []),
-        (["1000", "999", "1001"], None, "1001", [999, 1000, 1001]),
-        (["100", "garbage", "200", ".cda", "300"], None, "300", [100, 200, 300]),
-        (["100", "200"], "not-a-number", "300", [100, 200]),
-        (["100", "200"], None, "soon", [100, 200]),
-    ],
-)
-def test_select_batches(spark, folders, cursor, upper, expected):
-    inv = spark.createDataFrame([("t", "f", b) for b in folders], "table_name string, fingerprint string, batch string")
-    eff = spark.createDataFrame([("t", "f", cursor)], "table_name string, fingerprint string, cursor string")
-    hwm = spark.createDataFrame([("t", upper)], "table_name string, hwm string")
-    assert sorted(r["batch_ts"] for r in landing.select_batches(inv, eff, hwm).collect()) == expected
-
-
-@pytest.mark.parametrize(
-    ("landed", "written", "ok", "lost", "status"),
-    [(100, 100, 5, 0, "OK"), (100, 99, 5, 0, "MISMATCH"), (100, 100, 4, 1, "METRICS_PARTIAL"), (100, 0, 0, 2, "METRICS_MISSING"), (100, 80, 4, 1, "MISMATCH")],
-)
-def test_status(spark, landed, written, ok, lost, status):
-    assert spark.range(1).select(count_status(*map(F.lit, (landed, written, ok, lost)))).first()[0] == status
+def chosen_by_hand(names, cursor, hwm):
+    """Whole numbers past the cursor and up to the mark; a bookmark that is no number bounds nothing."""
+    number = lambda t: int(t) if t is not None and re.fullmatch("[+-]?[0-9]+", t) else None
+    low, high = number(cursor), number(hwm)
+    return sorted({n for n in map(number, names) if n is not None and (low is None or n > low) and (high is None or n <= high)})
+
+
+def test_select_batches(spark):
+    """Random folders and bookmarks of many tables at once, against the rule in plain Python."""
+    rng = random.Random(5)
+    odd = ["", " 7", "7 ", "7.0", "1e3", "_tmp", "0x10", "٣", "--5", "+"]
+    cases = {}
+    for k in range(120):
+        folders = [str(rng.choice([rng.randrange(20), rng.randrange(10**13)])) for _ in range(rng.randrange(8))] + rng.sample(odd, rng.randrange(4)) + rng.choice([[], ["-3", "+4", "007"]])
+        bound = lambda: rng.choice([None, *folders, str(rng.randrange(25)), str(rng.randrange(10**13)), "later", "1.5"])
+        cases[f"t{k}"] = folders, bound(), bound()
+    inv = spark.createDataFrame([(t, "f", b) for t, (fs, _, _) in cases.items() for b in fs], "table_name string, fingerprint string, batch string")
+    eff = spark.createDataFrame([(t, "f", c) for t, (_, c, _) in cases.items()], "table_name string, fingerprint string, cursor string")
+    hwm = spark.createDataFrame([(t, h) for t, (_, _, h) in cases.items()], "table_name string, hwm string")
+    got = {}
+    for r in landing.select_batches(inv, eff, hwm).collect():
+        got.setdefault(r["table_name"], []).append(r["batch_ts"])
+    assert {t: sorted(x) for t, x in got.items()} == {t: x for t, c in cases.items() if (x := chosen_by_hand(*c))}
+    assert any(len(x) > 2 for x in got.values()) and len(got) < len(cases)
+
+
+def status_by_hand(landed, written, ok, lost):
+    if lost and not ok:
+        return "METRICS_MISSING"
+    return "MISMATCH" if landed != written else "METRICS_PARTIAL" if lost else "OK"
+
+
+def test_status(spark):
+    """All small combinations of landed and written rows, good and lost batches."""
+    cases = list(itertools.product(range(3), range(3), range(3), range(3)))
+    rows = spark.createDataFrame(cases, "landed long, written long, ok long, lost long")
+    got = rows.select("*", count_status(*map(F.col, rows.columns)).alias("status")).collect()
+    assert [r["status"] for r in sorted(got)] == [status_by_hand(*c) for c in cases]
+    assert {r["status"] for r in got} == {"OK", "MISMATCH", "METRICS_PARTIAL", "METRICS_MISSING"}
 
 
 def test_effective_cursor(spark):
@@ -132,7 +151,7 @@ def test_ingest(spark, tmp_path):
     state = kept.select("table_name", "fingerprint", "kind", F.col("value").cast("string"))
     assert {(r["kind"], r["value"]) for r in state.collect()} == {("hwm", "1710000002000"), ("cursor", "1710000002000"), ("merge_watermark", "1710000002000")}
     again = ingest.ingest_table(spark, base, manifest, "t", state, *paths, "run2", datetime(2024, 4, 2))
-    assert again.count() == 3 and table.version() == 1
+    assert again.count() == 3
     # a retry that lost its bookmarks appends nothing twice
     ingest.ingest_table(spark, base, manifest, "t", books, *paths, "run3", datetime(2024, 4, 3))
     assert spark.read.parquet(paths[0]).count() == 6 and table.current().count() == 3
@@ -151,19 +170,169 @@ def test_ingest(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "whole")).count() == 4
 
 
+class Run:
+    """One table's folders and bookmarks over several runs."""
+
+    def __init__(self, spark, tmp_path):
+        self.spark, self.tmp, self.base = spark, tmp_path, str(tmp_path / "landing")
+        self.paths = [str(tmp_path / x) for x in ("history", "state", "recon")]
+        self.books, self.n = spark.createDataFrame([], BOOKS), 0
+
+    def __call__(self, keep=True, exclude="", **history):
+        """The nth run goes up to folder n thousand and a half."""
+        self.n += 1
+        manifest = put(self.tmp, {"T": entry(f"{self.n}500", history=history or {"f1": "1"})})
+        kept = ingest.ingest_table(self.spark, self.base, manifest, "T", self.books, *self.paths, f"run{self.n}", datetime(2024, 4, self.n), exclude)
+        rows = [(r["table_name"], r["fingerprint"], r["kind"], str(r["value"])) for r in kept.collect()]
+        if keep:
+            self.books = self.spark.createDataFrame(rows, BOOKS)
+        return {(r[1], r[2]): r[3] for r in rows}
+
+    def current(self):
+        return {r["id"]: r.asDict() for r in StateTable(self.spark, self.paths[1]).current().collect()}
+
+    def history(self):
+        return ingest.read_history(self.spark, self.paths[0])
+
+
+def test_merge_that_is_owed(spark, tmp_path):
+    """A run that ended between append and merge: nothing new has landed, and its rows are merged."""
+    run = Run(spark, tmp_path)
+    land(spark, run.base, 1000, ONE)
+    land(spark, run.base, 2000, TWO)
+    run()
+    assert run() == {(None, "hwm"): "2500", ("f1", "cursor"): "2000", ("f1", "merge_watermark"): "2000"}
+    whole = run.current()
+    run.paths[1] = str(tmp_path / "lost")  # as if the first run's merge had never been
+    run.books = run.books.where("kind <> 'merge_watermark'")
+    assert run()["f1", "merge_watermark"] == "2000" and run.current() == whole and run.history().count() == 6
+    run.books = spark.createDataFrame([("t", "f1", "cursor", "1000"), ("t", "f1", "merge_watermark", "1000")], BOOKS)
+    assert run()["f1", "cursor"] == "2000" and run.history().count() == 6 and run.current() == whole
+
+
+def test_types_widen_over_runs(spark, tmp_path):
+    """A later fingerprint widens types and adds a column; stored files keep the old ones."""
+    run = Run(spark, tmp_path)
+    narrow = "id int, name string, op int, seqval_hex string, n int, x float, d decimal(5,1)"
+    wide = "id long, name string, op int, seqval_hex string, n long, x double, d decimal(9,1), bucket string, v int"
+    land(spark, run.base, 1000, [(1, "a", 0, "1", 7, 0.5, Decimal("1.5")), (2, "b", 0, "2", 8, 1.5, None)], schema=narrow)
+    run(f1="1")
+    land(spark, run.base, 2000, [(2, "b2", 2, "3", 1 << 40, 2.25, Decimal("12345678.5"), "mine", 5)], schema=wide, fp="f2")
+    run(f1="1", f2="2")
+    land(spark, run.base, 3000, [(3, "c", 0, "4", 9, 2.5, Decimal("2.5"))], schema=narrow)
+    run(f1="1", f2="2")
+    got = run.current()
+    assert [got[k]["n"] for k in (1, 2, 3)] == [7, 1 << 40, 9] and [got[k]["x"] for k in (1, 2, 3)] == [0.5, 2.25, 2.5]
+    assert [got[k]["d"] for k in (1, 2, 3)] == [Decimal("1.5"), Decimal("12345678.5"), Decimal("2.5")]
+    assert [(got[k]["bucket"], got[k]["v"]) for k in (1, 2, 3)] == [(None, None), ("mine", 5), (None, None)]
+    assert run.history().count() == 4 and run.history().schema["n"].dataType.simpleString() == "bigint"
+    assert [r["status"] for r in ingest.recon_only(spark, "t", *run.paths[:2], "r", datetime(2024, 5, 1)).collect()] == ["OK"] * 4
+    land(spark, run.base, 4000, [(3, "c", 0, "5", "text")], schema="id int, name string, op int, seqval_hex string, n string", fp="f3")
+    with pytest.raises(TypeError, match="column n"):
+        run(f1="1", f2="2", f3="3")
+
+
+def test_excluded_and_taken_columns(spark, tmp_path):
+    run = Run(spark, tmp_path)
+    land(spark, run.base, 1000, [(1, "a", 0, "1", "s")], schema=BATCH + ", secret string")
+    run(exclude="t:SECRET")
+    assert "secret" not in run.history().columns and "secret" not in run.current()[1]
+    land(spark, run.base, 2000, [(1, "a", 0, "1", 5)], schema=BATCH + ", batch_ts int", fp="f2")
+    with pytest.raises(ValueError, match="taken"):
+        run(f1="1", f2="2")
+
+
+def test_a_thousand_folders_in_few_jobs(spark, tmp_path):
+    """All batches of a fingerprint are read and appended together."""
+    run = Run(spark, tmp_path)
+    rows = spark.range(1000).selectExpr("id", "string(id) AS name", "0 AS op", "lower(hex(id)) AS seqval_hex", "id + 1 AS ts", "'f1' AS fp", "'t' AS t")
+    rows.repartition(1).write.partitionBy("t", "fp", "ts").parquet(run.base)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("thousand", "ingest")
+    try:
+        run()
+    finally:
+        jobs = len(tracker.getJobIdsForGroup("thousand"))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert run.history().select("batch_ts").distinct().count() == 1000 and len(run.current()) == 1000
+    assert jobs < 100
+    audit = spark.read.parquet(run.paths[2]).where("tier = 'A'").first()
+    assert (audit["actual"], audit["status"]) == (1000, "METRICS_MISSING")
+
+
+def test_failed_checks_leave_error_rows(spark, tmp_path, monkeypatch):
+    run = Run(spark, tmp_path)
+    land(spark, run.base, 1000, ONE)
+
+    def broken(*args, **kwargs):
+        raise RuntimeError("no luck")
+
+    monkeypatch.setattr(recon, "tier_b", broken)
+    run()
+    audit = {r["tier"]: (r["status"], r["notes"]) for r in spark.read.parquet(run.paths[2]).collect()}
+    assert audit == {"A": ("METRICS_MISSING", None), "B": ("ERROR", "RuntimeError: no luck")} and len(run.current()) == 3
+    monkeypatch.setattr(recon, "tier_d", broken)
+    monkeypatch.setattr(recon, "inv_no_orphans", broken)
+    checks = ingest.recon_only(spark, "t", *run.paths[:2], "d", datetime(2024, 5, 1), recon_path=run.paths[2])
+    assert {r["check_name"]: r["status"] for r in checks.collect()} == {"tombstone": "OK", "latest_seqval": "OK", "no_orphans": "ERROR", "count_formula": "OK"}
+    assert spark.read.parquet(run.paths[2]).where("tier = 'D'").count() == 4
+
+
+def test_checks_are_pinned_to_what_is_merged(spark, tmp_path):
+    run = Run(spark, tmp_path)
+    land(spark, run.base, 1000, ONE)
+    run()
+    land(spark, run.base, 2000, TWO)
+    state, run.paths[1] = run.paths[1], str(tmp_path / "elsewhere")
+    run(keep=False)  # history is ahead of the state
+    status = lambda books: {r["status"] for r in ingest.recon_only(spark, "t", run.paths[0], state, "d", datetime(2024, 5, 1), books).collect()}
+    assert status(None) == {"OK", "MISMATCH"} and status(run.books) == {"OK"}
+
+
 def test_state_table(spark, tmp_path):
     table = StateTable(spark, str(tmp_path / "s"), buckets=4)
-    assert table.read() is None and table.version() == 0
+    assert table.read() is None and table.current() is None
     rows = [(k, "x", 0, f"{k:08x}") for k in range(40)]
-    assert table.upsert(spark.createDataFrame(rows, BATCH)) == 1
-    one = spark.createDataFrame([(7, "y", 2, "000000ff")], BATCH)
-    assert table.upsert(one) == 2 and table.upsert(one, 2) == 2
+    table.upsert(spark.createDataFrame(rows, BATCH))
+    files = lambda: {str(f) for f in (tmp_path / "s").glob("__bucket=*/*.parquet")}
+    before, one = files(), spark.createDataFrame([(7, "y", 2, "000000ff")], BATCH)
+    table.upsert(one)
+    assert len(files() - before) == 1 and len(before - files()) == 1  # only the key's bucket was written
+    table.upsert(one)
+    table.upsert(one.limit(0))
     assert {r["name"] for r in table.current().where("id = 7").collect()} == {"y"} and table.current().count() == 40
-    assert len(list((tmp_path / "s" / "data").glob("bucket=*/v=2"))) == 1  # only the key's bucket was written
-    (tmp_path / "s" / "commits" / "2").unlink()  # as if the write had not ended
-    assert {r["name"] for r in table.current().where("id = 7").collect()} == {"x"}
-    table.upsert(one, 2)
-    assert table.vacuum() == 1 and table.current().count() == 40
+    with pytest.raises(ValueError, match="taken"):
+        table.upsert(one.withColumn("__bucket", F.lit(1)))
+
+
+def test_upsert_that_was_cut_short(spark, tmp_path, monkeypatch):
+    """Rows beside the table are taken by the next call, also if the table lost a bucket meanwhile."""
+    import shutil
+
+    path = str(tmp_path / "s")
+    table = StateTable(spark, path, buckets=2)
+    table.upsert(spark.createDataFrame([(k, "x", 0, f"{k:08x}") for k in range(9)], BATCH))
+    with monkeypatch.context() as m:
+        calls = iter([None])
+        m.setattr(StateTable, "_finish", lambda self: next(calls))  # the first is before, the second would move the rows
+        with pytest.raises(StopIteration):
+            table.upsert(spark.createDataFrame([(7, "y", 2, "000000ff")], BATCH))
+    touched = next((tmp_path / "s_staged").glob("__bucket=*")).name
+    shutil.rmtree(tmp_path / "s" / touched)
+    assert {r["name"] for r in table.current().where("id = 7").collect()} == {"y"} and table.current().count() == 9
+    assert not exists(spark, path + "_staged")
+
+
+def test_plan(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    plan, ddl = Plan(spark, str(tmp_path / "t")), StructType.fromDDL
+    assert plan.read() == (None, {})
+    plan.extend(ddl("a int, b string"), buckets=8)
+    plan.extend(ddl("c float, a bigint"), buckets=9)
+    plan.extend(ddl("a int"))
+    assert plan.read() == (ddl("a bigint, b string, c float"), {"buckets": 8})
+    assert spark.read.text(str(tmp_path / "t_plan")).count() == 2
 
 
 def test_metrics_rollup_from_files(spark, tmp_path):
@@ -188,5 +357,5 @@ def test_stream(spark, tmp_path):
     table = StateTable(spark, state)
     alive = lambda: {r["id"]: r["name"] for r in table.current().collect()}
     assert alive() == {101: "a2", 103: "c", 104: "d"}
-    upsert_batch(table)(spark.createDataFrame(ONE, BATCH), table.version() - 1)  # the last batch once more
+    upsert_batch(table)(spark.createDataFrame(ONE, BATCH), 1)  # the last batch once more
     assert alive() == {101: "a2", 103: "c", 104: "d"}

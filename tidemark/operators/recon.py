@@ -142,6 +142,23 @@ def tier_d(history: DataFrame, current: DataFrame, table_name: str, keys: tuple[
     )
 
 
+def single_checks() -> dict:
+    """Each check of tier D by itself, as a function of history, current and the table's name."""
+
+    def counted(name: str, violations) -> object:
+        def rows(history: DataFrame, current: DataFrame, table_name: str, keys: tuple[str, ...] = ("id",)) -> DataFrame:
+            n = violations(latest_op(history, keys), current, keys=keys)
+            n = n if "violations" in n.columns else n.agg(F.count(F.lit(1)).alias("violations"))
+            status = F.when(F.col("violations") == 0, OK).otherwise(MISMATCH)
+            none = F.lit(None).cast("string")
+            return n.select(F.lit(table_name).alias("table_name"), none.alias("fingerprint"), F.lit("D").alias("tier"), F.lit(name).alias("check_name"), status.alias("status"), F.lit(0).cast("long").alias("expected"), F.col("violations").alias("actual"), none.alias("details"))
+
+        return rows
+
+    each = {"tombstone": inv_tombstone, "latest_seqval": inv_latest_seqval, "no_orphans": inv_no_orphans, "count_formula": inv_count_formula}
+    return {name: counted(name, check) for name, check in each.items()}
+
+
 def error_row(spark, table_name: str, tier: str, check_name: str, notes: str) -> DataFrame:
     """What a check leaves that could not run."""
     row = [(table_name, None, tier, check_name, ERROR, None, None, None, notes)]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -11,18 +12,28 @@ from tidemark.functions.keys import BOOKKEEPING
 from tidemark.functions.scope import ColumnExclusion
 from tidemark.operators import recon
 from tidemark.operators.merge import not_yet_landed, rows_to_merge
-from tidemark.operators.schema import align, widest
+from tidemark.operators.schema import widest
 from tidemark.sources import bookmarks as marks
 from tidemark.sources import landing
+from tidemark.sources.shared import Plan, exists
 from tidemark.sources.state import StateTable
 
 BUCKETS = 64
+BATCH = "batch_ts"
 
 
 def write_history(df: DataFrame, path: str) -> None:
     df.write.mode("append").partitionBy("fingerprint").parquet(path)
 
 
+def read_history(spark: SparkSession, path: str) -> DataFrame | None:
+    """All rows with the planned schema, whichever types their files have; None if there are none."""
+    schema, _ = Plan(spark, path).read()
+    if schema is None or not exists(spark, f"{path}/fingerprint=*"):
+        return None
+    return spark.read.schema(landing.with_bookkeeping(schema)).parquet(path)
+
+
 def write_current(df: DataFrame, path: str, keys: tuple[str, ...] = ("id",), buckets: int = BUCKETS) -> None:
     """A whole current table, as a replay makes it, hash-distributed by key."""
     df.repartition(buckets, *keys).write.mode("errorifexists").parquet(path)
@@ -31,10 +42,7 @@ def write_current(df: DataFrame, path: str, keys: tuple[str, ...] = ("id",), buc
 def append_recon(parts: list[DataFrame], path: str) -> None:
     """All audit rows of a run in one write; nothing if there are none."""
     if parts:
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        out.write.mode("append").partitionBy("table_name").parquet(path)
+        united(parts).write.mode("append").partitionBy("table_name").parquet(path)
 
 
 def export(df: DataFrame, path: str, fmt: str = "csv") -> None:
@@ -42,75 +50,108 @@ def export(df: DataFrame, path: str, fmt: str = "csv") -> None:
     (writer.option("header", True) if fmt == "csv" else writer).format(fmt).save(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def guarded(spark: SparkSession, table: str, tier: str, names: tuple[str, ...], rows: Callable[[], DataFrame]) -> DataFrame:
+    """A check's few rows, worked out here and now; if that fails, an ERROR row for each name."""
+    try:
+        made = rows()
+        return spark.createDataFrame(made.collect(), made.schema)  # a row for each check
+    except Exception as e:  # noqa: BLE001  whatever ends a check must not end the run
+        out = [recon.error_row(spark, table, tier, n, f"{type(e).__name__}: {str(e)[:500]}") for n in names]
+        return united(out)
+
+
+def united(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
 
+def recon_only(spark: SparkSession, table: str, history_path: str, state_path: str, run_id: str, at: datetime, bookmarks: DataFrame | None = None, recon_path: str = "") -> DataFrame:
+    """Tier D of a stored pair of tables; no rows if either is absent. Written to ``recon_path`` if given.
 
-def recon_only(spark: SparkSession, table: str, history_path: str, state_path: str, run_id: str, at: datetime) -> DataFrame:
-    """Tier D of a stored pair of tables; no rows if either is absent."""
-    current = StateTable(spark, state_path).current()
-    if current is None or not _exists(spark, history_path):
+    With the bookmarks of the last run, history is pinned to the batches that the state has
+    merged, so that a running ingest does not show as violations. All checks come from one
+    join; if that fails, each runs alone, and those that fail leave an ERROR row.
+    """
+    current, history = StateTable(spark, state_path).current(), read_history(spark, history_path)
+    if current is None or history is None:
         return spark.createDataFrame([], recon.RECON)
-    return recon.recon_rows(recon.tier_d(spark.read.parquet(history_path), current, table), run_id, at)
+    if bookmarks is not None:
+        history = landing.merged_batches(history, bookmarks.where(F.lower("table_name") == table.lower()))
+    try:
+        joint = recon.tier_d(history, current, table)
+        parts = [spark.createDataFrame(joint.collect(), joint.schema)]  # four rows
+    except Exception:  # noqa: BLE001
+        parts = [guarded(spark, table, "D", (name,), lambda c=check: c(history, current, table)) for name, check in recon.single_checks().items()]
+    rows = united([recon.recon_rows(p, run_id, at) for p in parts])
+    if recon_path:
+        append_recon([rows], recon_path)
+    return rows
 
 
 def ingest_table(spark: SparkSession, base: str, manifest_path: str, table: str, bookmarks: DataFrame, history_path: str, state_path: str, recon_path: str, run_id: str, load_ts: datetime, exclude: str = "") -> DataFrame:
     """Runs a table's unread batches through history into the state table at ``state_path``.
 
     Returns the bookmarks to keep. Only folder names, schemas and fingerprints reach the
-    driver. A retry after a crash appends no batch twice: batches that history holds are
-    left out. What is merged are rows of history beyond the merge watermark, whichever run
-    appended them, and only the buckets of their keys are rewritten.
+    driver. All new batches of a fingerprint are read, held against history and appended
+    together. A retry after a crash appends no batch twice: batches that history holds are left
+    out. What is merged are rows of history beyond the merge watermark, whichever run appended
+    them, also if nothing new has landed; only the buckets of their keys are rewritten.
     """
-    manifest = landing.read_manifest(spark, manifest_path).where(F.lower("table_name") == table.lower())
+    of_table = F.lower("table_name") == table.lower()
+    own = lambda df: df.where(of_table).withColumn("table_name", F.lit(table))  # noqa: E731  names may differ in case
+    manifest, books = own(landing.read_manifest(spark, manifest_path)), own(bookmarks)
     order = landing.fingerprint_order(manifest)
-    inventory = landing.landing_inventory(spark, base).where(F.lower("table_name") == table.lower())
-    chosen = landing.select_batches(inventory, marks.effective_cursor(bookmarks, order), manifest)
-    paths = chosen.join(inventory.withColumn("batch_ts", F.col("batch").try_cast("long")), ["table_name", "fingerprint", "batch_ts"]).join(order, ["table_name", "fingerprint"])
-    picked = paths.select("place", "fingerprint", "batch_ts", F.regexp_extract("path", "^(.*)/[^/]+$", 1).alias("folder")).distinct().orderBy("place", "batch_ts").collect()
+    inventory = own(landing.landing_inventory(spark, base, table))
+    chosen = landing.select_batches(inventory, marks.effective_cursor(books, order), manifest)
+    paths = chosen.join(inventory.withColumn(BATCH, F.col("batch").try_cast("long")), ["table_name", "fingerprint", BATCH]).join(order, ["table_name", "fingerprint"])
+    picked = paths.select("place", "fingerprint", BATCH, F.regexp_extract("path", "^(.*)/[^/]+$", 1).alias("folder")).distinct().orderBy("place", BATCH).collect()
     # What was chosen is fixed here: files that land meanwhile belong to the next run.
-    chosen = spark.createDataFrame([(table, r["fingerprint"], r["batch_ts"]) for r in picked], "table_name string, fingerprint string, batch_ts long")
-    hwm = spark.createDataFrame([(table, None, "hwm", r["hwm"]) for r in manifest.select("hwm").collect()], "table_name string, fingerprint string, kind string, value string")
-    if not picked:
-        return marks.bookmark_max_merge(bookmarks, hwm)
-    columns = ColumnExclusion(exclude)
-    drop = tuple(columns.columns_for(table))
-    by_fp: dict[str, list] = {}
+    chosen = spark.createDataFrame([(table, r["fingerprint"], r[BATCH]) for r in picked], "table_name string, fingerprint string, batch_ts long")
+    new_marks = [spark.createDataFrame([(table, None, "hwm", r["hwm"]) for r in manifest.select("hwm").collect()], "table_name string, fingerprint string, kind string, value string")]
+    if picked:
+        landed = append_batches(spark, picked, table, history_path, load_ts, ColumnExclusion(exclude))
+        audit(spark, base, table, chosen, landed, history_path, recon_path, run_id, load_ts)
+        new_marks.append(chosen.groupBy("table_name", "fingerprint").agg(F.max(BATCH).cast("string").alias("value")).withColumn("kind", F.lit("cursor")))
+    history = read_history(spark, history_path)
+    if history is not None:
+        owed = rows_to_merge(history, books)
+        upto = owed.groupBy("fingerprint").agg(F.max(BATCH).cast("string").alias("value")).collect()  # a row for each fingerprint
+        if upto:
+            StateTable(spark, state_path).upsert(owed.drop(*BOOKKEEPING, BATCH))
+            new_marks.append(spark.createDataFrame([(table, r["fingerprint"], "merge_watermark", r["value"]) for r in upto], "table_name string, fingerprint string, kind string, value string"))
+    return marks.bookmark_max_merge(books.unionByName(bookmarks.where(~of_table)), united(new_marks))
+
+
+def append_batches(spark: SparkSession, picked: list, table: str, history_path: str, load_ts: datetime, exclusion: ColumnExclusion) -> DataFrame:
+    """Appends the picked folders to history; table_name, fingerprint and how many rows ``landed``."""
+    by_fp: dict[str, list[str]] = {}
     for row in picked:
-        by_fp.setdefault(row["fingerprint"], []).append(row)
-    schemas = [columns.apply(spark.read.parquet(r["folder"]).limit(0), table).schema for r in picked]
-    if _exists(spark, history_path):
-        old = spark.read.parquet(history_path)
-        schemas.insert(0, old.drop("fingerprint", "load_ts", "batch_ts").schema)
-    target = widest(schemas)
-    audits = []
-    for fp, rows in by_fp.items():
-        for r in rows:
-            part = landing.scan_batches(spark, [r["folder"]], fp, load_ts, target, drop).withColumn("batch_ts", F.lit(r["batch_ts"]))
-            if _exists(spark, history_path):
-                part = not_yet_landed(part, spark.read.parquet(history_path).where(F.col("fingerprint") == fp))
-            seen = Observation()
-            write_history(part.observe(seen, F.count(F.lit(1)).alias("n")), history_path)
-            audits.append((table, fp, seen.get["n"]))
-    landed = spark.createDataFrame(audits, "table_name string, fingerprint string, n long").groupBy("table_name", "fingerprint").agg(F.sum("n").alias("landed"))
-    history = spark.read.schema(align(spark.read.parquet(history_path), widest_history(target)).schema).parquet(history_path)
-    StateTable(spark, state_path).upsert(rows_to_merge(history, bookmarks.where(F.lower("table_name") == table.lower())).drop(*BOOKKEEPING, "batch_ts"))
-    reported = landing.read_batch_metrics(spark, base) if _metrics_there(spark, base) else spark.createDataFrame([], "table_name string, fingerprint string, batch_ts long, read long, written long, dropped long")
+        by_fp.setdefault(row["fingerprint"], []).append(row["folder"])
+    schemas = [exclusion.apply(spark.read.parquet(folders[0]).limit(0), table).schema for folders in by_fp.values()]  # a fingerprint has one schema
+    target = Plan(spark, history_path).extend(widest(schemas))
+    drop, landed = tuple(exclusion.columns_for(table)), []
+    for fp, folders in by_fp.items():
+        part = landing.scan_batches(spark, folders, fp, load_ts, target, drop, BATCH)
+        known = read_history(spark, history_path)
+        if known is not None:
+            part = not_yet_landed(part, known.where(F.col("fingerprint") == fp))
+        seen = Observation()
+        write_history(part.observe(seen, F.count(F.lit(1)).alias("n")), history_path)
+        landed.append((table, fp, seen.get["n"]))
+    return spark.createDataFrame(landed, "table_name string, fingerprint string, landed long")
+
+
+def audit(spark: SparkSession, base: str, table: str, chosen: DataFrame, landed: DataFrame, history_path: str, recon_path: str, run_id: str, at: datetime) -> None:
+    """Tiers A and B of a run; a check that fails leaves an ERROR row."""
+    there = exists(spark, f"{base}/*/*/*/.cda/batch-metrics.json")
+    reported = landing.read_batch_metrics(spark, base) if there else spark.createDataFrame([], "table_name string, fingerprint string, batch_ts long, read long, written long, dropped long")
     rollup = landing.batch_metrics_rollup(chosen, reported)
-    counts = history.groupBy().agg(F.count(F.lit(1)).alias("actual")).withColumn("table_name", F.lit(table))
-    append_recon([recon.recon_rows(p, run_id, load_ts) for p in (recon.tier_a(landed, rollup), recon.tier_b(rollup, counts))], recon_path)
-    cursors = chosen.groupBy("table_name", "fingerprint").agg(F.max("batch_ts").cast("string").alias("value")).withColumn("kind", F.lit("cursor"))
-    merged = cursors.withColumn("kind", F.lit("merge_watermark"))
-    return marks.bookmark_max_merge(bookmarks, hwm.unionByName(cursors).unionByName(merged))
-
-
-def widest_history(target):
-    from pyspark.sql.types import LongType, StringType, StructType, TimestampType
-
-    return StructType(target.fields).add("load_ts", TimestampType()).add("batch_ts", LongType()).add("fingerprint", StringType())
 
+    def cumulative() -> DataFrame:
+        counts = read_history(spark, history_path).groupBy().agg(F.count(F.lit(1)).alias("actual")).withColumn("table_name", F.lit(table))
+        return recon.tier_b(rollup, counts)
 
-def _metrics_there(spark: SparkSession, base: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/*/*/*/.cda/batch-metrics.json")
-    return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p))
+    parts = [guarded(spark, table, "A", ("landed_vs_reported",), lambda: recon.tier_a(landed, rollup)), guarded(spark, table, "B", ("cumulative",), cumulative)]
+    append_recon([recon.recon_rows(p, run_id, at) for p in parts], recon_path)

@@ -13,14 +13,18 @@ from tidemark.functions.keys import size_class
 from tidemark.functions.scope import ColumnExclusion, exclude_tables, restricted_view
 from tidemark.operators import merge, recon, reports
 from tidemark.operators.schema import align
+from tidemark.plans import ingest
 from tidemark.sources import bookmarks as marks
 from tidemark.sources import feed as src
 from tidemark.sources import landing
+from tidemark.sources.shared import new_folder
+from tidemark.sources.state import StateTable
 
 Query = Callable[[SparkSession, str], DataFrame]
 BOUND = datetime(1998, 1, 1)
 BOUND_MS = 883612800000  # the same in epoch milliseconds
 AS_OF = datetime(1998, 6, 1)
+AS_OF_MS = 896659200000
 RUN_AT = datetime(2002, 1, 1)
 SPARK: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -163,11 +167,47 @@ def align_schema(spark, d):
     return align(early, target).union(align(h.where("fingerprint <> 'fp_1'"), target))
 
 
-@query(f"WITH {src.FEED_SQL} SELECT id, seqval_hex, op, amount, 'fp_2' AS fingerprint, TIMESTAMP '2002-01-01' AS load_ts FROM feed WHERE fingerprint = 'fp_2' AND load_ts > TIMESTAMP '1998-01-01' AND load_ts <= TIMESTAMP '1998-06-01'")
+@query(f"""WITH {src.FEED_SQL} SELECT id, seqval_hex, op, amount, epoch_ms(load_ts) AS batch_ts, 'fp_2' AS fingerprint, TIMESTAMP '2002-01-01' AS load_ts
+FROM feed WHERE fingerprint = 'fp_2' AND load_ts > TIMESTAMP '1998-01-01' AND load_ts <= TIMESTAMP '1998-06-01'""")
 def scan_batches(spark, d):
-    """Batches of one fingerprint between two bookmarks, without a column, stamped."""
-    rows = merge.scoped(_history(spark, d), "fp_2", BOUND_MS).where(F.col("load_ts") <= F.lit(AS_OF)).drop("fingerprint", "load_ts")
-    return landing.stamped(rows, "fp_2", RUN_AT, ("status",))
+    """Landed files of one fingerprint between two bookmarks, without a column, stamped."""
+    base = src.land(_history(spark, d), new_folder(spark, "landing"))
+    found = landing.landing_inventory(spark, base).where("fingerprint = 'fp_2'")
+    tables = found.select("table_name", "fingerprint").distinct()
+    chosen = landing.select_batches(found, tables.withColumn("cursor", F.lit(str(BOUND_MS))), tables.select("table_name", F.lit(str(AS_OF_MS)).alias("hwm")))
+    files = chosen.join(found.withColumn("batch_ts", F.col("batch").cast("long")), ["table_name", "fingerprint", "batch_ts"])
+    folders = sorted({r["path"].rpartition("/")[0] for r in files.select("path").collect()})
+    return landing.scan_batches(spark, folders, "fp_2", RUN_AT, src.CHANGES, ("status",), "batch_ts")
+
+
+@query(f"WITH {src.FEED_SQL}, {src.BATCHES_SQL} SELECT table_name, fingerprint, batch_ts::VARCHAR AS batch, 1::BIGINT AS files FROM batches")
+def landing_inventory(spark, d):
+    """The feed's landed files, listed."""
+    base = src.land(_history(spark, d), new_folder(spark, "landing"))
+    return landing.landing_inventory(spark, base).groupBy("table_name", "fingerprint", "batch").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query(f"""WITH {src.FEED_SQL}, {src.BATCHES_SQL}, {src.MANIFEST_SQL}
+SELECT table_name, hwm, record_count, 'cda/' || table_name AS data_path, (SELECT count(DISTINCT fingerprint)::INT FROM batches b WHERE b.table_name = m.table_name) AS fingerprints FROM manifest m""")
+def read_manifest(spark, d):
+    """The feed's manifest, written as JSON and read again."""
+    path = src.write_manifest(src.manifest(src.batches(_history(spark, d))), new_folder(spark, "manifest"))
+    return landing.read_manifest(spark, path).withColumn("fingerprints", F.size("schema_history")).drop("schema_history")
+
+
+@query(f"WITH {src.FEED_SQL} SELECT {ROW} FROM ({_newest('status = ' + repr('2-HIGH'))}) WHERE op <> 1")
+def ingest_table(spark, d):
+    """Two runs of one table from landed files to its current rows, the first up to half of its batches."""
+    history, folder = _history(spark, d).where("status = '2-HIGH'"), new_folder(spark, "ingest")
+    base = src.land(history, f"{folder}/landing")
+    manifest = src.manifest(src.batches(history))
+    books = spark.createDataFrame([], "table_name string, fingerprint string, kind string, value string")
+    for n, hwm in enumerate((F.lit(str(BOUND_MS)), F.col("hwm"))):
+        path = src.write_manifest(manifest.withColumn("hwm", hwm), f"{folder}/manifest-{n}")
+        kept = ingest.ingest_table(spark, base, path, "2-HIGH", books, f"{folder}/history", f"{folder}/state", f"{folder}/recon", f"run-{n}", RUN_AT)
+        rows = kept.collect()  # a few for each fingerprint
+        books = spark.createDataFrame([(r["table_name"], r["fingerprint"], r["kind"], str(r["value"])) for r in rows], books.schema)
+    return StateTable(spark, f"{folder}/state").current()
 
 
 @query(f"WITH {src.FEED_SQL} SELECT {ROW}, fingerprint, load_ts FROM feed WHERE id = 7")
@@ -175,9 +215,12 @@ def key_history(spark, d):
     return merge.key_history(_history(spark, d), 7)
 
 
-@query(f"WITH {src.FEED_SQL} SELECT fingerprint, count(*) AS n_rows FROM feed GROUP BY 1")
+@query(f"WITH {src.FEED_SQL} SELECT fingerprint, count(*) AS n_rows, 1::BIGINT AS files FROM feed GROUP BY 1")
 def partition_stats(spark, d):
-    return _history(spark, d).groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Of a stored history with one file for each fingerprint."""
+    path = new_folder(spark, "history")
+    ingest.write_history(_history(spark, d).repartition("fingerprint"), path)
+    return landing.partition_stats(spark.read.parquet(path))
 
 
 # Scope
@@ -359,16 +402,20 @@ def inv_count_formula_as_coded(spark, d):
     return recon.inv_count_formula(merge.latest_op(h), _replayed(h), h)
 
 
-@query(f"""{REPLAY}, {LATEST}, v AS (
-  SELECT 'tombstone' AS check_name, count(*) AS actual FROM c2 WHERE id IN (SELECT id FROM latest WHERE op = 1)
-  UNION ALL SELECT 'latest_seqval', count(*) FROM c2 JOIN latest USING (id) WHERE k <> upsert_key
-  UNION ALL SELECT 'no_orphans', count(*) FROM c2 WHERE id NOT IN (SELECT id FROM latest)
-  UNION ALL SELECT 'count_formula', abs((SELECT count(*) FROM c2) - (SELECT count(*) FROM latest WHERE {UPS}))),
-u AS (SELECT *, 'run' AS run_id, TIMESTAMP '2002-01-01' AS committed_at, 'customer' AS table_name, NULL::VARCHAR AS fingerprint, 'D' AS tier, CASE WHEN actual = 0 THEN 'OK' ELSE 'MISMATCH' END AS status, 0::BIGINT AS expected, NULL::VARCHAR AS details FROM v)
+@query(f"""{REPLAY}, {LATEST}, bad AS (
+  SELECT 'tombstone' AS check_name, id FROM c2 WHERE id IN (SELECT id FROM latest WHERE op = 1)
+  UNION ALL SELECT 'latest_seqval', c2.id FROM c2 JOIN latest USING (id) WHERE k <> upsert_key
+  UNION ALL SELECT 'no_orphans', id FROM c2 WHERE id NOT IN (SELECT id FROM latest)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY check_name ORDER BY id) AS place FROM bad),
+v AS (
+  SELECT c.check_name, count(b.id) AS actual, '[' || string_agg('{{"id":' || b.id || '}}', ',' ORDER BY b.id) FILTER (b.place <= 10) || ']' AS details
+  FROM (VALUES ('tombstone'), ('latest_seqval'), ('no_orphans')) c(check_name) LEFT JOIN placed b USING (check_name) GROUP BY 1
+  UNION ALL SELECT 'count_formula', abs((SELECT count(*) FROM c2) - (SELECT count(*) FROM latest WHERE {UPS})), NULL),
+u AS (SELECT *, 'run' AS run_id, TIMESTAMP '2002-01-01' AS committed_at, 'customer' AS table_name, NULL::VARCHAR AS fingerprint, 'D' AS tier, CASE WHEN actual = 0 THEN 'OK' ELSE 'MISMATCH' END AS status, 0::BIGINT AS expected FROM v)
 SELECT {AUDIT} FROM u""")
 def recon_tier_d(spark, d):
     h = _history(spark, d)
-    return recon.recon_rows(recon.tier_d(h, _replayed(h), "customer", details=False), "run", RUN_AT)
+    return recon.recon_rows(recon.tier_d(h, _replayed(h), "customer"), "run", RUN_AT)
 
 
 @query(f"""{LANDING}, h AS (SELECT table_name, 'h' || batch_ts || fingerprint AS snapshot_id, load_ts AS ts FROM batches),

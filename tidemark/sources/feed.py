@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructType
 
 FINGERPRINTS = ["fp_1", "fp_2", "fp_3"]
+CHANGES = StructType().add("id", LongType()).add("seqval_hex", StringType()).add("op", IntegerType()).add("amount", DoubleType()).add("status", StringType())
 
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +34,25 @@ def batches(history: DataFrame) -> DataFrame:
     return out.withColumn("batch_ts", F.unix_millis("load_ts")).withColumn("month", month)
 
 
+def land(history: DataFrame, base: str) -> str:
+    """Writes history's changes as landed files, a folder for each batch; returns ``base``."""
+    table, batch = F.lower("status").alias("table_name"), F.unix_millis("load_ts").alias("batch")
+    dealt = history.select(*CHANGES.fieldNames(), table, "fingerprint", batch).repartition("table_name", "fingerprint", "batch")
+    dealt.write.partitionBy("table_name", "fingerprint", "batch").parquet(base)
+    return base
+
+
+def write_manifest(tables: DataFrame, path: str) -> str:
+    """Writes a manifest (as ``manifest`` makes it) as one JSON object; returns ``path``."""
+    entry = F.struct(
+        F.col("hwm").alias("lastSuccessfulWriteTimestamp"), F.col("record_count").alias("totalProcessedRecordsCount"),
+        F.concat(F.lit("s3://bucket/cda/"), "table_name").alias("dataFilesPath"), F.col("schema_history").alias("schemaHistory"),
+    )
+    whole = tables.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("table_name", entry)))).alias("value"))
+    whole.coalesce(1).write.text(path)
+    return path
+
+
 def metrics(landed: DataFrame) -> DataFrame:
     """Metrics of batches, by rule: every 11th month has none, every 13th is corrupt, every 5th off by one."""
     written = F.col("landed") + (F.col("month") % 5 == 0).cast("long")

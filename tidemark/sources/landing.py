@@ -6,22 +6,29 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructType, TimestampType
 
-from tidemark.functions.keys import epoch_ms
-from tidemark.operators.schema import align
+from tidemark.functions.keys import BOOKKEEPING, epoch_ms
 
 MANIFEST = "map<string,struct<lastSuccessfulWriteTimestamp:string,totalProcessedRecordsCount:bigint,dataFilesPath:string,schemaHistory:map<string,string>>>"
 METRICS = "tableName string, schemaId string, batchTimestamp string, numRecordsRead bigint, numRecordsWritten bigint, numRecordsDropped bigint"
 
 
-def landing_inventory(spark: SparkSession, base: str) -> DataFrame:
-    """One row per data file under ``<base>/<table>/<fingerprint>/<batch>/``; contents are not read."""
-    files = spark.read.format("binaryFile").load(f"{base}/*/*/*/*.parquet").select("path", "length")
-    part = lambda k: F.regexp_extract("path", r"([^/]+)/([^/]+)/([^/]+)/[^/]+$", k)
+def landing_inventory(spark: SparkSession, base: str, table: str = "*") -> DataFrame:
+    """One row per data file under ``<base>/<table>/<fingerprint>/<batch>/``; contents are not read.
+
+    Folder names may be values alone or ``name=value``.
+    """
+    files = spark.read.format("binaryFile").load(f"{base}/{_any_case(table)}/*/*/*.parquet").select("path", "length")
+    part = lambda k: F.regexp_extract("path", r"(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?([^/]+)/[^/]+$", k)
     return files.select(part(1).alias("table_name"), part(2).alias("fingerprint"), part(3).alias("batch"), "path", "length")
 
 
+def _any_case(table: str) -> str:
+    """A pattern of a table's folder, whatever its case, so that other tables are not listed."""
+    return table if table == "*" else "{,*=}" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else "?" if c in "*?[]{}\\^-," else c for c in table)
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """One row per table; malformed or wrongly typed JSON raises. Bookmarks stay text."""
     raw = spark.read.text(path, wholetext=True).select(F.from_json("value", MANIFEST, {"mode": "FAILFAST"}).alias("m"))
@@ -65,10 +72,28 @@ def stamped(df: DataFrame, fingerprint: str, load_ts: datetime, exclude: tuple[s
     return df.drop(*exclude).withColumn("fingerprint", F.lit(fingerprint)).withColumn("load_ts", F.lit(load_ts))
 
 
-def scan_batches(spark: SparkSession, paths: list[str], fingerprint: str, load_ts: datetime, schema: StructType, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of the chosen folders, read with one widest schema; absent columns are null."""
+def scan_batches(spark: SparkSession, paths: list[str], fingerprint: str, load_ts: datetime, schema: StructType, exclude: tuple[str, ...] = (), batch: str = "") -> DataFrame:
+    """Rows of the chosen folders, all in one read with one widest schema; absent columns are null.
+
+    ``batch`` names a column for the number of the folder that a row came from.
+    """
     kept = StructType([f for f in schema.fields if f.name.lower() not in exclude])
-    return stamped(align(spark.read.schema(kept).parquet(*paths), kept), fingerprint, load_ts)
+    if taken := {*BOOKKEEPING, batch}.intersection(kept.fieldNames()):
+        raise ValueError(f"column names are taken: {sorted(taken)}")
+    rows = spark.read.schema(kept).parquet(*paths)
+    own = F.regexp_extract("_metadata.file_path", r"(?:[^/=]+=)?([^/]+)/[^/]+$", 1).cast("long")
+    return stamped(rows.select("*", own.alias(batch)) if batch else rows, fingerprint, load_ts)
+
+
+def with_bookkeeping(schema: StructType) -> StructType:
+    """The columns of stored history."""
+    return StructType([*schema.fields]).add("load_ts", TimestampType()).add("batch_ts", LongType()).add("fingerprint", StringType())
+
+
+def merged_batches(history: DataFrame, bookmarks: DataFrame, column: str = "batch_ts") -> DataFrame:
+    """History up to each fingerprint's merge watermark: what the current state has taken in."""
+    marks = bookmarks.where("kind = 'merge_watermark'").select("fingerprint", F.col("value").cast("long").alias("__mark"))
+    return history.join(marks, "fingerprint").where(F.col(column) <= F.col("__mark")).select(history.columns)
 
 
 def schema_of(spark: SparkSession, path: str) -> StructType:

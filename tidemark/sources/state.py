@@ -1,83 +1,70 @@
 """A keyed table in hash buckets, of which an upsert rewrites only those that it touches.
 
-``<path>/data/bucket=<b>/v=<n>`` holds bucket b as version n left it; ``<path>/commits/<n>``
-marks a version as whole. Readers take each bucket's last version up to the last whole one,
-so a failed or running write is never seen, and a repeated one overwrites its own files.
-Tombstones stay in the table: a bucket is never emptied, and late changes sort right.
+Plain parquet, partitioned by ``__bucket``. An upsert writes the touched buckets' new rows
+beside the table first, and then into it, with Spark's dynamic partition overwrite; if it is cut
+short in between, the next call takes the written rows once more. Upserts of the same changes
+may be repeated. Tombstones stay in the table, so late changes sort right and no touched bucket
+is ever empty. Where a table format has MERGE, use ``operators.merge.merge_into`` instead.
 """
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.operators.merge import newest
+from tidemark.operators.schema import align
+from tidemark.sources.shared import Plan, delete, exists
 
-BUCKETS = 64
+BUCKET = "__bucket"
+LEAST_BUCKETS, ROWS_IN_BUCKET = 64, 2_000_000
 
 
 class StateTable:
-    def __init__(self, spark: SparkSession, path: str, keys: tuple[str, ...] = ("id",), buckets: int = BUCKETS):
-        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), keys, buckets
-
-    def _fs(self, path: str):
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+    """``buckets`` counts when the table is made; by default it follows the first changes' size."""
 
-    def _names(self, pattern: str) -> list[str]:
-        fs, p = self._fs(pattern)
-        return [s.getPath().toString() for s in fs.globStatus(p) or []]
-
-    def version(self) -> int:
-        """The last whole version; 0 before the first."""
-        return max((int(n.rpartition("/")[2]) for n in self._names(f"{self.path}/commits/[0-9]*")), default=0)
+    def __init__(self, spark: SparkSession, path: str, keys: tuple[str, ...] = ("id",), buckets: int | None = None):
+        self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), keys, buckets
+        self.plan = Plan(spark, self.path)
 
-    def _folders(self, upto: int) -> dict[int, tuple[int, str]]:
-        """Each bucket's newest folder not after a version: as many as there are buckets."""
-        out: dict[int, tuple[int, str]] = {}
-        for name in self._names(f"{self.path}/data/bucket=*/v=*"):
-            bucket, v = map(int, re.search(r"bucket=(\d+)/v=(\d+)$", name).groups())
-            if v <= upto and v > out.get(bucket, (0, ""))[0]:
-                out[bucket] = v, name
-        return out
+    def _stored(self, path: str, schema: StructType) -> DataFrame:
+        return self.spark.read.schema(StructType([*schema.fields, StructField(BUCKET, IntegerType())])).parquet(path)
 
-    def _read(self, folders: list[str]) -> DataFrame | None:
-        if not folders:
-            return None
-        reader = self.spark.read.option("mergeSchema", True).option("basePath", f"{self.path}/data")
-        return reader.parquet(*folders).drop("bucket", "v")
+    def _finish(self) -> None:
+        """Moves rows that were written beside the table into it."""
+        staged = f"{self.path}_staged"
+        if not exists(self.spark, f"{staged}/_SUCCESS"):
+            return
+        rows = self._stored(staged, self.plan.read()[0])
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(self.path)
+        delete(self.spark, staged)
 
     def read(self) -> DataFrame | None:
         """All rows, tombstones too; None before the first write."""
-        return self._read([name for _, name in self._folders(self.version()).values()])
+        self._finish()
+        schema, _ = self.plan.read()
+        return None if schema is None or not exists(self.spark, self.path) else self._stored(self.path, schema).drop(BUCKET)
 
     def current(self) -> DataFrame | None:
         rows = self.read()
         return None if rows is None else rows.where("op <> 1")
 
-    def upsert(self, changes: DataFrame, version: int | None = None) -> int:
-        """Merges ``changes``, of any order, as one version; the same version again counts once."""
-        version = version or self.version() + 1
-        dealt = changes.withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
-        touched = [r["bucket"] for r in dealt.select("bucket").distinct().collect()]  # at most ``buckets``
-        known = self._folders(version - 1)
-        old = self._read([known[b][1] for b in touched if b in known])
-        rows = changes if old is None else old.unionByName(changes, allowMissingColumns=True)
-        out = newest(rows, self.keys).withColumn("bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")).withColumn("v", F.lit(version))
-        writer = out.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("bucket", "v").parquet(f"{self.path}/data")
-        fs, p = self._fs(f"{self.path}/commits/{version}")
-        fs.create(p, True).close()
-        return version
-
-    def vacuum(self) -> int:
-        """Deletes folders that the last whole version does not read; returns how many."""
-        upto = self.version()
-        used, gone = {name for _, name in self._folders(upto).values()}, 0
-        for name in self._names(f"{self.path}/data/bucket=*/v=*"):
-            if name not in used and int(name.rpartition("=")[2]) <= upto:
-                fs, p = self._fs(name)
-                gone += fs.delete(p, True)
-        return gone
+    def upsert(self, changes: DataFrame) -> None:
+        """Merges ``changes``, of any order; columns that they lack are null in their rows."""
+        if BUCKET in changes.columns:
+            raise ValueError(f"the column name {BUCKET} is taken")
+        self._finish()
+        _, fixed = self.plan.read()
+        buckets = fixed.get("buckets") or self.buckets or max(LEAST_BUCKETS, -(-changes.count() // ROWS_IN_BUCKET))
+        schema = self.plan.extend(StructType([*changes.schema.fields]), buckets=buckets)
+        own = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(buckets)).cast("int")  # the same for wider types
+        touched = [r[0] for r in changes.select(own).distinct().collect()]  # at most ``buckets``
+        if not touched:
+            return
+        rows = align(changes, schema)
+        if exists(self.spark, self.path):
+            rows = rows.union(self._stored(self.path, schema).where(F.col(BUCKET).isin(touched)).drop(BUCKET))
+        out = newest(rows, self.keys).withColumn(BUCKET, own).hint("rebalance", BUCKET)
+        out.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}_staged")
+        self._finish()

@@ -10,11 +10,11 @@ from tidemark.sources.state import StateTable
 
 
 def upsert_batch(state: StateTable):
-    """A ``foreachBatch`` function. A batch that comes again rewrites its own version, so it
-    counts once; only the buckets of its keys are read and written."""
+    """A ``foreachBatch`` function. A batch that comes again changes nothing, as the order keys
+    decide; only the buckets of its keys are read and written."""
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        state.upsert(batch, batch_id + 1)
+        state.upsert(batch)
 
     return merge
 
