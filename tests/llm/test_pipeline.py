@@ -1,5 +1,6 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
+import random
 import re
 import zlib
 
@@ -75,11 +76,30 @@ def test_pack(steps):
         assert g["offset"].tolist() == [0, *g["length"].cumsum().tolist()[:-1]] and g["length"].sum() <= 4096
 
 
+def test_no_text_is_lost(spark):
+    """With ids that repeat or are null, every distinct text is left once by the stages of duplicates."""
+    rng, words = random.Random(15), [f"word{k}" for k in range(500)]
+    texts = [" ".join(rng.choices(words, k=40)) for _ in range(30)]
+    rows = [(rng.choice([None, 1, 2, 3, 40 + k]), t, "en", "s", 1) for t in texts for k in range(rng.randint(1, 4))]
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    for stage in (corpus_pipeline.exact_duplicates, corpus_pipeline.near_duplicates):
+        kept = [(r["doc_id"], r["text"]) for r in stage(spark, docs, "").collect()]
+        assert sorted(t for _, t in kept) == sorted(texts)
+        least = {t: min((i for i, x, *_ in rows if x == t and i is not None), default=None) for t in texts}
+        assert all(i == least[t] for i, t in kept)
+
+
 def test_run(spark):
     from conftest import SF
 
+    from tidemark.llm.shared import MADE, sweep
+
+    since = len(MADE)
     out = corpus_pipeline.run(spark, SF)
+    assert len(MADE) == since + 2  # its own tables, and those of the last stage
     assert out.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(out.columns)
+    sweep(spark, since)
+    assert len(MADE) == since
 
 
 @pytest.mark.parametrize("k", range(len(corpus_pipeline.STAGES)))

@@ -24,16 +24,21 @@ def shared_dir(spark: SparkSession) -> str:
     return warehouse + "/_shared"
 
 
+MADE: list[str] = []  # folders of this process's calls
+
+
 class Scratch:
     """Tables of one operator call in the shared folder.
 
     A written table outlives the executors that made it, so a lost executor costs only
-    the tasks that it ran. ``drop`` frees a table that nothing reads any more.
+    the tasks that it ran. ``drop`` frees a table that nothing reads any more. Results are
+    read from these tables when they are asked for; ``sweep`` frees all once that is over.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{label}-{uuid4().hex}"
+        MADE.append(self.root)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -41,13 +46,25 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(self.spark, f"{self.root}/{name}")
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def sweep(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the tables of this process's calls, from the ``since``-th on. Results that are not
+    yet written elsewhere are lost with them."""
+    for root in MADE[since:]:
+        _delete(spark, root)
+    del MADE[since:]
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Fewer rows in an Arrow batch, so that a batch of long texts fits a Python worker."""
+    """Fewer rows in an Arrow batch, so that a batch of long texts fits a Python worker. Holds for
+    the session, as plans are run after they are made; a setting that is lower already stays."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(key)) > rows:
         spark.conf.set(key, str(rows))
