@@ -20,8 +20,12 @@ n - k + 1 words (its prefix) with a block, and with the block's document. So:
   block's ordered words, at most 1 + min(n - i - 1, m - j - 1) can be shared;
 * candidates are verified by counting shared words.
 
-The templates and their order are tiny constants of the plan, not data. Null text counts as
-empty. Rows are returned one for one; rows with equal doc_id are told apart by their text.
+The templates and their order are tiny constants of the plan, not data. Texts are read twice:
+once for their words, phrases and template words, of which a narrow table is kept, and once
+for those with a prefix word, which are few and kept too.
+
+Null text counts as empty. Rows are returned one for one; rows with equal or null doc_id are
+told apart by their text, and get equal results if that is equal.
 """
 
 from __future__ import annotations
@@ -80,8 +84,9 @@ def phrases(words: Column) -> dict[str, Column]:
     return out
 
 
-def scan_phrases(docs: DataFrame) -> DataFrame:
-    """n_words, n_base, first_word, last_word and base_labels of each row of (doc_id, text)."""
+def scan_phrases(docs: DataFrame, vocab: list[str]) -> DataFrame:
+    """n_words, n_base, first_word, last_word and base labels of each row of (doc_id, text), and
+    which words of ``vocab`` it holds."""
     df = docs.withColumn("words", worded(F.col("text"))).withColumn("n_words", count_words(F.col("words")))
     parts = phrases(F.col("words"))
     names = {p: f"parts{k}" for k, p in enumerate(parts)}
@@ -94,9 +99,11 @@ def scan_phrases(docs: DataFrame) -> DataFrame:
         first.append(F.when(found, spaces(F.element_at(c, 1)).cast("long")))  # a space follows each word before the place
         last.append(F.when(found, F.col("n_words") - spaces(F.element_at(c, -1)) - len(phrase.split())))
         labels.append(F.when(found, F.lit(label)))
+    own = F.array_intersect(F.split(F.lower("words"), " "), F.array(*map(F.lit, vocab)))
     return df.select(
         "doc_id",
-        "text",
+        F.xxhash64("text").alias("text_key"),
+        own.alias("template_words"),
         "n_words",
         sum(hits[1:], hits[0]).alias("n_base"),
         F.least(*first).alias("first_word"),
@@ -109,12 +116,10 @@ def vocabulary(templates: dict[str, str]) -> list[str]:
     return sorted({w for t in templates for w in t.split()})
 
 
-def document_counts(docs: DataFrame, templates: dict[str, str]) -> dict[str, int]:
+def document_counts(base: DataFrame, templates: dict[str, str]) -> dict[str, int]:
     """In how many documents each template word stands: one row per word of the vocabulary."""
-    vocab = vocabulary(templates)
-    words = F.array_intersect(F.split(F.lower(worded(F.col("text"))), " "), F.array(*map(F.lit, vocab)))
-    counted = docs.select(F.explode(words).alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
-    return {w: 0 for w in vocab} | {r["w"]: r["n"] for r in counted.collect()}
+    counted = base.select(F.explode("template_words").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    return {w: 0 for w in vocabulary(templates)} | {r["w"]: r["n"] for r in counted.collect()}
 
 
 def prefix_index(counts: dict[str, int], templates: dict[str, str], threshold: float) -> list[dict]:
@@ -128,13 +133,13 @@ def prefix_index(counts: dict[str, int], templates: dict[str, str], threshold: f
     return out
 
 
-def similar_blocks(docs: DataFrame, index: list[dict], counts: dict[str, int]) -> DataFrame:
+def similar_blocks(docs: DataFrame, index: list[dict], counts: dict[str, int], scratch: Scratch) -> DataFrame:
     """(doc_id, text_key, label, share) of each template that a line or a run of words meets."""
     order = sorted(counts, key=lambda w: (counts[w], w))
     prefix_words = sorted({w for t in index for w in t["prefix"]})
     some = r"(?i)(?<![0-9a-z\x{80}-\x{10FFFF}])(?:" + "|".join(map(re.escape, prefix_words)) + r")(?![0-9a-z\x{80}-\x{10FFFF}])"
     split = lambda text: F.split(F.translate(worded(text), UPPER, LOWER), " ")
-    found = docs.where(F.col("text").rlike(some)).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    found = scratch.write(docs.where(F.col("text").rlike(some)).select("doc_id", F.xxhash64("text").alias("text_key"), "text"), "found")
 
     def candidates(blocks: DataFrame) -> DataFrame:
         """Blocks, with a column ``own`` of words, beside templates of whose words they hold enough."""
@@ -182,11 +187,11 @@ def scan(docs: DataFrame, threshold: float = 0.8, templates: dict[str, str] = TE
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of each row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     scratch = Scratch(docs.sparkSession, "licenses")
-    counts = document_counts(docs, templates)
-    hits = similar_blocks(docs, prefix_index(counts, templates, threshold), counts)
+    base = scratch.write(scan_phrases(docs, vocabulary(templates)), "base")
+    counts = document_counts(base, templates)
+    hits = similar_blocks(docs, prefix_index(counts, templates, threshold), counts, scratch)
     marks = hits.groupBy(F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key")).agg(F.collect_set("label").alias("more"), F.max("share").alias("share"))
     marks = scratch.write(marks, "marks")
-    base = scan_phrases(docs).withColumn("text_key", F.xxhash64("text")).drop("text")
     out = base.join(marks, F.col("text_key").eqNullSafe(F.col("m_key")) & F.col("doc_id").eqNullSafe(F.col("m_id")), "left")
     labels = F.array_sort(F.array_union("base", F.coalesce("more", F.array().cast("array<string>"))))
     score = F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0)))
