@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import Scratch, parted
+from tidemark.llm.shared import Scratch, few_ids, parted
 
 SPACES = b" \t\n\x0b\x0c\r"
 WINDOW = 32
@@ -148,13 +148,14 @@ def exact_groups(docs: DataFrame, fp_bits: int = 64) -> DataFrame:
 def without_copies(docs: DataFrame) -> DataFrame:
     """Rows of ``docs``, all columns, one of each group of equal texts: that with the least doc_id.
 
-    Only ids of dropped rows are joined to ``docs``. Rows whose doc_id is null or repeats go by
+    Only ids of dropped rows are joined to ``docs``, broadcast up to a checked number. Rows whose doc_id is null or repeats go by
     id and text.
     """
     scratch = Scratch(docs.sparkSession, "exact")
     found = scratch.write(exact_groups(docs).select("doc_id", "kept", "text_sha256"), "found")
     plain, rest = parted(docs, scratch)
-    out = plain.join(found.where(~F.col("kept")).select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    gone = scratch.write(found.where(~F.col("kept")).select("doc_id"), "gone")
+    out = plain.join(few_ids(gone), "doc_id", "left_anti").select(docs.columns)
     if rest is None:
         return out
     text = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " ")

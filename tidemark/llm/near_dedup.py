@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
 from tidemark.llm.components import components
-from tidemark.llm.shared import Scratch, parted
+from tidemark.llm.shared import Scratch, few_ids, parted
 
 BANDS, ROWS = 40, 6
 HASHES = BANDS * ROWS
@@ -363,7 +363,8 @@ def without_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> D
     scratch = Scratch(docs.sparkSession, "near")
     plain, rest = parted(docs, scratch)
     found = scratch.write(_grouped(plain, rest, words, percent).select("node", "stays"), "stays")
-    out = plain.join(found.where(~F.col("stays")).select(F.col("node").alias("doc_id")), "doc_id", "left_anti").select(docs.columns)
+    gone = scratch.write(found.where(~F.col("stays")).select(F.col("node").alias("doc_id")), "gone")
+    out = plain.join(few_ids(gone), "doc_id", "left_anti").select(docs.columns)
     if rest is None:
         return out
     stays = found.where("stays").select(F.col("node").alias("__key")).distinct()

@@ -24,6 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     return warehouse + "/_shared"
 
 
+MOST_IDS = 2_000_000  # of a broadcast table of ids, some 100 MB in memory
 MADE: list[str] = []  # folders of this process's calls
 
 
@@ -70,12 +71,17 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, str(rows))
 
 
+def few_ids(ids: DataFrame) -> DataFrame:
+    """A stored table of ids, to be broadcast if it has at most ``MOST_IDS`` rows; else Spark joins as it sees fit."""
+    return F.broadcast(ids) if ids.count() <= MOST_IDS else ids
+
+
 def parted(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ``docs`` whose doc_id is theirs alone; and the rest, with ``__key``, a hash of id
     and text, or None if there is no rest. Only ids are read to tell, unless there is one."""
     again = scratch.write(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("doc_id is null or n > 1").select("doc_id"), "again")
     if again.isEmpty():
         return docs, None
-    known = again.where("doc_id is not null")
+    known = few_ids(again.where("doc_id is not null"))
     rest = docs.where("doc_id is null").union(docs.join(known, "doc_id", "left_semi").select(docs.columns))
     return docs.where("doc_id is not null").join(known, "doc_id", "left_anti").select(docs.columns), rest.withColumn("__key", F.xxhash64(F.lit("row"), "doc_id", "text"))
