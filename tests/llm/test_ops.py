@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF
-from tidemark.llm import exact_dedup, html_extract, langid, licenses, lm_score, mixing, near_dedup, packing, pii, registry, topk
+from tidemark.llm import exact_dedup, html_extract, langid, licenses, lm_score, mixing, near_dedup, packing, pii, registry, shared, topk
 from tidemark.llm.shared import table
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -642,9 +642,8 @@ def lm_by_hand(rows, target):
     for own in ([s for (i, _), s in zip(rows, seqs) if i in target], seqs):
         pairs = [p for s in own if len(s) > 2 for p in itertools.pairwise(s)]
         both, first, word = Counter(pairs), Counter(a for a, _ in pairs), Counter(b for _, b in pairs)
-        rest = (sum(n == 1 for n in both.values()) + 1) / (len(pairs) + 2)
-        single = lambda w: (word[w] + 1) / (len(pairs) + len(vocab))  # noqa: E731, B023
-        p = lambda a, b: (1 - rest) * both[a, b] / first[a] + rest * single(b) if first[a] else single(b)  # noqa: E731, B023
+        weight = math.sqrt(len(pairs) + 1)
+        p = lambda a, b: (both[a, b] + weight * (word[b] + 1) / (len(pairs) + len(vocab))) / (first[a] + weight)  # noqa: E731, B023
         assert not vocab or all(abs(sum(p(a, b) for b in vocab) - 1) < 1e-9 for a in [None, *sorted(vocab - {None})[:5]])
         out.append([sum(-math.log(p(a, b)) for a, b in itertools.pairwise(s)) / (len(s) - 1) if len(s) > 2 else 0.0 for s in seqs])
     return [(i, len(s) - 2, near, far, near - far) for (i, _), s, near, far in zip(rows, seqs, *out)]
@@ -655,7 +654,7 @@ def test_lm_score(spark, monkeypatch, tokens, groups, most_ids):
     """All rows against plain counting, in one block and in many, with ids broadcast and joined."""
     monkeypatch.setattr(lm_score, "TOKENS", tokens)
     monkeypatch.setattr(lm_score, "LEAST_GROUPS", groups)
-    monkeypatch.setattr(lm_score, "MOST_IDS", most_ids)
+    monkeypatch.setattr(shared, "MOST_IDS", most_ids)
     rng = random.Random(11)
     common, topics = [f"c{k}" for k in range(970)], [[f"{t}{k:03}ing" for k in range(150)] for t in ("al", "be")]
     rows = [(i, " ".join(rng.choices(common, k=40))) for i in range(100)]

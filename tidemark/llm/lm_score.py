@@ -4,14 +4,14 @@ One vocabulary serves both models: all words of the corpus, with A-Z in lower ca
 ASCII white space, whatever their length, and a mark that ends a document and stands before
 the next one's first word. Both models count every word and every pair of neighbours; the
 target's in the documents it is given, the background's in all. The form is the same and the
-smoothing fits each model's own size: with N tokens, V words and ``once`` pairs seen once,
+smoothing fits each model's own size: with N tokens and V words,
 
     p(w) = (count(w) + 1) / (N + V)
-    p(w | v) = (1 - a) * count(v, w) / count(v) + a * p(w),   a = (once + 1) / (N + 2)
+    p(w | v) = (count(v, w) + s * p(w)) / (count(v) + s),   s = sqrt(N + 1)
 
-where ``a`` is the Good-Turing share of unseen pairs; after a word that a model never saw it
-is p(w). A document's losses are means over its words and its end, and its score is the
-target's loss less the background's: the lower, the more like the target.
+as the square root of the number of trials is the minimax weight of a prior. A document's losses
+are means over its words and its end, and its score is the target's loss less the background's:
+the lower, the more like the target.
 
 Nothing is left out, and no table of counts is collected or broadcast. Tasks turn texts into
 blocks of about ``TOKENS`` tokens: sequences of numbers in the block's own vocabulary. Each
@@ -22,7 +22,7 @@ So sequences move once, questions once and answers once, compressed: about three
 size of the table in all. There are tokens / ``ENTRIES`` groups, and so many questions for each
 block: with very many tokens, raise both constants so that a question keeps thousands of entries.
 
-Up to ``MOST_IDS`` target ids are broadcast; more are joined to the texts by doc_id. Null and
+Target ids are broadcast up to a checked number; more are joined to the texts by doc_id. Null and
 empty texts have no tokens and score 0. Rows that repeat a doc_id count each, and all are of
 the target if the id is; a repeated target id counts once, and a null one never.
 """
@@ -39,13 +39,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import Scratch
+from tidemark.llm.shared import Scratch, few_ids
 
 TOKENS = 1_000_000
 ENTRIES = 2_000_000
 LEAST_GROUPS = 64
 MOST_DOCS = 100_000
-MOST_IDS = 2_000_000
 MARK = 0  # the number of the mark between documents, in every block
 SEQUENCES = "block long, tokens long, near_tokens long, ids binary, hashes binary, seq binary"
 
@@ -188,26 +187,24 @@ def questions(blocks: DataFrame, groups: int) -> DataFrame:
 
 def answers(asked: DataFrame) -> DataFrame:
     """(part, block, counts): what both models counted of each entry, in the order asked; and on
-    one row of each part how many words it has, and pairs that each model saw once."""
+    one row of each part how many words it has."""
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         keys, near, far = zip(*(unpacked(raw, "u8", "i8", "i8") for raw in group["entries"]), strict=True)
         sizes = [len(x) for x in keys]
         known, which = np.unique(np.concatenate([np.cumsum(x, dtype=np.uint64) for x in keys]), return_inverse=True)
         sums = [np.bincount(which, weights=np.concatenate(x), minlength=len(known)).astype(np.int64) for x in (near, far)]  # exact below 2**53
-        pair = known & np.uint64(1) == 1
-        out = group[["part", "block"]].assign(counts=[packed(*(s[w] for s in sums)) for w in np.split(which, np.cumsum(sizes)[:-1])], words=0, near_once=0, far_once=0)
-        out.iloc[0, 3:] = [int((~pair).sum()), *(int((pair & (s == 1)).sum()) for s in sums)]
+        out = group[["part", "block"]].assign(counts=[packed(*(s[w] for s in sums)) for w in np.split(which, np.cumsum(sizes)[:-1])], words=0)
+        out.iloc[0, 3] = int((known & np.uint64(1) == 0).sum())
         return out
 
-    return asked.groupBy("part").applyInPandas(add, "part int, block long, counts binary, words long, near_once long, far_once long")
+    return asked.groupBy("part").applyInPandas(add, "part int, block long, counts binary, words long")
 
 
-def pair_losses(both: np.ndarray, first: np.ndarray, word: np.ndarray, total: int, words: int, once: int) -> np.ndarray:
+def pair_losses(both: np.ndarray, first: np.ndarray, word: np.ndarray, total: int, words: int) -> np.ndarray:
     """Minus log-probabilities of pairs, from counts of the pair, its first and its second word."""
-    unseen = (once + 1) / (total + 2)
-    single = (word + 1) / (total + words)
-    return -np.log(np.where(first > 0, (1 - unseen) * both / np.maximum(first, 1) + unseen * single, single))
+    weight = np.sqrt(total + 1)
+    return -np.log((both + weight * (word + 1) / (total + words)) / (first + weight))
 
 
 def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
@@ -215,14 +212,13 @@ def score(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "lm")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     ids = scratch.write(target_ids.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct().withColumn("near", F.lit(True)), "targets")
-    ids = F.broadcast(ids) if ids.count() <= MOST_IDS else ids
-    marked = docs.join(ids, "doc_id", "left").withColumn("near", F.coalesce("near", F.lit(False)))
+    marked = docs.join(few_ids(ids), "doc_id", "left").withColumn("near", F.coalesce("near", F.lit(False)))
     blocks = scratch.write(sequences(marked), "blocks")
     total = blocks.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("tokens", "near_tokens")]).first()
     groups = max(LEAST_GROUPS, -(-total["tokens"] // ENTRIES))
     told = scratch.write(answers(questions(blocks, groups)), "answers")
-    known = told.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "near_once", "far_once")]).first()
-    models = ((total["near_tokens"], known["words"], known["near_once"]), (total["tokens"], known["words"], known["far_once"]))
+    words = told.agg(F.sum("words").alias("n")).first()["n"]
+    models = ((total["near_tokens"], words), (total["tokens"], words))
 
     def judge(own: pd.DataFrame, replies: pd.DataFrame) -> pd.DataFrame:
         found = []
