@@ -7,14 +7,14 @@ from tidemark.functions.keys import seq_key
 from tidemark.operators import merge, recon
 
 ROWS = "id long, name string, op int, seqval_hex string, fingerprint string, load_ts timestamp"
-T1, T2 = datetime(2024, 3, 9, 16), datetime(2024, 3, 9, 17)  # the first is 1710000000 s
+T1, T2 = datetime(2023, 11, 5, 6), datetime(2023, 11, 5, 7)
 
 
 @pytest.fixture()
 def history(spark):
-    """Two batches: inserts of 101-103; then an update of 101, a tombstone of 102, an insert of 104."""
-    rows = [(101, "a", 0, "00000001", "fp", T1), (102, "b", 0, "00000002", "fp", T1), (103, "c", 0, "00000003", "fp", T1)]
-    rows += [(101, "a2", 2, "00000004", "fp", T2), (102, "b", 1, "00000005", "fp", T2), (104, "d", 0, "00000006", "fp", T2)]
+    """Two batches: inserts of 5, 60 and 7; then an update of 5, a tombstone of 60, an insert of 800."""
+    rows = [(5, "a", 0, "0a1", "fp", T1), (60, "b", 0, "0a2", "fp", T1), (7, "c", 0, "0b3", "fp", T1)]
+    rows += [(5, "a2", 2, "0c4", "fp", T2), (60, "b", 1, "0d5", "fp", T2), (800, "d", 0, "0e6", "fp", T2)]
     return spark.createDataFrame(rows, ROWS)
 
 
@@ -23,10 +23,10 @@ def names(df):
 
 
 def test_worked_example(history):
-    expected = {101: "a2", 103: "c", 104: "d"}
+    expected = {5: "a2", 7: "c", 800: "d"}
     assert names(merge.current_state(history)) == expected
     assert names(merge.replay_current(history, ["fp"])) == expected
-    assert names(merge.state_as_of(history, T1)) == {101: "a", 102: "b", 103: "c"}
+    assert names(merge.state_as_of(history, T1)) == {5: "a", 60: "b", 7: "c"}
     assert set(merge.current_state(history).columns) == {"id", "name", "op", "seqval_hex"}
 
 
@@ -54,7 +54,7 @@ def test_delete_takes_any_tombstone_but_state_takes_the_latest(spark):
 def test_state_does_not_depend_on_order_or_splits(spark, history):
     shuffled = history.orderBy(F.rand(7))
     assert names(merge.current_state(shuffled)) == names(merge.current_state(history))
-    first, second = history.where("seqval_hex > '00000003'"), history.where("seqval_hex <= '00000003'")
+    first, second = history.where("seqval_hex > '0b3'"), history.where("seqval_hex <= '0b3'")
     late = merge.current_state(first, keep_tombstones=True).unionByName(second)
     assert names(merge.current_state(late)) == names(merge.current_state(history))
 
@@ -68,13 +68,13 @@ def test_invariants_hold_for_current_state(history):
     rows = {r["check_name"]: r["status"] for r in recon.tier_d(history, state, "t").collect()}
     assert set(rows.values()) == {"OK"} and len(rows) == 4
     bad = recon.tier_d(history, history.where("op = 0").drop("fingerprint", "load_ts"), "t").where("check_name = 'tombstone'").first()
-    assert (bad["status"], bad["actual"], bad["details"]) == ("MISMATCH", 1, '[{"id":102}]')
+    assert (bad["status"], bad["actual"], bad["details"]) == ("MISMATCH", 1, '[{"id":60}]')
 
 
 def test_erase_batches_and_watermark(spark, history):
-    assert names(merge.erase_ids(history, spark.createDataFrame([(101,), (101,)], "id long"))).keys() == {102, 103, 104}
+    assert names(merge.erase_ids(history, spark.createDataFrame([(5,), (5,)], "id long"))).keys() == {60, 7, 800}
     landed = history.withColumn("batch_ts", F.lit(1))
-    again = landed.withColumn("batch_ts", F.when(F.col("id") == 104, 2).otherwise(1))
+    again = landed.withColumn("batch_ts", F.when(F.col("id") == 800, 2).otherwise(1))
     assert merge.not_yet_landed(again, landed).count() == 1
     marks = spark.createDataFrame([("t", "fp", "merge_watermark", 1)], "table_name string, fingerprint string, kind string, value long")
     assert merge.rows_to_merge(again, marks).count() == 1 and merge.rows_to_merge(again, marks.limit(0)).count() == 6

@@ -75,7 +75,8 @@ def job_timing(runs: DataFrame, percents: tuple[int, ...] = (50, 90, 99)) -> Dat
     """One row: runs by state; least, nearest-rank percentiles, most and total seconds of successes.
 
     A percentile is the value at place min(n - 1, int(p / 100 * n)) in order. Values are
-    counted first, in ranges of a second, so that ranks come from sums of counts.
+    counted first, in ranges of a second, so that ranks come from sums of counts. The sums of
+    ranges are ordered in one task: there are as many as seconds that the longest run took.
     """
     timed = job_durations(runs)
     states = timed.agg(*[F.count_if(F.col("state") == s).alias(s.lower()) for s in ("SUCCESS", "FAILED", "CANCELLED")])
