@@ -497,6 +497,21 @@ def test_mixture_and_choice_of_languages():
         assert values[tuple(sorted(langs))] == pytest.approx(max(values.values()), abs=1e-3) and share.sum() == pytest.approx(1)
 
 
+def test_bound_of_a_second_language_holds():
+    rng = np.random.default_rng(16)
+    finite = 0
+    for _ in range(60):
+        model = np.log(rng.dirichlet(np.full(40, 0.5), size=2).T + 1e-5)
+        share = rng.choice([0, 0, 0.01, 0.05, 0.5])
+        p = np.exp(model) @ [1 - share, share]
+        counts = rng.multinomial(500, p / p.sum()).astype(float)
+        gain = langid.mixture(model, counts, [0, 1])[0] - counts @ model[:, 0]
+        bound = langid.most_gain(model[:, 1] - model[:, 0], counts)
+        assert gain <= bound + 1e-6
+        finite += bound < np.inf
+    assert 10 < finite < 60
+
+
 def test_model_by_plain_counting(spark):
     rows = [(k, t, lang, "s", 0) for k, (t, lang) in enumerate([("ab ab", "x"), ("abc", "y"), ("b", "x"), (None, "x"), ("abc", None)] * 4)]
     model = langid.train(spark.createDataFrame(rows, DOCS))

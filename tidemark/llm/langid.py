@@ -131,6 +131,16 @@ def mixture(logs: np.ndarray, counts: np.ndarray, langs: list[int]) -> tuple[flo
     return float(counts @ (np.log(p @ share) + top[:, 0])), share
 
 
+def most_gain(more: np.ndarray, counts: np.ndarray, share: float = 0.02) -> float:
+    """An upper bound of what a second language adds to the log-likelihood, from n-grams' excess
+    log-likelihoods under it. The gain is concave in its share: where it falls at ``share``, the
+    best is before that, and no higher than the tangent there allows."""
+    ratio = np.exp(np.minimum(more, 700.0))
+    mixed = 1 - share + share * ratio
+    slope = float(counts @ ((ratio - 1) / mixed))
+    return float(counts @ np.log(mixed)) - slope * share if slope <= 0 else np.inf
+
+
 def proportions(logs: np.ndarray, counts: np.ndarray, penalty: float) -> tuple[list[int], np.ndarray]:
     """The chosen languages and their proportions."""
     logs, counts = logs.astype(np.float64), counts.astype(np.float64)
@@ -144,6 +154,8 @@ def proportions(logs: np.ndarray, counts: np.ndarray, penalty: float) -> tuple[l
         new = int(most.argmax())
         if 2 * most[new] <= cost:  # an upper bound of the gain, up to a constant share
             break
+        if len(chosen) == 1 and 2 * most_gain(logs[:, new] - logs[:, chosen[0]], counts) <= cost:
+            break
         value, found = mixture(logs, counts, [*chosen, new])
         if 2 * (value - best) <= cost:
             break
