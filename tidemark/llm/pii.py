@@ -10,7 +10,6 @@ result. One pass, without a shuffle; every pattern takes time in proportion to t
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, html_extract, langid, licenses, lm_score, mixing, near_dedup, packing, pii, topk
 from tidemark.llm.shared import small_batches, table
