@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, html_extract, langid, licenses, lm_score, mixing, near_dedup, packing, pii, topk
+from tidemark.llm import exact_dedup, html_extract, langid, licenses, lm_score, merkle, mixing, near_dedup, packing, pii, repair, topk
 from tidemark.llm.shared import small_batches, table
 
 
@@ -68,6 +68,15 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"), good)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.Manifest(table(spark, sf_dir, "documents")).audit()
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
 OP2_SQL = r"""
 WITH norm AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -88,8 +97,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_minhash_near_dedup": op8_minhash_near_dedup,
         "op9_pii": op9_pii,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_conversation_repair": op12_conversation_repair,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op4_top_k_search": topk.SQL, "op6_mixing": mixing.SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op4_top_k_search": topk.SQL, "op6_mixing": mixing.SQL, "op11_merkle_manifest": merkle.SQL, "op12_conversation_repair": repair.SQL}
