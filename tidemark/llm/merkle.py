@@ -22,6 +22,7 @@ empty table has no rows and no root.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 from hashlib import sha256
 from string import ascii_lowercase, ascii_uppercase
 
@@ -219,8 +220,8 @@ class Manifest:
         self.leaves = scratch.write(placed.select("doc_id", "source", "leaf", "tampered", F.col("number").alias("tree"), F.col("place").alias("pos"), F.col("size").alias("n")), "placed")
         base = self.leaves.select("tree", "pos", "n", F.col("leaf").alias("digest"))
         self.subtrees, self.subroots = grow(base, scratch, "tree")
-        sources = self.subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("pos"), F.col("root").alias("digest"))
-        sources = sources.crossJoin(self.subroots.agg(F.count(F.lit(1)).alias("n")))  # one row
+        n = F.lit(self.subroots.count()).cast("long").alias("n")
+        sources = self.subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("pos"), n, F.col("root").alias("digest"))
         self.sources = scratch.write(sources, "sources")
         self.top_subtrees, self.top = grow(self.sources, scratch, "top")
 
@@ -228,6 +229,7 @@ class Manifest:
         found = self.top.first()
         return found and bytes(found["root"]).hex()
 
+    @cached_property
     def held(self) -> DataFrame:
         """The sources' lowest subtrees with the siblings above them."""
         none = F.array().cast("array<string>")
@@ -243,7 +245,7 @@ class Manifest:
             sub, root = roots or (None, None)
             return pd.DataFrame({"doc_id": rows["doc_id"], "source": rows["source"], "leaf": [bytes(x).hex() for x in rows["leaf"]], "siblings": siblings, "subroot": sub, "root": root})
 
-        return fetch(self.leaves, self.held(), emit, "doc_id long, source string, leaf string, siblings array<string>, subroot string, root string")
+        return fetch(self.leaves, self.held, emit, "doc_id long, source string, leaf string, siblings array<string>, subroot string, root string")
 
     def audit(self) -> DataFrame:
         """Each row's proof as one digest, and whether its leaf, after tampering, still leads to the root."""
@@ -258,7 +260,7 @@ class Manifest:
                 "proof_sha256": [digest("".join(s)) for s in siblings], "folded_root": folded, "verified": [f == root for f in folded],
             })
 
-        return fetch(self.leaves, self.held(), emit, "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean")
+        return fetch(self.leaves, self.held, emit, "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean")
 
 
 def _sql(levels: int = 12) -> str:

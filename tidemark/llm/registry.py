@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact_dedup, html_extract, langid, licenses, lm_score, merkle, mixing, near_dedup, packing, pii, repair, topk
+from tidemark.llm import exact_dedup, html_extract, langid, licenses, lm_score, merkle, mixing, near_dedup, ngram_join, packing, pii, repair, topk
 from tidemark.llm.shared import small_batches, table
 
 
@@ -77,6 +77,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(table(spark, sf_dir, "conversations"))
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    small_batches(spark)
+    return ngram_join.linked(table(spark, sf_dir, "documents"))
+
+
 OP2_SQL = r"""
 WITH norm AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -99,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_lm_scoring": op10_lm_scoring,
         "op11_merkle_manifest": op11_merkle_manifest,
         "op12_conversation_repair": op12_conversation_repair,
+        "op13_ngram_join": op13_ngram_join,
     }
 
 
