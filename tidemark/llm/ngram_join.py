@@ -29,7 +29,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from itertools import combinations
-from math import ceil, exp, sqrt
+from math import ceil, comb, exp, factorial, sqrt
 
 import numpy as np
 import pandas as pd
@@ -41,10 +41,11 @@ from tidemark.llm.near_dedup import BLOCK, NearDuplicates, Shingler, full_sets,
 from tidemark.llm.shared import Scratch, few_ids, parted
 
 GROWTH = 1.3  # of size bands
-LARGEST = 1 << 40  # features of a set
-ENUMERATED = 6  # up to so many differences one range is cut and all subsets enumerated
+LARGEST = 1 << 31  # features of a set
+ENUMERATED = 9  # up to so many differences one range is cut and all subsets enumerated
 SPLIT = (1, 0)  # n2 and k2 beyond
-RICH = 3  # features that a signature should cover
+RICH = 2  # features that a signature should cover
+ROWS_AT_ONCE = 20_000  # of small buckets in a group of a task
 SIGNED = "doc_id long, n_shingles long, d0 long, d1 long, sig binary"
 
 
@@ -63,13 +64,19 @@ class Tag:
             self.n1, self.n2, self.k2, self.spare = 1, k + 2 if k else 1, k, 0
         else:
             self.n2, self.k2 = SPLIT
-            self.spare = 0
-            for _ in range(4):
-                self.n1 = k // (self.k2 + 1) + 1 + self.spare
-                each = (low + high) / 2 / self.n1 * (self.n2 - self.k2) / self.n2
-                poor = self.n1 * exp(-each) * sum(each**j / max(1, j * (j - 1)) for j in range(RICH))
-                self.spare = ceil(poor + 4 * sqrt(poor))
-            self.n1 = k // (self.k2 + 1) + 1 + self.spare
+            least = k // (self.k2 + 1) + 1
+            self.spare, more = 0, ceil(self._poor(least))
+            while self.spare < more <= least:
+                self.spare, more = more, ceil(self._poor(least + more))
+            self.spare = self.spare if more <= least else 0  # too small for spare ranges: all are sent
+            self.n1 = least + self.spare
+
+    def _poor(self, n1: int) -> float:
+        """How many of ``n1`` ranges hold a poor signature, in nearly all sets of the band's middle size."""
+        each = (self.low + self.high) / 2 / n1 * (self.n2 - self.k2) / self.n2
+        one = exp(-each) * sum(each**j / factorial(j) for j in range(RICH))
+        mean = n1 * min(1.0, one * comb(self.n2, self.k2))
+        return mean + 3 * sqrt(mean)
 
     def subsets(self) -> np.ndarray:
         """A row for each subset of ``n2 - k2`` of the smaller ranges."""
@@ -209,35 +216,47 @@ class NgramJoin(NearDuplicates):
 
     def _asked(self, label: DataFrame) -> DataFrame:
         """(rep, other, mate): members to hold against another component, with which they share a
-        bucket and a sketch that allows a link; ``mate`` is its member of the most similar sketch."""
+        bucket and a sketch that allows a link; ``mate`` is its member of the most similar sketch.
+
+        Large buckets are cut into blocks of both sides; small ones go many to a group, side by side.
+        """
         rows = self._open(label).join(self.reps.select("rep", "n", "sig"), "rep")
+        groups = 1 + (self.scratch.spark.read.parquet(f"{self.scratch.root}/many").agg(F.sum("size")).first()[0] or 0) // ROWS_AT_ONCE
         down, over = (F.ceil(F.col(c) / F.lit(BLOCK)).cast("int") for c in ("size", "minors"))
-        spot = F.xxhash64("rep")
+        large, spot = F.col("size") > BLOCK, F.xxhash64("rep")
+        cell = F.when(large, F.col("key")).otherwise(F.pmod(F.xxhash64("key"), F.lit(groups))).alias("cell")
         row, col = F.pmod(spot, down).cast("int"), F.pmod(spot, over).cast("int")
-        held = rows.select("key", "rep", "component", "n", "sig", F.lit(False).alias("asks"), row.alias("r"), F.explode(F.sequence(F.lit(0), over - 1)).alias("c"))
-        asks = rows.where("minor").select("key", "rep", "component", "n", "sig", F.lit(True).alias("asks"), F.explode(F.sequence(F.lit(0), down - 1)).alias("r"), col.alias("c"))
+        every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        own = [large.alias("large"), cell, "key", "rep", "component", "n", "sig"]
+        held = rows.select(*own, F.lit(False).alias("asks"), row.alias("r"), every(over).alias("c"))
+        asks = rows.where("minor").select(*own, F.lit(True).alias("asks"), every(down).alias("r"), col.alias("c"))
         percent = self.percent
 
-        def compare(cell: pd.DataFrame) -> pd.DataFrame:
-            q, p = cell[cell["asks"]], cell[~cell["asks"]]
-            found = []
-            if len(q) and len(p):
-                width = min(map(len, cell["sig"]))
-                y = np.stack([folded(s, width) for s in p["sig"]])
-                sizes, comps, reps = (p[c].to_numpy() for c in ("n", "component", "rep"))
-                for rep, n, comp, sig in zip(q["rep"], q["n"], q["component"], q["sig"], strict=True):
-                    fits = np.flatnonzero((comps != comp) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n)))
-                    off = np.bitwise_count(y[fits] ^ folded(sig, width)).sum(axis=1, dtype=np.int64)
-                    near = off * (100 + percent) <= (100 - percent) * (sizes[fits] + n)
+        def compare(cells: pd.DataFrame) -> pd.DataFrame:
+            cells = cells.sort_values(["key", "asks"], kind="stable")
+            keys, asking, sizes, comps, reps = (cells[c].to_numpy() for c in ("key", "asks", "n", "component", "rep"))
+            sigs, found = cells["sig"].tolist(), []
+            starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            for lo, hi in zip(starts, [*starts[1:], len(keys)], strict=True):
+                mid = lo + int(np.searchsorted(asking[lo:hi], True))
+                if lo == mid or mid == hi:
+                    continue
+                width = min(map(len, sigs[lo:hi]))
+                y = np.stack([folded(x, width) for x in sigs[lo:mid]])
+                for k in range(mid, hi):
+                    total = sizes[lo:mid] + sizes[k]
+                    fits = np.flatnonzero((comps[lo:mid] != comps[k]) & (100 * np.minimum(sizes[lo:mid], sizes[k]) >= percent * np.maximum(sizes[lo:mid], sizes[k])))
+                    off = np.bitwise_count(y[fits] ^ folded(sigs[k], width)).sum(axis=1, dtype=np.int64)
+                    near = off * (100 + percent) <= (100 - percent) * total[fits]
                     fits, off = fits[near], off[near]
-                    order = np.lexsort((reps[fits], off))
-                    others, first = np.unique(comps[fits[order]], return_index=True)
+                    order = np.lexsort((reps[lo:mid][fits], off))
+                    others, first = np.unique(comps[lo:mid][fits[order]], return_index=True)
                     at = order[first]
-                    found += zip([rep] * len(others), others.tolist(), reps[fits[at]].tolist(), off[at].tolist())
+                    found += zip([int(reps[k])] * len(others), others.tolist(), reps[lo:mid][fits[at]].tolist(), off[at].tolist())
             return pd.DataFrame(found, columns=["rep", "other", "mate", "off"], dtype="int64")
 
-        cells = held.union(asks).groupBy("key", "r", "c").applyInPandas(compare, "rep long, other long, mate long, off long")
-        return cells.groupBy("rep", "other").agg(F.min_by("mate", F.struct("off", "mate")).alias("mate"))
+        compared = held.union(asks).groupBy("large", "cell", "r", "c").applyInPandas(compare, "rep long, other long, mate long, off long")
+        return compared.groupBy("rep", "other").agg(F.min_by("mate", F.struct("off", "mate")).alias("mate"))
 
     def _may_link(self, near: DataFrame) -> DataFrame:
         percent = self.percent
