@@ -45,8 +45,8 @@ LARGEST = 1 << 31  # features of a set
 ENUMERATED = 9  # up to so many differences one range is cut and all subsets enumerated
 SPLIT = (1, 0)  # n2 and k2 beyond
 RICH = 2  # features that a signature should cover
-ROWS_AT_ONCE = 20_000  # of small buckets in a group of a task
-SIGNED = "doc_id long, n_shingles long, d0 long, d1 long, sig binary"
+ROWS_AT_ONCE = 2_000  # of small buckets in a group of a task
+SIGNED = "doc_id long, n_shingles long, d0 long, d1 long, sig binary, bands array<long>"
 
 
 def most_differences(total: int, percent: int) -> int:
@@ -170,31 +170,21 @@ class NgramJoin(NearDuplicates):
         self.tags = tags(percent)
 
     def _signed(self) -> DataFrame:
-        words = self.words
+        """Set size, digest of the set, sketch and signatures of each row."""
+        words, percent, known = self.words, self.percent, self.tags
 
         def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            shingles = Shingler(words)
+            shingles, signer = Shingler(words), Signer(percent, known)
             for batch in batches:
                 rows = []
                 for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                     s = shingles(text)
                     d0, d1 = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), dtype=np.int64).tolist()
-                    rows.append((doc_id, len(s), d0, d1, sketch(s) if len(s) else b""))
+                    rows.append((doc_id, len(s), d0, d1, sketch(s) if len(s) else b"", signer.keys(s)))
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in SIGNED.split(", ")])
 
         return self.docs.mapInPandas(make, SIGNED)
 
-    def _keyed(self, docs: DataFrame) -> DataFrame:
-        """(rep, bands) of each row: its signatures."""
-        words, percent, known = self.words, self.percent, self.tags
-
-        def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            shingles, signer = Shingler(words), Signer(percent, known)
-            for batch in batches:
-                yield pd.DataFrame({"rep": batch["doc_id"], "bands": [signer.keys(shingles(t)) for t in batch["text"]]})
-
-        return docs.mapInPandas(make, "rep long, bands array<long>")
-
     def _classes(self) -> None:
         scratch = self.scratch
         made = scratch.write(self._signed(), "signed")
@@ -204,14 +194,12 @@ class NgramJoin(NearDuplicates):
         self.members = scratch.write(known.select("doc_id", "n_shingles", "class_id"), "members")
         reps = known.where("n_shingles > 0 and class_id = doc_id")
         self.reps = scratch.write(reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sig"), "reps")
-        scratch.drop("signed")
         copies = scratch.write(self.members.where("class_id <> doc_id").select("doc_id"), "copies")
-        keyed = scratch.write(self._keyed(self.docs.join(few_ids(copies), "doc_id", "left_anti")), "keyed")
-        self.in_bands = keyed.select("rep", F.explode("bands").alias("key"))
+        self.in_bands = made.join(few_ids(copies), "doc_id", "left_anti").select(F.col("doc_id").alias("rep"), F.explode("bands").alias("key"))
 
     def _buckets(self) -> None:
         super()._buckets()
-        for name in ("keyed", "shared_keys"):
+        for name in ("signed", "shared_keys"):
             self.scratch.drop(name)
 
     def _asked(self, label: DataFrame) -> DataFrame:
