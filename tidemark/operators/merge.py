@@ -51,16 +51,6 @@ def merge_upsert(current: DataFrame, source: DataFrame, keys: tuple[str, ...] =
     return both.select(F.when(F.coalesce(take, F.lit(False)), F.col("new")).otherwise(F.col("old")).alias("r")).select("r.*")
 
 
-def merge_into(source: DataFrame, table: str, keys: tuple[str, ...] = KEYS):
-    """The same on a table whose format supports MERGE."""
-    on = [F.col(f"{table}.{k}") == F.col(f"src.{k}") for k in keys]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    newer = seq_key(F.col(f"{table}.seqval_hex")) < seq_key(F.col("src.seqval_hex"))
-    source.alias("src").mergeInto(table, cond).whenMatched(newer).updateAll().whenNotMatched().insertAll().merge()
-
-
 def tombstone_delete(current: DataFrame, history: DataFrame, keys: tuple[str, ...] = KEYS, fingerprint: str | None = None, load_ts_after_ms: int | None = None) -> DataFrame:
     """``current`` without keys that have any tombstone in scope, wherever it stands in order."""
     gone = scoped(history, fingerprint, load_ts_after_ms).where(is_tombstone()).select(*keys).distinct()
@@ -117,15 +107,3 @@ def erase_ids(df: DataFrame, ids: DataFrame, keys: tuple[str, ...] = KEYS) -> Da
 
 def key_history(history: DataFrame, key, column: str = "id") -> DataFrame:
     return history.where(F.col(column) == key).orderBy(seq_key(), F.xxhash64(*history.columns))
-
-
-def not_yet_landed(batches: DataFrame, history: DataFrame, on: tuple[str, ...] = ("fingerprint", "batch_ts")) -> DataFrame:
-    """Rows of batches that history lacks, so that a retried append adds nothing twice."""
-    return batches.join(history.select(*on).distinct(), list(on), "left_anti").select(batches.columns)
-
-
-def rows_to_merge(history: DataFrame, bookmarks: DataFrame, column: str = "batch_ts") -> DataFrame:
-    """History beyond each fingerprint's merge watermark; a crash after append leaves none behind."""
-    marks = bookmarks.where("kind = 'merge_watermark'").select("fingerprint", F.col("value").cast("long").alias("__mark"))
-    out = history.join(marks, "fingerprint", "left").where(F.col("__mark").isNull() | (F.col(column) > F.col("__mark")))
-    return out.select(history.columns)

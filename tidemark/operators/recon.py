@@ -129,8 +129,13 @@ def tier_d(history: DataFrame, current: DataFrame, table_name: str, keys: tuple[
         out = out.join(some, "check_name", "left")
     else:
         out = out.withColumn("sample", F.lit(None).cast("string"))
+    return verdict(out, table_name)
+
+
+def verdict(found: DataFrame, table_name: str) -> DataFrame:
+    """Tier D's rows from (check_name, violations, sample)."""
     status = F.when(F.col("violations") == 0, OK).otherwise(MISMATCH)
-    return out.select(
+    return found.select(
         F.lit(table_name).alias("table_name"),
         F.lit(None).cast("string").alias("fingerprint"),
         F.lit("D").alias("tier"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +13,15 @@ from tidemark.functions.keys import size_class
 from tidemark.functions.scope import ColumnExclusion, exclude_tables, restricted_view
 from tidemark.operators import merge, recon, reports
 from tidemark.operators.schema import align
-from tidemark.plans import ingest
+from tidemark.plans import ingest, launch, rebuild
+from tidemark.plans.digests import DigestAudit
 from tidemark.sources import bookmarks as marks
 from tidemark.sources import feed as src
 from tidemark.sources import landing
-from tidemark.sources.shared import new_folder
+from tidemark.sources.history import erase, read_history, write_history
+from tidemark.sources.shared import Plan, delete, found, new_folder
 from tidemark.sources.state import StateTable
+from tidemark.streaming.upsert import start_ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 BOUND = datetime(1998, 1, 1)
@@ -195,19 +198,86 @@ def read_manifest(spark, d):
     return landing.read_manifest(spark, path).withColumn("fingerprints", F.size("schema_history")).drop("schema_history")
 
 
-@query(f"WITH {src.FEED_SQL} SELECT {ROW} FROM ({_newest('status = ' + repr('2-HIGH'))}) WHERE op <> 1")
-def ingest_table(spark, d):
-    """Two runs of one table from landed files to its current rows, the first up to half of its batches."""
-    history, folder = _history(spark, d).where("status = '2-HIGH'"), new_folder(spark, "ingest")
-    base = src.land(history, f"{folder}/landing")
-    manifest = src.manifest(src.batches(history))
-    books = spark.createDataFrame([], "table_name string, fingerprint string, kind string, value string")
+OF_ALL = "SELECT *, row_number() OVER (PARTITION BY status, id ORDER BY k DESC) AS rn FROM feed"
+
+
+def _ingested(spark, d) -> tuple[str, list[str]]:
+    """Two runs of all tables from landed files with metrics, a batch for each quarter, the first up to half of them: the folder and the tables."""
+    history, folder = _history(spark, d).withColumn("load_ts", F.date_trunc("quarter", "load_ts")), new_folder(spark, "ingest")
+    base, batches = src.land(history, f"{folder}/landing"), src.batches(history)
+    src.land_metrics(src.metrics(batches), base)
+    manifest, books = src.manifest(batches), spark.createDataFrame([], ingest.MARKS)
     for n, hwm in enumerate((F.lit(str(BOUND_MS)), F.col("hwm"))):
         path = src.write_manifest(manifest.withColumn("hwm", hwm), f"{folder}/manifest-{n}")
-        kept = ingest.ingest_table(spark, base, path, "2-HIGH", books, f"{folder}/history", f"{folder}/state", f"{folder}/recon", f"run-{n}", RUN_AT)
-        rows = kept.collect()  # a few for each fingerprint
-        books = spark.createDataFrame([(r["table_name"], r["fingerprint"], r["kind"], str(r["value"])) for r in rows], books.schema)
-    return StateTable(spark, f"{folder}/state").current()
+        outcome, books = launch.ingest_all(spark, base, path, books, f"{folder}/tables", f"run-{n}", RUN_AT + timedelta(days=n), at_once=5)
+    delete(spark, base)  # landed copies are of no more use
+    return f"{folder}/tables", sorted(r["table_name"] for r in outcome.collect())
+
+
+@query(f"WITH {src.FEED_SQL} SELECT {ROW} FROM ({OF_ALL}) WHERE rn = 1 AND op <> 1")
+def ingest_table(spark, d):
+    """Current rows of all tables after two runs."""
+    root, tables = _ingested(spark, d)
+    return ingest.united([StateTable(spark, f"{root}/{t}/first/state").current() for t in tables])
+
+
+BY_QUARTER = LANDING.replace("date_trunc('month'", "date_trunc('quarter'")
+
+
+@query(f"""{BY_QUARTER}, runs(run_id, lo, hi, committed_at) AS (VALUES ('run-0', 0, {BOUND_MS}, TIMESTAMP '2002-01-01'), ('run-1', {BOUND_MS}, 9223372036854775807, TIMESTAMP '2002-01-02')),
+each AS (SELECT r.*, b.table_name, b.fingerprint, landed, m.read, m.written, m.dropped, m.batch_ts IS NOT NULL AS has, b.batch_ts > lo AS own
+  FROM runs r JOIN batches b ON b.batch_ts <= hi LEFT JOIN metrics m USING (table_name, fingerprint, batch_ts)),
+sums AS (
+  SELECT run_id, committed_at, table_name, fingerprint, 'A' AS tier, 'landed_vs_reported' AS check_name, sum(landed) AS actual, coalesce(sum(written), 0) AS expected, coalesce(sum(read), 0) AS read, coalesce(sum(dropped), 0) AS dropped,
+         count(written) AS ok, count(*) - count(written) AS lost FROM each WHERE own GROUP BY ALL
+  UNION ALL SELECT run_id, committed_at, table_name, NULL, 'B', 'cumulative', sum(landed), coalesce(sum(written), 0), NULL, NULL, count(written), count(*) - count(written) FROM each GROUP BY ALL)
+SELECT run_id, committed_at, table_name, fingerprint, tier, check_name, {STATUS} AS status, expected::BIGINT AS expected, actual::BIGINT AS actual, (actual - expected)::BIGINT AS delta,
+       CASE WHEN tier = 'A' THEN '{{"numRecordsRead":' || read || ',"numRecordsDropped":' || dropped || ',"ok":' || ok || ',"lost":' || lost || '}}' END AS details, NULL::VARCHAR AS notes FROM sums""")
+def ingest_audits(spark, d):
+    """The audit rows of the same two runs: each run's own batches, and all up to it."""
+    root, tables = _ingested(spark, d)
+    return ingest.united([spark.read.schema(recon.RECON).parquet(f"{root}/{t}/first/recon") for t in tables]).select(recon.COLUMNS)
+
+
+@query(f"""WITH {src.FEED_SQL}, gone AS (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING'), left_ AS (SELECT * FROM feed WHERE id NOT IN (SELECT c_custkey FROM gone))
+SELECT 'history' AS side, {ROW}, fingerprint, epoch_ms(load_ts) AS batch_ts FROM left_
+UNION ALL SELECT 'state', {ROW}, NULL, NULL FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY k DESC) AS rn FROM left_) WHERE rn = 1 AND op <> 1""")
+def erase_stored(spark, d):
+    """Stored history and state after the erasure of subjects from both tables' files."""
+    folder, history = new_folder(spark, "erase"), src.with_batches(_history(spark, d))
+    paths = f"{folder}/history", f"{folder}/state"
+    Plan(spark, paths[0]).extend(src.CHANGES)
+    write_history(history, paths[0])
+    state = StateTable(spark, paths[1])
+    state.upsert(history.select(src.CHANGES.fieldNames()))
+    subjects = spark.read.parquet(f"{d}/customer.parquet").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("id"))
+    erase(spark, subjects, *paths)
+    rows = ROW.split(", ")
+    kept = read_history(spark, paths[0]).select(F.lit("history").alias("side"), *rows, "fingerprint", "batch_ts")
+    return kept.unionByName(state.current().select(F.lit("state").alias("side"), *rows), allowMissingColumns=True)
+
+
+@query(f"WITH {src.FEED_SQL} SELECT {ROW} FROM ({_newest('status = ' + repr('2-HIGH'))}) WHERE op <> 1")
+def rebuild_table(spark, d):
+    """Current rows of a table that was built anew from its landed files."""
+    history, folder = _history(spark, d).where("status = '2-HIGH'"), new_folder(spark, "rebuild")
+    base = src.land(history, f"{folder}/landing")
+    path = src.write_manifest(src.manifest(src.batches(history)), f"{folder}/manifest")
+    rebuild.rebuild_table(spark, base, path, "2-HIGH", f"{folder}/table", "second", RUN_AT)
+    delete(spark, base)
+    return StateTable(spark, rebuild.current_generation(spark, f"{folder}/table").paths[1]).current()
+
+
+@query(f"WITH {src.FEED_SQL} SELECT {ROW} FROM ({_newest('status = ' + repr('2-HIGH'))}) WHERE op <> 1")
+def stream_ingest(spark, d):
+    """Current rows of a table whose landed files went through a stream, two thirds of them at first."""
+    history, folder = _history(spark, d).where("status = '2-HIGH'"), new_folder(spark, "stream")
+    base = src.land(history, f"{folder}/landing")
+    files = -(-2 * len(found(spark, f"{base}/*/*/*/*.parquet")) // 3)
+    paths = tuple(f"{folder}/{x}" for x in ("history", "state", "recon"))
+    start_ingest_stream(spark, f"{base}/table_name=2-high", "2-high", paths, f"{folder}/checkpoint", files_at_once=files).awaitTermination()
+    delete(spark, base)
+    return StateTable(spark, paths[1]).current()
 
 
 @query(f"WITH {src.FEED_SQL} SELECT {ROW}, fingerprint, load_ts FROM feed WHERE id = 7")
@@ -215,11 +285,11 @@ def key_history(spark, d):
     return merge.key_history(_history(spark, d), 7)
 
 
-@query(f"WITH {src.FEED_SQL} SELECT fingerprint, count(*) AS n_rows, 1::BIGINT AS files FROM feed GROUP BY 1")
+@query(f"WITH {src.FEED_SQL} SELECT fingerprint, count(*) AS n_rows, count(DISTINCT load_ts) AS files FROM feed GROUP BY 1")
 def partition_stats(spark, d):
-    """Of a stored history with one file for each fingerprint."""
+    """Of a stored history with one file for each batch."""
     path = new_folder(spark, "history")
-    ingest.write_history(_history(spark, d).repartition("fingerprint"), path)
+    write_history(src.with_batches(_history(spark, d)).repartition("fingerprint"), path)
     return landing.partition_stats(spark.read.parquet(path))
 
 
@@ -402,7 +472,7 @@ def inv_count_formula_as_coded(spark, d):
     return recon.inv_count_formula(merge.latest_op(h), _replayed(h), h)
 
 
-@query(f"""{REPLAY}, {LATEST}, bad AS (
+TIER_D = f"""{REPLAY}, {LATEST}, bad AS (
   SELECT 'tombstone' AS check_name, id FROM c2 WHERE id IN (SELECT id FROM latest WHERE op = 1)
   UNION ALL SELECT 'latest_seqval', c2.id FROM c2 JOIN latest USING (id) WHERE k <> upsert_key
   UNION ALL SELECT 'no_orphans', id FROM c2 WHERE id NOT IN (SELECT id FROM latest)),
@@ -412,12 +482,31 @@ v AS (
   FROM (VALUES ('tombstone'), ('latest_seqval'), ('no_orphans')) c(check_name) LEFT JOIN placed b USING (check_name) GROUP BY 1
   UNION ALL SELECT 'count_formula', abs((SELECT count(*) FROM c2) - (SELECT count(*) FROM latest WHERE {UPS})), NULL),
 u AS (SELECT *, 'run' AS run_id, TIMESTAMP '2002-01-01' AS committed_at, 'customer' AS table_name, NULL::VARCHAR AS fingerprint, 'D' AS tier, CASE WHEN actual = 0 THEN 'OK' ELSE 'MISMATCH' END AS status, 0::BIGINT AS expected FROM v)
-SELECT {AUDIT} FROM u""")
+SELECT {AUDIT} FROM u"""
+
+
+@query(TIER_D)
 def recon_tier_d(spark, d):
     h = _history(spark, d)
     return recon.recon_rows(recon.tier_d(h, _replayed(h), "customer"), "run", RUN_AT)
 
 
+@query(TIER_D)
+def recon_tier_d_by_bucket(spark, d):
+    """The same from stored tables, by digests of buckets: once after the first batches, then what has changed."""
+    h, folder = src.with_batches(_history(spark, d)), new_folder(spark, "digests")
+    path, state = f"{folder}/history", StateTable(spark, f"{folder}/state")
+    Plan(spark, path).extend(src.CHANGES)
+    checks = DigestAudit(spark, path, state, f"{folder}/digests")
+    write_history(h.where("fingerprint = 'fp_1'"), path)
+    state.upsert(merge.latest_upserts(h, fingerprint="fp_1").select(src.CHANGES.fieldNames()))
+    checks.run("customer", "first", RUN_AT)
+    write_history(h.where("fingerprint <> 'fp_1'"), path)
+    whole = StateTable(spark, f"{folder}/replayed", buckets=state.plan.read()[1]["buckets"])
+    whole.upsert(_replayed(h).select(src.CHANGES.fieldNames()))
+    return DigestAudit(spark, path, whole, f"{folder}/digests").run("customer", "run", RUN_AT)
+
+
 @query(f"""{LANDING}, h AS (SELECT table_name, 'h' || batch_ts || fingerprint AS snapshot_id, load_ts AS ts FROM batches),
 c AS (SELECT DISTINCT table_name, 'c' || epoch_ms(date_trunc('quarter', load_ts)) AS snapshot_id, date_trunc('quarter', load_ts) - INTERVAL 10 DAY AS ts FROM batches)
 SELECT c.table_name, c.snapshot_id AS current_snapshot, c.ts,

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructType
 
+from tidemark.sources.shared import delete, found, move
+
 FINGERPRINTS = ["fp_1", "fp_2", "fp_3"]
 CHANGES = StructType().add("id", LongType()).add("seqval_hex", StringType()).add("op", IntegerType()).add("amount", DoubleType()).add("status", StringType())
 
@@ -42,6 +44,23 @@ def land(history: DataFrame, base: str) -> str:
     return base
 
 
+def with_batches(history: DataFrame) -> DataFrame:
+    """History rows with the number of their batch, as stored history has it."""
+    return history.withColumn("batch_ts", F.unix_millis("load_ts"))
+
+
+def land_metrics(reported: DataFrame, base: str) -> None:
+    """Writes metrics (as ``metrics`` makes them) into their batches' folders; corrupt ones are cut short."""
+    spark, made = reported.sparkSession, f"{base}_metrics"
+    whole = F.to_json(F.struct(F.col("table_name").alias("tableName"), F.col("read").alias("numRecordsRead"), F.col("written").alias("numRecordsWritten"), F.col("dropped").alias("numRecordsDropped")))
+    rows = reported.select(F.when(F.col("written").isNull(), "{").otherwise(whole).alias("value"), "table_name", "fingerprint", F.col("batch_ts").alias("batch"))
+    rows.coalesce(1).write.partitionBy("table_name", "fingerprint", "batch").text(made)
+    for path in found(spark, f"{made}/*/*/*/part-*"):  # a file for each batch
+        folder = "/".join(path.split("/")[-4:-1])
+        move(spark, path, f"{base}/{folder}/.cda/batch-metrics.json")
+    delete(spark, made)
+
+
 def write_manifest(tables: DataFrame, path: str) -> str:
     """Writes a manifest (as ``manifest`` makes it) as one JSON object; returns ``path``."""
     entry = F.struct(

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType, TimestampType
 
 from tidemark.functions.keys import BOOKKEEPING, epoch_ms
+from tidemark.sources.shared import exists, literal
 
 MANIFEST = "map<string,struct<lastSuccessfulWriteTimestamp:string,totalProcessedRecordsCount:bigint,dataFilesPath:string,schemaHistory:map<string,string>>>"
+FIGURES = "read long, written long, dropped long"
 METRICS = "tableName string, schemaId string, batchTimestamp string, numRecordsRead bigint, numRecordsWritten bigint, numRecordsDropped bigint"
 
 
@@ -87,7 +89,7 @@ def scan_batches(spark: SparkSession, paths: list[str], fingerprint: str, load_t
 
 def with_bookkeeping(schema: StructType) -> StructType:
     """The columns of stored history."""
-    return StructType([*schema.fields]).add("load_ts", TimestampType()).add("batch_ts", LongType()).add("fingerprint", StringType())
+    return StructType([*schema.fields]).add("load_ts", TimestampType()).add("fingerprint", StringType()).add("batch_ts", LongType())
 
 
 def merged_batches(history: DataFrame, bookmarks: DataFrame, column: str = "batch_ts") -> DataFrame:
@@ -109,6 +111,33 @@ def read_batch_metrics(spark: SparkSession, base: str) -> DataFrame:
     return parsed.select("table_name", "fingerprint", "batch_ts", F.col("m.numRecordsRead").alias("read"), F.col("m.numRecordsWritten").alias("written"), F.col("m.numRecordsDropped").alias("dropped"))
 
 
+def read_chosen_metrics(spark: SparkSession, table: str, folders: list[tuple[str, int, str]]) -> DataFrame:
+    """The same for chosen batches (fingerprint, batch_ts, folder) alone; no others are listed or opened.
+
+    A file that goes missing meanwhile counts as missing. Names are those given, whatever the folders' case.
+    """
+    at = [(fp, ts, f"{folder}/.cda/batch-metrics.json") for fp, ts, folder in folders]
+    by_parent: dict[str, list[str]] = {}
+    for _, _, path in at:
+        parent, batch = path.rsplit("/", 3)[0], path.rsplit("/", 3)[1]
+        by_parent.setdefault(parent, []).append(literal(batch))
+    patterns = [f"{literal_path(parent)}/{{{','.join(names)}}}/.cda/batch-metrics.json" for parent, names in by_parent.items()]
+    there = [p for p in patterns if exists(spark, p)]
+    if not there:
+        return spark.createDataFrame([], f"table_name string, fingerprint string, batch_ts long, {FIGURES}")
+    raw = spark.read.option("ignoreMissingFiles", True).text(there, wholetext=True)
+    own = spark.createDataFrame([(fp, ts, "/".join(path.rsplit("/", 5)[-5:])) for fp, ts, path in at], "fingerprint string, batch_ts long, __tail string")
+    tail = F.regexp_extract(F.url_decode(F.replace(F.input_file_name(), F.lit("+"), F.lit("%2B"))), "([^/]+/[^/]+/[^/]+/[.]cda/[^/]+)$", 1)
+    parsed = raw.select(tail.alias("__tail"), F.from_json("value", METRICS).alias("m")).join(F.broadcast(own), "__tail")
+    return parsed.select(F.lit(table).alias("table_name"), "fingerprint", "batch_ts", F.col("m.numRecordsRead").alias("read"), F.col("m.numRecordsWritten").alias("written"), F.col("m.numRecordsDropped").alias("dropped"))
+
+
+def literal_path(path: str) -> str:
+    """A path as a pattern that names it alone."""
+    scheme, sep, rest = path.partition(":/")
+    return f"{scheme}{sep}" + "/".join(map(literal, rest.split("/"))) if sep else "/".join(map(literal, path.split("/")))
+
+
 def batch_metrics_rollup(selected: DataFrame, metrics: DataFrame) -> DataFrame:
     """Totals of each table and fingerprint over selected batches, and which lacked metrics.
 
