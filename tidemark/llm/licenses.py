@@ -33,7 +33,7 @@ from __future__ import annotations
 import math
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import Scratch
@@ -127,6 +127,8 @@ def prefix_index(counts: dict[str, int], templates: dict[str, str], threshold: f
     out = []
     for text, label in templates.items():
         words = sorted(set(text.split()), key=lambda w: (counts[w], w))
+        if len(words) > 63:
+            raise ValueError(f"a template may have 63 distinct words: {text[:60]}")
         need = math.ceil(threshold * len(words) - 1e-9)
         names = sorted(NAMES.get(label, set()).intersection(words))
         out.append({"label": label, "words": words, "need": need, "prefix": words[: len(words) - need + 1], "names": names, "span": SPREAD * len(text.split())})
@@ -160,11 +162,7 @@ def similar_blocks(docs: DataFrame, index: list[dict], counts: dict[str, int], s
     runs = candidates(found.select("doc_id", "text_key", split(F.col("text")).alias("own")))
     first = F.array_position(F.array_intersect("words", "template"), F.col("word")) == 1
     runs = runs.where(first & (F.size(F.array_except("names", "words")) == 0))
-    # One expression, its hits bound by a lambda: as columns they would be computed anew for each hit.
-    hits = "filter(transform(own, (w, i) -> struct(w, i as at)), h -> array_contains(template, h.w))"
-    held = "transform(hs, (h, i) -> array_distinct(transform(filter(slice(hs, i + 1, span), g -> g.at < h.at + span), g -> g.w)))"
-    most = f"array_max(transform(flatten(transform(array({hits}), hs -> {held})), ws -> if(size(array_except(names, ws)) = 0, size(ws), 0)))"
-    runs = runs.withColumn("shared", F.expr(most)).where("shared >= need")
+    runs = _in_runs(runs, index).where("shared >= need")
 
     share = (F.col("shared") / F.col("length")).alias("share")
     both = [df.select("doc_id", "text_key", "label", "template", F.lit(kind).alias("line"), share) for df, kind in ((by_line, True), (runs, False))]
@@ -172,13 +170,33 @@ def similar_blocks(docs: DataFrame, index: list[dict], counts: dict[str, int], s
     return both[0].union(both[1]).groupBy("doc_id", "text_key", "label", "template").agg(F.coalesce(*best).alias("share")).drop("template")
 
 
+def _in_runs(runs: DataFrame, index: list[dict]) -> DataFrame:
+    """``runs`` with ``shared``: of all runs of ``span`` words that hold the template's names, the most
+    distinct template words in one.
+
+    A row for each place of a template word, with that word as one bit; a window over the places, in units
+    in which every template's run is equally long, joins the bits of each run. So time grows with
+    the places, and a window holds no more rows than a run has words.
+    """
+    whole = math.lcm(*(t["span"] for t in index))
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), F.array_position("template", w).cast("int") - 1)
+    keep = ["doc_id", "text_key", "label", "number", "template", "length", "need", "span"]
+    every = F.aggregate("names", F.lit(0).cast("long"), lambda m, w: m.bitwiseOR(bit(w)))
+    places = runs.select(*keep, every.alias("all_names"), F.posexplode("own").alias("at", "w")).where(F.array_contains("template", F.col("w")))
+    places = places.select(*keep, "all_names", bit(F.col("w")).alias("mask"), (F.col("at") * (F.lit(whole) / F.col("span")).cast("long")).alias("at"))
+    over = Window.partitionBy("doc_id", "text_key", "number").orderBy("at").rangeBetween(0, whole - 1)
+    held = places.withColumn("held", F.bit_or("mask").over(over)).where(F.col("held").bitwiseAND(F.col("all_names")) == F.col("all_names"))
+    first = [F.first(c).alias(c) for c in ("label", "template", "length", "need")]
+    return held.groupBy("doc_id", "text_key", "number").agg(*first, F.max(F.bit_count("held")).alias("shared"))
+
+
 def _prefixes(spark: SparkSession, index: list[dict]) -> DataFrame:
     """A row for each prefix word of each template: as many as the templates' words at most."""
-    rows = [(w, place, t) for t in index for place, w in enumerate(t["prefix"])]
+    rows = [(w, place, t | {"number": k}) for k, t in enumerate(index) for place, w in enumerate(t["prefix"])]
     strings = lambda ws: F.array(*map(F.lit, ws)).cast("array<string>")
     entry = lambda w, place, t: F.struct(
         F.lit(w).alias("word"), F.lit(place).alias("place"), F.lit(t["label"]).alias("label"), strings(t["words"]).alias("template"), F.lit(len(t["words"])).alias("length"),
-        F.lit(t["need"]).alias("need"), strings(t["names"]).alias("names"), F.lit(t["span"]).alias("span"),
+        F.lit(t["need"]).alias("need"), strings(t["names"]).alias("names"), F.lit(t["span"]).alias("span"), F.lit(t["number"]).alias("number"),
     )
     return spark.range(1, numPartitions=1).select(F.explode(F.array(*(entry(*r) for r in rows))).alias("e")).select("e.*")
 

@@ -1,17 +1,20 @@
 """Exact top-k inner-product search by blocks of rows.
 
 Components are quantised to floor(scale * x). Rows in order of vec_id make document-range
-blocks of at most ``BLOCK_BYTES``: a forward index (ids and integer components) and, for
-each component, its largest and least value. A query's bound for a block is the sum over
-components of the larger of q * max and q * min. Within a cell, a query group and a shard of
-blocks, every query takes blocks in order of its bounds, scores them through their forward
-index, and stops when the next bound is below its kth score so far (an equal bound is still
-scored, as ties go to smaller ids). Each group searches one shard first; the kth scores found
-there are where its queries start in all other shards, so these emit only what may still win.
-The cells' lists are then merged by query.
-
-Blocks are copied to each query group and groups to each shard, so a task holds at most some
-``GROUP_BYTES`` of queries and ``SHARD_BYTES`` of blocks. Vectors that are null or hold null or
+blocks of at most ``BLOCK_BYTES``: a forward index (ids and integer components, in the smallest
+type that holds them) and an outline: for each component, its largest and least value. A query's
+bound for a block is the sum over components of the larger of q * max and q * min.
+
+Outlines, a thousandth of the rows or so, meet all queries first. Each query scores its blocks of
+greatest bounds, as many as have k rows, and so gets a kth score to start from. Queries with the
+same best block make a group, and a block is sent to those groups only in which its bound
+reaches some query's kth score. There every query takes blocks in order of its bounds, scores
+them through their forward index, and stops when the next bound is below its kth score so far (an equal bound
+is still scored, as ties go to smaller ids). The cells' lists are then merged by query.
+
+A task holds at most some ``GROUP_BYTES`` of queries and ``SHARD_BYTES`` of blocks; a block that is the best
+of many queries is copied to cells of ``PROBES`` of them. Where bounds exclude nothing, every block
+goes to every group. Vectors that are null or hold null or
 non-finite components, and rows without id, take no part; an empty vector does, and scores 0.
 Missing components of shorter vectors count as 0. Ids may repeat: each row is a candidate, but
 rows with the query's own vec_id are its own, and of several such rows the one with the least
@@ -29,7 +32,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import Scratch
 
-BLOCK_BYTES, GROUP_BYTES, SHARD_BYTES = 1 << 19, 1 << 23, 1 << 25
+BLOCK_BYTES, GROUP_BYTES, SHARD_BYTES, OUTLINE_BYTES = 1 << 19, 1 << 24, 1 << 27, 1 << 24
+PROBES = 4096  # queries in a cell of their best block
+FOUND = "query_id long, vec_id long, score long"
 NO_LEAST = -(1 << 63)
 BLOCKS = "block long, n int, dim int, bytes long, ids binary, rows binary, high binary, low binary"
 
@@ -53,7 +58,7 @@ def blocks(rows: DataFrame) -> DataFrame:
 
     def pack(ids: list[int], xs: list) -> dict:
         m = matrix(xs, max(map(len, xs)))
-        return {"block": int(ids[0]), "n": len(ids), "dim": m.shape[1], "bytes": m.nbytes, "ids": np.array(ids, dtype=np.int64).tobytes(), "rows": m.tobytes(), "high": m.max(axis=0).tobytes(), "low": m.min(axis=0).tobytes()}
+        return {"block": int(ids[0]), "n": len(ids), "dim": m.shape[1], "bytes": m.nbytes, "ids": np.array(ids, dtype=np.int64).tobytes(), "rows": narrow(m).tobytes(), "high": m.max(axis=0).tobytes(), "low": m.min(axis=0).tobytes()}
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, xs, held = [], [], 0
@@ -71,21 +76,42 @@ def blocks(rows: DataFrame) -> DataFrame:
     return rows.repartitionByRange("vec_id").sortWithinPartitions("vec_id").mapInPandas(make, BLOCKS)
 
 
+def narrow(m: np.ndarray) -> np.ndarray:
+    """The same numbers in the smallest type that holds them."""
+    fits = (t for t in (np.int8, np.int16, np.int32) if m.size and np.iinfo(t).min <= m.min() and m.max() <= np.iinfo(t).max)
+    return m.astype(next(fits, np.int64))
+
+
+def stored(raw: bytes, n: int, dim: int) -> np.ndarray:
+    size = len(raw) // max(1, n * dim) or 8
+    return np.frombuffer(raw, dtype=f"i{size}").reshape(n, dim)
+
+
+def _summaries(asked: pd.DataFrame, held: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Queries, and the blocks' largest and least values, as floating point where that is exact."""
+    dim = max(int(held["dim"].max()), max(map(len, asked["x"])))
+    q = matrix(asked["x"].tolist(), dim)
+    high, low = (np.concatenate([np.pad(np.frombuffer(raw, dtype=np.int64), (0, dim - own))[None] for raw, own in zip(held[c], held["dim"], strict=True)]) for c in ("high", "low"))
+    most = max(1, int(np.abs(q).max(initial=0))) * max(1, int(np.abs(high).max(initial=0)), int(np.abs(low).max(initial=0))) * max(1, dim)
+    # below, products and sums of these integers are exact
+    return (q.astype(float), high.astype(float), low.astype(float)) if most < 1 << 52 else (q, high, low)
+
+
+def bounds(q: np.ndarray, high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """The most that a row of each block can score, for each query."""
+    return np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
+
+
 def search_cell(asked: pd.DataFrame, held: pd.DataFrame, k: int) -> pd.DataFrame:
     """The k best rows of ``held`` for each query in ``asked`` (query_id, x, least), of those
     that score its ``least`` or more: query_id, vec_id, score."""
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     if len(asked) and len(held):
-        dim = max(int(held["dim"].max()), max(map(len, asked["x"])))
-        ids, q = asked["query_id"].to_numpy(np.int64), matrix(asked["x"].tolist(), dim)
-        wide = lambda raw, n, own: np.pad(np.frombuffer(raw, dtype=np.int64).reshape(n, own), ((0, 0), (0, dim - own)))
-        mats = [wide(raw, n, own) for raw, n, own in zip(held["rows"], held["n"], held["dim"], strict=True)]
+        q, high, low = _summaries(asked, held)
+        ids, dim = asked["query_id"].to_numpy(np.int64), q.shape[1]
+        mats = [np.pad(stored(raw, n, own), ((0, 0), (0, dim - own))).astype(q.dtype) for raw, n, own in zip(held["rows"], held["n"], held["dim"], strict=True)]
         names = [np.frombuffer(x, dtype=np.int64) for x in held["ids"]]
-        high, low = (np.concatenate([wide(raw, 1, own) for raw, own in zip(held[c], held["dim"], strict=True)]) for c in ("high", "low"))
-        most = max(1, int(np.abs(q).max(initial=0))) * max(1, int(np.abs(high).max(initial=0)), int(np.abs(low).max(initial=0))) * max(1, dim)
-        if most < 1 << 52:  # then floating-point products and sums of these integers are exact
-            q, high, low, mats = q.astype(float), high.astype(float), low.astype(float), [m.astype(float) for m in mats]
-        bound = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
+        bound = bounds(q, high, low)
         order = np.argsort(-bound, axis=1, kind="stable")
         kth = asked["least"].to_numpy(np.int64).astype(q.dtype)
         best = [(np.empty(0, dtype=q.dtype), np.empty(0, dtype=np.int64)) for _ in q]
@@ -112,6 +138,28 @@ def search_cell(asked: pd.DataFrame, held: pd.DataFrame, k: int) -> pd.DataFrame
     return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
 
 
+def best_blocks(asked: pd.DataFrame, held: pd.DataFrame, rows: int) -> pd.DataFrame:
+    """For each query, the blocks of greatest bounds among ``held``, until they have ``rows`` rows: query_id, block, n, bound."""
+    out = []
+    if len(asked) and len(held):
+        names, sizes = held["block"].to_numpy(np.int64), held["n"].to_numpy(np.int64)
+        bound = bounds(*_summaries(asked, held))
+        order = np.argsort(-bound, axis=1, kind="stable")
+        for i, query in enumerate(asked["query_id"]):
+            stop = int(np.searchsorted(np.cumsum(sizes[order[i]]), rows)) + 1
+            out += [(query, names[j], sizes[j], float(bound[i, j])) for j in order[i, :stop]]
+    return pd.DataFrame(out, columns=["query_id", "block", "n", "bound"])
+
+
+def wanted_blocks(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+    """Blocks among ``held`` whose bound reaches the ``least`` of any query in ``asked``: g, block."""
+    reached = np.zeros(len(held), dtype=bool)
+    if len(asked) and len(held):
+        reached = (bounds(*_summaries(asked, held)) >= asked["least"].to_numpy(np.int64)[:, None]).any(axis=0)
+    names = held["block"].to_numpy(np.int64)[reached]
+    return pd.DataFrame({"g": np.full(len(names), asked["g"].iloc[0] if len(asked) else 0, dtype=np.int64), "block": names})
+
+
 def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0) -> DataFrame:
     """query_id, rank, vec_id, score: for each id that ``every`` divides, its k best other rows."""
     scratch = Scratch(vectors.sparkSession, "topk")
@@ -119,25 +167,42 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: float = 64.0)
     queries = rows.where(F.col("vec_id") % every == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("x").alias("x"))
     queries = scratch.write(queries, "queries")
     made = scratch.write(blocks(rows), "blocks")
+    outlines = made.select("block", "n", "dim", "high", "low")
     asked_bytes = queries.agg(F.sum(F.size("x") * 8 + 8).alias("n")).first()["n"] or 0
-    held_bytes = made.agg(F.sum("bytes").alias("n")).first()["n"] or 0
-    groups, shards = max(1, -(-asked_bytes // GROUP_BYTES)), max(1, -(-held_bytes // SHARD_BYTES))
-    queries = queries.withColumn("g", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int"))
-    dealt = made.withColumn("s", F.pmod(F.xxhash64("block"), F.lit(shards)).cast("int"))
-    every_shard = F.sequence(F.lit(0), F.lit(shards - 1))
-    first = F.pmod(F.col("g"), F.lit(shards))
-
-    def lists(asked: DataFrame, held: DataFrame) -> DataFrame:
-        cells = asked.groupBy("g", "s").cogroup(held.groupBy("g", "s"))
-        return cells.applyInPandas(lambda a, h: search_cell(a, h, k), "query_id long, vec_id long, score long")
-
-    held = dealt.withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    found = scratch.write(lists(queries.withColumns({"least": F.lit(NO_LEAST), "s": first}), held.where(first == F.col("s"))), "first")
-    if shards > 1:
-        floors = found.groupBy("query_id").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= k).drop("n")
-        asked = queries.join(floors, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(NO_LEAST))).withColumn("s", F.explode(every_shard)).where(first != F.col("s"))
-        found = found.union(lists(asked, held.where(first != F.col("s"))))
+    facts = made.agg(F.sum("bytes").alias("bytes"), F.sum(F.col("dim") * 16).alias("outline")).first()
+    groups, shards, parts = (max(1, -(-(x or 0) // limit)) for x, limit in ((asked_bytes, GROUP_BYTES), (facts["bytes"], SHARD_BYTES), (facts["outline"], OUTLINE_BYTES)))
+    dealt = lambda df, c, n, name: df.withColumn(name, F.pmod(F.xxhash64(c), F.lit(n)).cast("long"))
+    spread = lambda df, n, name: df.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+
+    def met(asked: DataFrame, held: DataFrame, on: list[str], work, schema: str) -> DataFrame:
+        return asked.groupBy(*on).cogroup(held.groupBy(*on)).applyInPandas(work, schema)
+
+    # Each query's best blocks by their bounds, from outlines alone; scores there give its least kth score.
+    asked = spread(dealt(queries, "query_id", groups, "g"), parts, "s")
+    held = spread(dealt(outlines, "block", parts, "s"), groups, "g")
+    near = scratch.write(met(asked, held, ["g", "s"], lambda a, h: best_blocks(a, h, k + 1), "query_id long, block long, n long, bound double"), "near")
+    order = Window.partitionBy("query_id").orderBy(F.desc("bound"), "block")
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    probes = scratch.write(near.withColumn("place", F.row_number().over(order)).withColumn("before", before).where(F.col("before") < k + 1), "probes")
+    crowd = probes.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / F.lit(PROBES)).cast("long").alias("pieces"))
+    crowd = scratch.write(crowd, "crowd")
+    piece = F.pmod(F.xxhash64("query_id"), F.col("pieces")).alias("g")
+    asked = probes.join(crowd, "block").select("query_id", F.col("block").alias("s"), piece).join(queries, "query_id").withColumn("least", F.lit(NO_LEAST))
+    held = made.join(crowd, "block").withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))).withColumn("s", F.col("block"))
+    lists = lambda a, h: search_cell(a, h, k)
+    first = scratch.write(met(asked, held, ["g", "s"], lists, FOUND), "first")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    floors = first.withColumn("rank", rank).where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
+
+    # Queries with one best block go together, and a block goes to a group if it may matter there.
+    home = probes.where("place = 1").join(crowd, "block").select("query_id", F.xxhash64("block", piece).alias("home"))
+    known = queries.join(home, "query_id").join(floors, "query_id", "left").withColumn("least", F.coalesce("least", F.lit(NO_LEAST)))
+    known = scratch.write(dealt(known, "home", groups, "g").drop("home"), "known")
+    held = spread(dealt(outlines, "block", parts, "s"), groups, "g")
+    wanted = scratch.write(met(spread(known, parts, "s"), held, ["g", "s"], wanted_blocks, "g long, block long"), "wanted")
+    wanted = dealt(wanted, "block", shards, "s")
+    cells = scratch.write(wanted.select("g", "s").distinct(), "cells")
+    found = met(known.join(cells, "g"), made.join(wanted, "block"), ["g", "s"], lists, FOUND)
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
