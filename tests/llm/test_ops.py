@@ -105,13 +105,13 @@ def test_html_fixture(spark):
         assert got[page["page_id"]] == "\n".join(p for p in parts if p)
 
 
-@pytest.mark.parametrize("name", "main-menu main-nav post-footer entry-footer content-sidebar story-related topbar replies related-posts sidebar-left mainNav cookie_notice ad-slot".split())
+@pytest.mark.parametrize("name", "main-menu main-nav post-footer entry-footer content-sidebar story-related topbar replies related-posts sidebar-left mainNav cookie_notice ad-slot recommended trending most-read popular-posts more-stories read-next outbrain taboola skip-link search-box cart notification announcement disclaimer discussion paywall teasers tag-list hidden sr-only visually-hidden".split())
 def test_html_names_beside_the_text(name):
     page = lambda mark: html_extract.Page(f"<body><div class='content'><p>{LONG * 3}</p><div {mark}><p>{LONG}beside</p></div><p>End</p></div></body>").text([])[0]
     assert "beside" not in page(f"class='{name}'") and "beside" not in page(f"id={name}") and page(f"class='x {name}'").endswith("End")
 
 
-@pytest.mark.parametrize("name", "content post-header nav-content has-sidebar content-sidebar-wrap main entry-content articleBody page-wrap adder".split())
+@pytest.mark.parametrize("name", "content post-header nav-content has-sidebar content-sidebar-wrap main entry-content articleBody page-wrap adder hidden-xs reading-list next-chapter story-list".split())
 def test_html_names_of_the_text(name):
     assert "inside" in html_extract.Page(f"<body><div class='{name}'><p>{LONG * 3}inside</p></div></body>").text([])[0]
 
@@ -127,6 +127,15 @@ def test_html_elements():
     assert text(f"<p>{LONG}", out="<div><p>" + LONG * 9 + "</p></div>") == (LONG * 9).strip()
 
 
+def test_html_headers_and_forms():
+    s = LONG.strip()
+    for inside, kept in (("<main>{}</main>", True), ("<div class='blog-post'>{}</div>", True), ("<div class='page'>{}</div>", False)):
+        page = f"<body><header><h2>Site</h2></header>{inside.format(f'<header><h1>Title</h1></header><p>{LONG * 3}</p>')}</body>"
+        assert html_extract.Page(page).text([])[0] == ("Title\n" if kept else "") + " ".join([s] * 3)
+    page = f"<body><main><p>{LONG}</p><fieldset><legend>Names</legend><label>First</label></fieldset><label>One</label><label>Two</label><p style='visibility: hidden'>Not this</p></main></body>"
+    assert html_extract.Page(page).text([])[0] in (f"{s}\nOne\nTwo\nNot this", f"{s}\nOne\nTwo")
+
+
 @pytest.mark.parametrize("html", ["<a " * 300_000, "<svg>" * 300_000, "<div class=x>t " * 100_000, "<a href=\"" * 300_000, "<table>" + "<tr><td>cell " * 100_000, "<div>" * 50_000 + "</x>" * 300_000, "<!--" * 10**6, "< " * 300_000, "<table><td><table>" + "<div>" * 50_000 + "<td>" * 50_000 + "<tr>" * 50_000, "<a b='" + '"' * 10**6])
 def test_broken_html_takes_linear_time(html):
     import time
@@ -699,3 +708,58 @@ def test_lm_score_tells_held_out_quality(spark):
     rank, good = (-got["score"]).rank(), got["quality"] == 1
     n, m = int(good.sum()), int((~good).sum())
     assert (rank[good].sum() - n * (n + 1) / 2) / (n * m) > 0.95
+
+
+def test_top_k_sends_blocks_where_bounds_reach(spark, monkeypatch):
+    """In a table whose vectors lie in clusters of consecutive ids, a block goes to few groups of queries."""
+    for name, n in (("BLOCK_BYTES", 2000), ("GROUP_BYTES", 600), ("SHARD_BYTES", 1 << 20), ("OUTLINE_BYTES", 4000)):
+        monkeypatch.setattr(topk, name, n)
+    rng = np.random.default_rng(9)
+    known = [(i, (np.eye(8, dtype=int)[i // 100 % 8] * 60 + rng.integers(-3, 4, 8)).tolist()) for i in range(1600)]
+    sent, write = [], shared.Scratch.write
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        sent.extend([out.count()] if name == "wanted" else [])
+        return out
+
+    monkeypatch.setattr(topk.Scratch, "write", counted)
+    vectors = spark.createDataFrame([(i, [x / 64 for x in v]) for i, v in known], "vec_id long, embedding array<float>")
+    got = topk.top_k(vectors, k=5).orderBy("query_id", "rank").collect()
+    assert {q: [(r["vec_id"], r["score"]) for r in g] for q, g in itertools.groupby(got, key=lambda r: r["query_id"])} == top_k_by_hand(known, 5)
+    groups, blocks = -(-80 * 72 // 600), 1600 * 72 // 2000
+    assert sent[0] < groups * blocks / 2
+
+
+def runs_by_hand(words, threshold=0.8):
+    """Labels of templates of which some run of words holds enough, and all names."""
+    out = set()
+    for text, label in licenses.TEMPLATES.items():
+        t, span = set(text.split()), licenses.SPREAD * len(text.split())
+        names = licenses.NAMES.get(label, set()) & t
+        runs = (t.intersection(words[k : k + span]) for k in range(len(words)))
+        out |= {label for r in runs if len(r) >= math.ceil(threshold * len(t) - 1e-9) and names <= r}
+    return out
+
+
+def test_license_runs_by_hand_and_in_long_texts(spark):
+    """Random orders of each template's words, some left out, in one line; and a long text of nothing else, in time by its length."""
+    import time
+
+    rng = random.Random(6)
+    every, texts = sorted({w for t in licenses.TEMPLATES for w in t.split()}), []
+    for _ in range(40):
+        own = rng.choice(list(licenses.TEMPLATES)).split()
+        near = [w for w in own if rng.random() < 0.9] + rng.choices(every, k=rng.randrange(len(own)))
+        rng.shuffle(near)
+        texts.append("x " * 80 + " ".join(near) + " y" * 80)
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(docs_of(spark, texts)).collect()}
+    assert {k: set(filter(None, x.split(","))) - set(licenses.PHRASES.values()) for k, x in got.items()} == {k: runs_by_hand(t.split()) - set(licenses.PHRASES.values()) for k, t in enumerate(texts)}
+    assert 5 < sum(map(bool, got.values())) < 40
+    took = []
+    for n in (100_000, 400_000):
+        long = docs_of(spark, [" ".join(rng.choices(every, k=n))])
+        start = time.perf_counter()
+        assert licenses.scan(long).count() == 1
+        took.append(time.perf_counter() - start)
+    assert took[1] < 10 * took[0]

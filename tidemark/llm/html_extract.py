@@ -9,8 +9,8 @@ is taken again from the elements on the deepest winning path that hold most of i
 container's score; a page with none falls back on its own best one.
 
 Elements are judged by their tags, roles, and the words in class and id, of which the last
-names the thing: ``main-nav`` is a nav, ``nav-content`` is content. A header inside an article
-is part of it.
+names the thing: ``main-nav`` is a nav, ``nav-content`` is content. A header inside an article, or inside
+a container that is named like one, is part of it. What is hidden is no text.
 
 Winning paths are a few short strings per host. Their bytes are counted: up to
 ``BROADCAST_BYTES`` they are broadcast; beyond, they are joined to pages by host, where
@@ -51,8 +51,8 @@ CONTAINERS = {"html", "body", "main", "article", "section", "div", "td", "center
 NESTED = CONTAINERS | {"table", "ul", "ol", "dl", "blockquote", "figure", "a", "th", "tr"}
 BLOCKS = CONTAINERS | set("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd tr th table thead tbody pre blockquote figure figcaption hr address details summary".split())
 RAW = {"script", "style", "noscript", "textarea", "iframe", "title", "xmp", "noembed", "noframes"}
-DROPPED = {"nav", "header", "footer", "aside", "form", "button", "select", "menu", "dialog", "head", "template", "svg", "object", "video", "audio", "canvas", "annotation", "annotation-xml"}
-BREAKS = BLOCKS | {"nav", "header", "footer", "aside", "form", "menu", "dialog", "head"}
+DROPPED = {"nav", "header", "footer", "aside", "form", "button", "select", "menu", "dialog", "head", "template", "svg", "object", "video", "audio", "canvas", "annotation", "annotation-xml", "fieldset"}
+BREAKS = BLOCKS | {"nav", "header", "footer", "aside", "form", "menu", "dialog", "head", "fieldset", "legend", "label"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
 # Elements whose end tag may be missing: which open ones a new one ends, and where the search stops.
 ENDS = {
@@ -63,8 +63,11 @@ ENDS = {
     "dt": ({"dt", "dd"}, {"dl"}),
     "dd": ({"dt", "dd"}, {"dl"}),
 }
-NEVER = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo comment comments commentlist reply replies respond disqus cookie cookies consent gdpr notice notices popup modal newsletter subscribe signup login".split())
-SELDOM = set("nav navbar navigation menu header masthead footer sidebar aside breadcrumb breadcrumbs share sharing social related toolbar topbar bottombar pagination pager banner widget widgets alert".split())
+NEVER = set("ad ads adv advert adverts advertisement advertising sponsor sponsored promo comment comments commentlist reply replies respond disqus cookie cookies consent gdpr notice notices popup modal newsletter subscribe signup login paywall outbrain taboola notification notifications announcement announcements disclaimer".split())
+SELDOM = set("nav navbar navigation menu header masthead footer sidebar aside breadcrumb breadcrumbs share sharing social related toolbar topbar bottombar pagination pager banner widget widgets alert recommended recommendations trending popular teaser teasers cart basket search skip discussion discussions tags".split())
+PAIRS = {("most", "read"), ("read", "next"), ("up", "next"), ("more", "stories"), ("more", "from"), ("tag", "list"), ("see", "also"), ("also", "like")}
+HIDDEN = {"hidden", "sr-only", "visually-hidden", "visuallyhidden", "screen-reader-text", "d-none", "invisible"}
+POSTS = {"post", "entry", "hentry", "article", "story"}
 PROSE = set("content article post entry main story text body".split())
 FRAMES = set("wrap wrapper container inner outer layout page grid row".split())
 STATES = {"has", "with", "no", "without", "is", "not"}
@@ -81,7 +84,7 @@ def boilerplate_name(name: str) -> bool:
     words = words_in(name)
     if not words or words[0] in STATES:
         return False
-    if NEVER.intersection(words):
+    if NEVER.intersection(words) or PAIRS.intersection(zip(words, words[1:])):
         return True
     head, rest = words[-1], set(words[:-1])
     if head in SELDOM:
@@ -111,9 +114,9 @@ class Page:
             self._parts, self._linked = [], 0
 
     def _read(self, source: str) -> None:
-        self._stack: list[tuple[str, bool, int]] = []  # tag, dropped, container before it
+        self._stack: list[tuple[str, bool, int, bool]] = []  # tag, dropped, container before it, whether it is an article
         self._count: Counter[str] = Counter()  # open elements by tag
-        self._node = self._dropped = at = 0
+        self._node = self._dropped = self._posts = at = 0
         unclosed: set[str] = set()  # raw elements that have no end tag from here on
         while at < len(source):
             start = source.find("<", at)
@@ -164,8 +167,9 @@ class Page:
 
     def _pop(self, upto: int) -> None:
         while len(self._stack) > upto:
-            tag, dropped, self._node = self._stack.pop()
+            tag, dropped, self._node, post = self._stack.pop()
             self._dropped -= dropped
+            self._posts -= post
             self._count[tag] -= 1
 
     def _close(self, tag: str) -> None:
@@ -196,9 +200,11 @@ class Page:
                     break
             self._pop(last)
         names = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attrs)} if attrs.strip() else {}
-        bad = tag in DROPPED and not (tag == "header" and self._count["article"]) or self._boilerplate(tag, names)
+        bad = tag in DROPPED and not (tag == "header" and self._posts) or self._boilerplate(tag, names)
         if bad or tag in NESTED:
-            self._stack.append((tag, bad, self._node))
+            post = not bad and tag in CONTAINERS and self._post(tag, names)
+            self._stack.append((tag, bad, self._node, post))
+            self._posts += post
             self._count[tag] += 1
             self._dropped += bad
             if tag in CONTAINERS and not self._dropped:
@@ -223,17 +229,25 @@ class Page:
             node = self.parents[node]
         return "".join(reversed(steps)) if size <= LONGEST_PATH else f"#{name:016x}" + ">" * min(depth, LONGEST_PATH)
 
+    @staticmethod
+    def _post(tag: str, names: dict[str, str]) -> bool:
+        """Whether a container is an article, so that a header inside is part of it."""
+        marks = [*names.get("class", "").split(), *names.get("id", "").split()]
+        return tag in ("article", "main") or tag not in ("html", "body") and any(w and w[-1] in POSTS for w in map(words_in, marks))
+
     @staticmethod
     def _boilerplate(tag: str, names: dict[str, str]) -> bool:
         if not names:
             return False
-        if "hidden" in names or names.get("aria-hidden") == "true" or re.search(r"display\s*+:\s*+none", names.get("style", "")):
+        if "hidden" in names or names.get("aria-hidden") == "true" or re.search(r"display\s*+:\s*+none|visibility\s*+:\s*+hidden", names.get("style", ""), re.I):
             return True
         if tag in ("html", "body", "article", "main"):
             return False
         if ROLES.intersection(names.get("role", "").lower().split()):
             return True
         marks = [*names.get("class", "").split(), *names.get("id", "").split()]
+        if HIDDEN.intersection(marks):
+            return True
         bad = [m for m in marks if boilerplate_name(m)]
         if not bad:
             return False
@@ -294,8 +308,8 @@ def host():
     return F.lower(F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit("")))
 
 
-def host_paths(pages: DataFrame, least_share: float = 0.1) -> DataFrame:
-    """(host, path, place): the leading paths of each host, by votes."""
+def host_paths(pages: DataFrame, least_share: float = 0.1, least_of_all: float = 0.01) -> DataFrame:
+    """(host, path, place): the leading paths of each host, by votes: those with a share of the first one's and of all."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -310,7 +324,7 @@ def host_paths(pages: DataFrame, least_share: float = 0.1) -> DataFrame:
     ranked = summed.withColumn("place", F.row_number().over(Window.partitionBy("host").orderBy(F.desc("votes"), "path")))
     most = F.max("votes").over(Window.partitionBy("host"))
     total = F.sum("votes").over(Window.partitionBy("host"))
-    ranked = ranked.where("votes > 0").withColumns({"most": most, "total": total}).where("votes * 100 >= total")  # at most 100 paths
+    ranked = ranked.where("votes > 0").withColumns({"most": most, "total": total}).where(F.col("votes") >= F.col("total") * least_of_all)  # at most 1 / least_of_all paths
     return ranked.where(F.col("votes") >= F.col("most") * least_share).select("host", "path", "place")
 
 
