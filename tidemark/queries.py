@@ -202,8 +202,8 @@ OF_ALL = "SELECT *, row_number() OVER (PARTITION BY status, id ORDER BY k DESC)
 
 
 def _ingested(spark, d) -> tuple[str, list[str]]:
-    """Two runs of all tables from landed files with metrics, a batch for each quarter, the first up to half of them: the folder and the tables."""
-    history, folder = _history(spark, d).withColumn("load_ts", F.date_trunc("quarter", "load_ts")), new_folder(spark, "ingest")
+    """Two runs of all tables from landed files with metrics, a batch for each year, the first up to half of them: the folder and the tables."""
+    history, folder = _history(spark, d).withColumn("load_ts", F.date_trunc("year", "load_ts")), new_folder(spark, "ingest")
     base, batches = src.land(history, f"{folder}/landing"), src.batches(history)
     src.land_metrics(src.metrics(batches), base)
     manifest, books = src.manifest(batches), spark.createDataFrame([], ingest.MARKS)
@@ -221,10 +221,10 @@ def ingest_table(spark, d):
     return ingest.united([StateTable(spark, f"{root}/{t}/first/state").current() for t in tables])
 
 
-BY_QUARTER = LANDING.replace("date_trunc('month'", "date_trunc('quarter'")
+BY_YEAR = LANDING.replace("date_trunc('month'", "date_trunc('year'")
 
 
-@query(f"""{BY_QUARTER}, runs(run_id, lo, hi, committed_at) AS (VALUES ('run-0', 0, {BOUND_MS}, TIMESTAMP '2002-01-01'), ('run-1', {BOUND_MS}, 9223372036854775807, TIMESTAMP '2002-01-02')),
+@query(f"""{BY_YEAR}, runs(run_id, lo, hi, committed_at) AS (VALUES ('run-0', 0, {BOUND_MS}, TIMESTAMP '2002-01-01'), ('run-1', {BOUND_MS}, 9223372036854775807, TIMESTAMP '2002-01-02')),
 each AS (SELECT r.*, b.table_name, b.fingerprint, landed, m.read, m.written, m.dropped, m.batch_ts IS NOT NULL AS has, b.batch_ts > lo AS own
   FROM runs r JOIN batches b ON b.batch_ts <= hi LEFT JOIN metrics m USING (table_name, fingerprint, batch_ts)),
 sums AS (
