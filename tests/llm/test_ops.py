@@ -464,19 +464,18 @@ def test_language(spark):
 
 
 def test_grams_of_long_and_short_texts(monkeypatch):
-    """Slots by plain slicing; in segments, counts are those of the whole text."""
-    text, dim = "Über the río, 12 x " * 300 + "end", 1 << 12
-    folded = b" " + b" ".join(re.findall(b"[a-z\x80-\xff]+", text.lower().encode())) + b" "
-    want = Counter()
-    for n in (2, 3, 4):
-        for k in range(len(folded) - n + 1):
-            h = folded[k]
-            for size, c in enumerate(folded[k + 1 : k + n], 2):
-                h = (h * 0x01000193 ^ (c + size)) & 0xFFFFFFFF
-            want[((h * 0x9E3779B1) & 0xFFFFFFFF) >> (33 - dim.bit_length())] += 1
-    for segment in (1 << 20, 1 << 9, 7, len(folded), len(folded) - 1):
+    """N-grams by plain slicing; in segments, counts are those of the whole text."""
+    text = "Über the río, 12 x " * 300 + "end"
+    want = grams_by_hand(text)
+    for segment in (1 << 20, 1 << 9, 7, 6000):
         monkeypatch.setattr(langid, "SEGMENT", segment)
-        assert dict(zip(*(x.tolist() for x in langid.grams(text, dim)))) == want
+        found, counts = langid.grams(text)
+        assert dict(zip(found.tolist(), counts.tolist())) == want and (np.diff(found.astype(int)) > 0).all()
+
+
+def grams_by_hand(text):
+    folded = b" " + b" ".join(re.findall(b"[a-z\x80-\xff]+", text.lower().encode())) + b" "
+    return Counter(int.from_bytes(folded[k : k + n], "big") for n in (2, 3, 4) for k in range(len(folded) - n + 1))
 
 
 def mixture_by_hand(logs, counts, langs, steps=4000):
@@ -491,7 +490,7 @@ def mixture_by_hand(logs, counts, langs, steps=4000):
 
 
 def test_mixture_and_choice_of_languages():
-    """EM against plain loops; the greedy choice by penalised likelihood against all sets."""
+    """EM against plain loops; the choice by penalised likelihood against all sets."""
     rng = np.random.default_rng(12)
     for seed in range(6):
         model = np.log(rng.dirichlet(np.full(30, 0.3), size=4).T + 1e-4)
@@ -506,34 +505,94 @@ def test_mixture_and_choice_of_languages():
         assert values[tuple(sorted(langs))] == pytest.approx(max(values.values()), abs=1e-3) and share.sum() == pytest.approx(1)
 
 
-def test_bound_of_a_second_language_holds():
+def test_no_single_change_of_the_set_helps():
+    """Six languages: nothing one step away is better, and hardly ever any other set."""
+    rng = np.random.default_rng(21)
+    worse = 0
+    for seed in range(40):
+        model = np.log(rng.dirichlet(np.full(40, 0.3 + seed % 3), size=6).T + 1e-4)
+        true = np.where(rng.random(6) < 0.5, rng.dirichlet(np.ones(6)), 0) + np.eye(6)[seed % 6] * 0.2
+        p = np.exp(model) @ true
+        counts = rng.multinomial(200 + 100 * seed, p / p.sum()).astype(float)
+        chosen = set(langid.proportions(model, counts, 4.0)[0])
+        cost = 4.0 * math.log(counts.sum() + 1)
+        values = {frozenset(s): 2 * langid.mixture(model, counts, list(s))[0] - cost * len(s) for n in range(1, 7) for s in itertools.combinations(range(6), n)}
+        near = [v for s, v in values.items() if len(s - chosen) <= 1 and len(chosen - s) <= 1]
+        assert values[frozenset(chosen)] >= max(near) - 1e-3
+        worse += values[frozenset(chosen)] < max(values.values()) - 1e-3
+    assert worse <= 1
+
+
+def test_bound_of_a_further_language_holds():
     rng = np.random.default_rng(16)
-    finite = 0
-    for _ in range(60):
-        model = np.log(rng.dirichlet(np.full(40, 0.5), size=2).T + 1e-5)
-        share = rng.choice([0, 0, 0.01, 0.05, 0.5])
-        p = np.exp(model) @ [1 - share, share]
+    useful = 0
+    for turn in range(60):
+        model = np.log(rng.dirichlet(np.full(40, 0.5), size=4).T + 1e-5)
+        share = np.array([1, 0.3 * (turn % 2), rng.choice([0, 0, 0.01, 0.05, 0.5]), 0])
+        p = np.exp(model) @ share
         counts = rng.multinomial(500, p / p.sum()).astype(float)
-        gain = langid.mixture(model, counts, [0, 1])[0] - counts @ model[:, 0]
-        bound = langid.most_gain(model[:, 1] - model[:, 0], counts)
-        assert gain <= bound + 1e-6
-        finite += bound < np.inf
-    assert 10 < finite < 60
+        own = [0, 1][: 1 + turn % 2]
+        value, found = langid.mixture(model, counts, own)
+        most = langid.most_gains(np.exp(model), counts, own, found)
+        for k in {0, 1, 2, 3} - {*own}:
+            assert langid.mixture(model, counts, [*own, k])[0] - value <= most[k] + 1e-6
+            useful += most[k] < 10
+    assert 20 < useful < 150
 
 
 def test_model_by_plain_counting(spark):
-    rows = [(k, t, lang, "s", 0) for k, (t, lang) in enumerate([("ab ab", "x"), ("abc", "y"), ("b", "x"), (None, "x"), ("abc", None)] * 4)]
-    model = langid.train(spark.createDataFrame(rows, DOCS))
-    assert model.langs == ["x", "y"] and np.allclose(np.exp(model.logs.astype(float)).sum(axis=0), 1, atol=1e-4)
-    sums = np.full((langid.DIM, 2), 0.5)
+    """Every n-gram above its share is known, the others are one event; odd tables."""
+    rows = [(k, t, lang, "s", 0) for k, (t, lang) in enumerate([("ab ab", "x"), ("abc", "y"), ("b", "x"), (None, "x"), ("abc", None), ("abcd abce", "y")] * 4)]
+    docs = spark.createDataFrame(rows, DOCS)
+    sums = {"x": Counter(), "y": Counter()}
     for i, t, lang, *_ in rows:
         if t and lang and zlib.crc32(str(i).encode()) % 4 != 2:
-            slots, n = langid.grams(t, langid.DIM)
-            sums[slots, ["x", "y"].index(lang)] += n
-    assert np.allclose(model.logs, np.log(sums / sums.sum(axis=0)), atol=1e-5)
+            sums[lang] += grams_by_hand(t)
+    for least in (0.0, 0.06, 0.09):
+        known = sorted({g for c in sums.values() for g, n in c.items() if n >= least * c.total()})
+        assert least == 0 or len(known) < len(sums["x"] | sums["y"])
+        want = np.array([[*(c[g] + 0.5 for g in known), c.total() - sum(c[g] for g in known) + 0.5] for c in sums.values()]).T
+        model = langid.train(docs, least_share=least)
+        assert model.langs == ["x", "y"] and model.known.tolist() == known
+        assert np.allclose(model.logs, np.log(want / want.sum(axis=0)), atol=1e-5)
+        logs, counts = langid.likelihoods("abce zz", model.known, model.logs)
+        plain = grams_by_hand("abce zz")
+        assert counts.tolist() == [plain[g] for g in known if plain[g]] + [n for n in [sum(n for g, n in plain.items() if g not in known)] if n]
+        assert np.allclose(logs[-1], model.logs[-1])
     assert langid.train(spark.createDataFrame([], DOCS)).langs == []
 
 
+def test_language_of_every_row_by_brute_force(spark):
+    """The whole query in plain Python, with all sets of six languages tried for each document."""
+    rng = np.random.default_rng(8)
+    letters = "abcdefghijklmnop"
+    speech = {lang: [*("".join(rng.choice(list(letters), size=rng.integers(2, 7), p=w)) for _ in range(30))] for lang, w in zip("tuvwxy", rng.dirichlet(np.full(16, 0.4), size=6))}
+
+    def said(lang, n):
+        return " ".join(rng.choice(speech[lang], size=n))
+
+    rows = [(k, said(lang, 40), lang, "s", 0) for k, lang in enumerate("tuvwxy" * 8)]
+    for k in range(24):
+        a, b = rng.choice(list("tuvwxy"), size=2, replace=False)
+        rows.append((100 + k, said(a, 60 + k) + " " + said(b, 5 * (k % 7)), None, None, 0))
+    docs = spark.createDataFrame([*rows, (200, None, "t", "s", 0), (201, "1 2", None, "s", 0), (None, rows[0][1], "t", "s", 0)], DOCS)
+    model = langid.train(docs)
+    got = {r["doc_id"]: r for r in langid.identify(docs, model).collect()}
+    assert (got[200]["lang_pred"], got[201]["lang_pred"]) == ("und", "und") and got[None]["lang_pred"] == got[0]["lang_pred"]
+    same = 0
+    for i, text, *_ in rows:
+        plain = grams_by_hand(text)
+        at = {g: k for k, g in enumerate(model.known.tolist())}
+        logs = np.array([model.logs[at.get(g, len(at))] for g in plain], dtype=float)
+        counts = np.array(list(plain.values()), dtype=float)
+        cost = 4.0 * math.log(counts.sum() + 1)
+        fits = {s: langid.mixture(logs, counts, list(s)) for n in range(1, 7) for s in itertools.combinations(range(6), n)}
+        best = max(fits, key=lambda s: 2 * fits[s][0] - cost * len(s))
+        share, lang = max((float(p), model.langs[k]) for p, k in zip(fits[best][1], best))
+        same += got[i]["lang_pred"] == lang and abs(got[i]["score"] - share) < 1e-3
+    assert same >= len(rows) - 1
+
+
 # 8
 
 
