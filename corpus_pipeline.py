@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import exact_dedup, langid, mixing, near_dedup, packing
 from tidemark.llm.registry import tokenizer_path
-from tidemark.llm.shared import MADE, Scratch, small_batches, sweep, table
+from tidemark.llm.shared import Scratch, small_batches, sweeping, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,7 +63,6 @@ ORACLE_SQL = None  # hashes of the tokenizer's ids are beyond SQL; tests hold th
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, scratch = table(spark, sf_dir, "documents"), Scratch(spark, "pipeline")
     for name, stage in STAGES[:-1]:
-        since = len(MADE)
-        docs = scratch.write(stage(spark, docs, sf_dir), name)
-        sweep(spark, since)  # what the stage itself wrote is no longer read
+        with sweeping(spark):  # what the stage itself wrote is not read after it
+            docs = scratch.write(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)

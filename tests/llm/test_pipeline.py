@@ -1,8 +1,10 @@
 """The corpus pipeline, stage by stage, against brute force."""
 
+import os
 import random
 import re
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -92,14 +94,35 @@ def test_no_text_is_lost(spark):
 def test_run(spark):
     from conftest import SF
 
-    from tidemark.llm.shared import MADE, sweep
-
-    since = len(MADE)
-    out = corpus_pipeline.run(spark, SF)
-    assert len(MADE) == since + 2  # its own tables, and those of the last stage
-    assert out.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(out.columns)
-    sweep(spark, since)
-    assert len(MADE) == since
+    from tidemark.llm.shared import sweeping
+
+    with sweeping(spark) as made:
+        out = corpus_pipeline.run(spark, SF)
+        assert len(made) == 2  # its own tables, and those of the last stage
+        assert out.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(out.columns)
+        assert all(map(os.path.isdir, made))
+    assert not any(map(os.path.exists, made))
+
+
+def test_sweeping_leaves_what_others_made(spark):
+    """Tables of another thread, of a caller and of calls outside stay; an error frees its own."""
+    from tidemark.llm.shared import Scratch, sweeping
+
+    def make():
+        scratch = Scratch(spark, "kept")
+        scratch.write(spark.range(3), "t")
+        return scratch.root
+
+    outside = make()
+    with sweeping(spark) as mine:
+        own = make()
+        with pytest.raises(KeyError), sweeping(spark):
+            inner = make()
+            with ThreadPoolExecutor(1) as pool:
+                other = pool.submit(make).result()
+            raise KeyError
+        assert mine == [own] and not os.path.exists(inner) and all(map(os.path.isdir, (own, other, outside)))
+    assert not os.path.exists(own) and all(map(os.path.isdir, (other, outside)))
 
 
 @pytest.mark.parametrize("k", range(len(corpus_pipeline.STAGES)))

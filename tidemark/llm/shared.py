@@ -2,30 +2,22 @@
 
 from __future__ import annotations
 
-from uuid import uuid4
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources.shared import delete, new_folder
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset, one in the warehouse, which
-    on a cluster must not be a folder of one machine."""
-    found = spark.conf.get("spark.checkpoint.dir", "")
-    if found:
-        return found
-    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return warehouse + "/_shared"
-
-
 MOST_IDS = 2_000_000  # of a broadcast table of ids, some 100 MB in memory
-MADE: list[str] = []  # folders of this process's calls
+MADE: ContextVar[list[str] | None] = ContextVar("folders made inside ``sweeping``", default=None)
 
 
 class Scratch:
@@ -33,13 +25,15 @@ class Scratch:
 
     A written table outlives the executors that made it, so a lost executor costs only
     the tasks that it ran. ``drop`` frees a table that nothing reads any more. Results are
-    read from these tables when they are asked for; ``sweep`` frees all once that is over.
+    read from these tables when they are asked for; ``sweeping`` frees those of the calls inside it.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/{label}-{uuid4().hex}"
-        MADE.append(self.root)
+        self.root = new_folder(spark, label)
+        made = MADE.get()
+        if made is not None:
+            made.append(self.root)
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -47,20 +41,22 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
-        _delete(self.spark, f"{self.root}/{name}")
-
-
-def _delete(spark: SparkSession, name: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def sweep(spark: SparkSession, since: int = 0) -> None:
-    """Deletes the tables of this process's calls, from the ``since``-th on. Results that are not
-    yet written elsewhere are lost with them."""
-    for root in MADE[since:]:
-        _delete(spark, root)
-    del MADE[since:]
+        delete(self.spark, f"{self.root}/{name}")
+
+
+@contextmanager
+def sweeping(spark: SparkSession) -> Iterator[list[str]]:
+    """Deletes at its end the tables of the calls made inside, also after an error. Results that are
+    not yet written elsewhere are lost with them. Each thread, and each ``with`` inside another, has
+    its own list, so nothing that another query has made is touched."""
+    made: list[str] = []
+    token = MADE.set(made)
+    try:
+        yield made
+    finally:
+        MADE.reset(token)
+        for root in made:
+            delete(spark, root)
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
