@@ -250,6 +250,19 @@ def test_erase(spark, tmp_path):
     assert {r["status"] for r in ingest.recon_only(spark, "t", *run.paths[:2], "d", AT).collect()} == {"OK"}
 
 
+def test_erase_from_files_of_one_folder(spark, tmp_path):
+    """Files of one batch that one task rewrites all keep their other rows."""
+    paths = str(tmp_path / "history"), str(tmp_path / "state")
+    rows = spark.createDataFrame([(i, "x", 0, f"{i:x}") for i in range(400)], BATCH)
+    Plan(spark, paths[0]).extend(rows.schema)
+    stored.write_history(rows.withColumns({"load_ts": F.lit(AT), "fingerprint": F.lit("f1"), "batch_ts": F.lit(1000)}).repartition(16, "id"), paths[0])
+    StateTable(spark, paths[1], buckets=1).upsert(rows)
+    assert erase(spark, spark.range(0, 400, 5), *paths)["history"] == 16
+    left = [i for i in range(400) if i % 5]
+    assert sorted(r["id"] for r in read_history(spark, paths[0]).collect()) == left
+    assert sorted(r["id"] for r in StateTable(spark, paths[1]).read().collect()) == left
+
+
 @pytest.mark.parametrize("k", [0, 1, 2])
 def test_erasure_that_was_cut_short(spark, tmp_path, monkeypatch, k):
     run, names = erasable(spark, tmp_path)
