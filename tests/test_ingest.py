@@ -203,6 +203,15 @@ def test_stored_rows_are_not_shuffled(spark, tmp_path):
     assert {r["id"]: r["name"] for r in merged.collect()} == {k: "x" for k in range(40)} | {7: "y", 7000: "z"}
 
 
+def test_new_rows_beside_stored_ones_make_few_files(spark, tmp_path):
+    """A bucket gets one file of new rows, whichever tasks they come from."""
+    table = StateTable(spark, str(tmp_path / "s"), buckets=8)
+    table.upsert(spark.createDataFrame([(k, "x", 0, f"{k:08x}") for k in range(100)], BATCH))
+    table.upsert(spark.createDataFrame([(k, "y", 0, f"{k:08x}") for k in range(50, 2000)], BATCH))
+    assert table.read().count() == 2000
+    assert len(list(tmp_path.glob("s/*/*/*.parquet"))) <= 2 * 8
+
+
 @pytest.mark.parametrize("most", [0, state.MOST_ROWS])
 def test_upserts_in_any_order(spark, tmp_path, monkeypatch, most):
     """Random changes with ties, null order keys and tombstones, in random portions; broadcast or shuffled."""
